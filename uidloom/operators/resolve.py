@@ -25,8 +25,10 @@ HITS = {"persona_uuid": "persona_hit", "rid_uuid": "rid_hit"}
 
 def measure_hot_keys(rows: DataFrame, watched: DataFrame) -> dict[str, list]:
     """The hot values of every join key of the paths, under the names the path functions expect."""
-    keys = hot_keys(rows, ["user_id", "email", "rid"])
-    return {**keys, "watched": hot_keys(watched, ["user_id"])["user_id"]}
+    keys = rows.select("user_id", "email", "rid").unionByName(
+        watched.select(F.col("user_id").alias("watched")), allowMissingColumns=True
+    )
+    return hot_keys(keys, keys.columns)
 
 
 def master_ids(masters: DataFrame) -> DataFrame:

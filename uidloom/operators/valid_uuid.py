@@ -27,21 +27,29 @@ def choices(df: DataFrame, weight: str | None = None) -> DataFrame:
     The best pair agrees most often. The fallback has most values among the rows where that pair does not
     agree. One aggregation counts both, for every pair, so the resolved frame is read once.
     """
-    agree = {combo_name((a, b)): F.col(a) == F.col(b) for a, b in PAIRS}
-    open_rows = {"": F.lit(True), **{pair: ~F.coalesce(same, F.lit(False)) for pair, same in agree.items()}}
+    agree = {combo_name(pair): F.col(pair[0]) == F.col(pair[1]) for pair in PAIRS}
+    third = {
+        f"{combo_name(pair)}/{c}": agree[combo_name(pair)] & F.col(c).isNotNull()
+        for pair in PAIRS
+        for c in UUID_COLUMNS
+        if c not in pair
+    }
     counts = df.groupBy("metadata_table").agg(
-        *[count_where(same, weight).alias(pair) for pair, same in agree.items()],
-        *[
-            count_where(is_open & F.col(c).isNotNull(), weight).alias(f"{c}/{pair}")
-            for pair, is_open in open_rows.items()
-            for c in UUID_COLUMNS
-        ],
+        *[count_where(F.col(c).isNotNull(), weight).alias(c) for c in UUID_COLUMNS],
+        *[count_where(condition, weight).alias(name) for name, condition in {**agree, **third}.items()],
     )
     best = counts.select("*", *_best([(pair, F.col(f"`{pair}`")) for pair in agree], "combo"))
-    chosen = F.coalesce(F.col("combo"), F.lit(""))
 
     def left_open(column: str) -> Column:
-        return F.coalesce(*[F.when(chosen == pair, F.col(f"`{column}/{pair}`")) for pair in open_rows])
+        """Values of the column outside the rows where the best pair agrees; a member has one in all of those."""
+        covered = [
+            F.when(
+                F.col("combo") == combo_name(pair),
+                F.col(f"`{combo_name(pair)}`" if column in pair else f"`{combo_name(pair)}/{column}`"),
+            )
+            for pair in PAIRS
+        ]
+        return F.col(column) - F.coalesce(*covered, F.lit(0))
 
     fallback, n_fallback = _best([(c, left_open(c)) for c in UUID_COLUMNS], "fallback")
     return best.select(

@@ -331,7 +331,7 @@ def oracle_sql() -> dict[str, str]:
             [CAT], f"SELECT table_name, column_name FROM cat WHERE column_name IN {TRACKED}"
         ),
         "table_columns": _with(
-            [CAT], "SELECT DISTINCT column_name FROM cat WHERE table_name = 'SEGMENT__FRANCE_PROD__IDENTIFIES'"
+            [CAT], "SELECT DISTINCT column_name FROM cat WHERE table_name = 'SEGMENT__NATION_8_PROD__IDENTIFIES'"
         ),
         "identifies_tables": _with(
             [CAT], "SELECT DISTINCT table_name FROM cat WHERE table_name LIKE '%IDENTIFIES'"
@@ -343,7 +343,7 @@ def oracle_sql() -> dict[str, str]:
         "descriptor_of": _with(
             DESCRIBED,
             """SELECT segment_table, metadata_table, array_to_string(columns, '-') AS columns FROM descriptor
-            WHERE segment_table = 'SEGMENT.FRANCE_PROD.IDENTIFIES'""",
+            WHERE segment_table = 'SEGMENT.NATION_8_PROD.IDENTIFIES'""",
         ),
         "column_list_round_trip": _with(
             DESCRIBED,

@@ -279,7 +279,7 @@ def tracked_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def table_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.table_columns(views.column_catalog(spark, sf), "SEGMENT.FRANCE_PROD.IDENTIFIES")
+    return catalog.table_columns(views.column_catalog(spark, sf), "SEGMENT.NATION_8_PROD.IDENTIFIES")
 
 
 @query
@@ -299,7 +299,7 @@ def discover_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def descriptor_of(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.descriptor_of(catalog.dashed(_descriptors(spark, sf)), "SEGMENT.FRANCE_PROD.IDENTIFIES")
+    return catalog.descriptor_of(catalog.dashed(_descriptors(spark, sf)), "SEGMENT.NATION_8_PROD.IDENTIFIES")
 
 
 @query
