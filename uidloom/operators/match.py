@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from uidloom.functions.values import percent
 from uidloom.operators.resolve import master_ids, master_names, measure_hot_keys, watched_masters
-from uidloom.operators.skew import spread_join
+from uidloom.operators.skew import HotKeys, spread_join
 
 RECORD = ["metadata_table", "id", "user_id", "rid", "email"]
 
@@ -32,7 +32,7 @@ def three_phase(
     masters: DataFrame,
     personas: DataFrame,
     watched: DataFrame,
-    hot: dict[str, list] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The master id of each distinct record and the phase that found it (1, 2, 3 or null).
 

@@ -13,17 +13,19 @@ So the work is done on one row per user, and the wide rows move once, in ``write
 
 from __future__ import annotations
 
+from collections.abc import Collection, Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from uidloom.functions.fixed import UUID_COLUMNS
 from uidloom.functions.frames import has_column, present
-from uidloom.operators.skew import hot_keys, split_join, spread_join
+from uidloom.operators.skew import HotKeys, hot_keys, split_join, spread_join
 
 USER = ["metadata_table", "user_id"]
 HITS = {"persona_uuid": "persona_hit", "rid_uuid": "rid_hit"}
 
 
-def measure_hot_keys(rows: DataFrame, watched: DataFrame) -> dict[str, list]:
+def measure_hot_keys(rows: DataFrame, watched: DataFrame) -> HotKeys:
     """The hot values of every join key of the paths, under the names the path functions expect."""
     keys = rows.select("user_id", "email", "rid").unionByName(
         watched.select(F.col("user_id").alias("watched")), allowMissingColumns=True
@@ -42,7 +44,7 @@ def master_names(masters: DataFrame) -> DataFrame:
     return named.groupBy("username").agg(F.min("uuid").alias("uuid"))
 
 
-def watched_masters(watched: DataFrame, masters: DataFrame, hot_users: list) -> DataFrame:
+def watched_masters(watched: DataFrame, masters: DataFrame, hot_users: Mapping[str, int]) -> DataFrame:
     """Per watched rid its smallest master id; null for a rid without one."""
     pairs = watched.where("rid IS NOT NULL").select("rid", "user_id").distinct()
     ids = master_ids(masters).select(F.col("uuid").alias("user_id"), F.col("uuid").alias("rid_uuid"))
@@ -54,13 +56,13 @@ def user_keys(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*USER).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def _name_candidates(rows: DataFrame, masters: DataFrame, hot: dict[str, list]) -> DataFrame:
+def _name_candidates(rows: DataFrame, masters: DataFrame, hot: HotKeys) -> DataFrame:
     emails = rows.where("user_id IS NOT NULL AND email IS NOT NULL").select(*USER, "email").distinct()
     names = master_names(masters).select(F.col("username").alias("email"), F.col("uuid").alias("username_uuid"))
     return spread_join(emails, names, "email", hot["email"], "inner").select(*USER, "username_uuid")
 
 
-def _rid_candidates(rows: DataFrame, watched: DataFrame, masters: DataFrame, hot: dict[str, list]) -> DataFrame:
+def _rid_candidates(rows: DataFrame, watched: DataFrame, masters: DataFrame, hot: HotKeys) -> DataFrame:
     rids = rows.where("user_id IS NOT NULL AND rid IS NOT NULL").select(*USER, "rid").distinct()
     seen = spread_join(rids, watched_masters(watched, masters, hot["watched"]), "rid", hot["rid"], "inner")
     return seen.select(*USER, "rid_uuid", F.lit(True).alias("rid_hit"))
@@ -83,9 +85,9 @@ def user_id_path(rows: DataFrame, masters: DataFrame) -> DataFrame:
     return _with_user_id_uuid(rows.select(*USER).distinct(), masters).select(*USER, "user_id_uuid")
 
 
-def username_path(rows: DataFrame, masters: DataFrame, hot: dict[str, list]) -> DataFrame:
+def username_path(rows: DataFrame, masters: DataFrame, hot: HotKeys) -> DataFrame:
     """Per user and table with a match: ``username_uuid``, the master whose username is an email of the user."""
-    found = _name_candidates(rows, masters, hot).distinct()
+    found = _name_candidates(rows, masters, hot)
     return found.groupBy(*USER).agg(F.min("username_uuid").alias("username_uuid"))
 
 
@@ -95,9 +97,9 @@ def persona_path(rows: DataFrame, personas: DataFrame, masters: DataFrame) -> Da
     return _with_persona(users, personas).select(*USER, "persona_uuid", "persona_hit")
 
 
-def rid_path(rows: DataFrame, watched: DataFrame, masters: DataFrame, hot: dict[str, list]) -> DataFrame:
+def rid_path(rows: DataFrame, watched: DataFrame, masters: DataFrame, hot: HotKeys) -> DataFrame:
     """Per user and table with a watched rid: ``rid_uuid``, the smallest master id in the watch log."""
-    found = _rid_candidates(rows, watched, masters, hot).distinct()
+    found = _rid_candidates(rows, watched, masters, hot)
     return found.groupBy(*USER).agg(F.min("rid_uuid").alias("rid_uuid"), F.max("rid_hit").alias("rid_hit"))
 
 
@@ -106,30 +108,25 @@ def user_map(
     masters: DataFrame,
     personas: DataFrame,
     watched: DataFrame,
-    hot: dict[str, list] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All four paths at once: one row per (metadata_table, user_id) with its row count.
 
-    Candidates of the email and rid paths are made distinct by hashing before the sort that ``min`` of a
-    string needs, so what is sorted is about one row per user.
+    The candidates of the email and rid paths share one aggregation; its result and the user keys are
+    partitioned alike, so joining them moves nothing.
     """
     hot = measure_hot_keys(rows, watched) if hot is None else hot
     found = (
         _name_candidates(rows, masters, hot)
         .unionByName(_rid_candidates(rows, watched, masters, hot), allowMissingColumns=True)
-        .distinct()
-    )
-    users = (
-        user_keys(rows)
-        .unionByName(found, allowMissingColumns=True)
         .groupBy(*USER)
         .agg(
-            F.sum("n_rows").alias("n_rows"),
             F.min("username_uuid").alias("username_uuid"),
             F.min("rid_uuid").alias("rid_uuid"),
             F.max("rid_hit").alias("rid_hit"),
         )
     )
+    users = user_keys(rows).join(found, USER, "left")
     users = _with_persona(_with_user_id_uuid(users, masters), personas)
     return users.select(*USER, "n_rows", *UUID_COLUMNS, *HITS.values())
 
@@ -147,7 +144,7 @@ def _updated(rows: DataFrame, name: str) -> Column:
     return F.when(reached, new).otherwise(F.col(f"old.{name}"))
 
 
-def write_back(rows: DataFrame, users: DataFrame, hot_users: list) -> DataFrame:
+def write_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) -> DataFrame:
     """Give every row the values of its user; the number of rows stays the same.
 
     ``users`` holds one row per (metadata_table, user_id) with any of the UUID columns. UUID columns that
@@ -173,7 +170,7 @@ def resolve(
     masters: DataFrame,
     personas: DataFrame,
     watched: DataFrame,
-    hot: dict[str, list] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The rows of all tables with their four UUID columns."""
     hot = measure_hot_keys(rows, watched) if hot is None else hot

@@ -1,69 +1,86 @@
 """Joins that stay even when one key holds a large part of the rows.
 
 The hot keys are measured first, in one pass over the key columns. They only decide where a row
-is matched, never whether: any list of hot keys gives the same result.
+is matched, never whether: any choice of hot keys gives the same result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_HOT_KEYS = 500
 TRACKED_ITEMS = 8 * MAX_HOT_KEYS
 SKETCH_GROUPS = 128
+SHARES_PER_PARTITION = 4
 SHARE = "_share"
 
+HotKeys = dict[str, dict[str, int]]
+"""Per key column, its hot values and into how many shares the rows of each are cut."""
 
-def share_count(df: DataFrame) -> int:
-    """Into how many parts the rows of a hot key are cut: one per shuffle partition, within reason."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(partitions, MAX_HOT_KEYS))
 
+def partition_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-def hot_keys(rows: DataFrame, columns: Sequence[str]) -> dict[str, list]:
-    """Per column, the values that hold more rows than an average shuffle partition.
 
-    One scan of the given columns feeds a frequent-items sketch of fixed size per task; sketches are
-    merged in two steps, and the driver gets at most ``MAX_HOT_KEYS`` values per column.
+def _shares_for(part: float, partitions: int) -> int:
+    """Shares for a key with this part of all rows: a power of 4, so that few sizes occur."""
+    shares = 1
+    while shares < part * partitions * SHARES_PER_PARTITION:
+        shares *= 4
+    return shares
+
+
+def hot_keys(rows: DataFrame, columns: Sequence[str]) -> HotKeys:
+    """Per string column, the values that hold more rows than an average shuffle partition.
+
+    One scan of the given columns feeds a frequent-items sketch of fixed size per column and task; sketches
+    are merged in two steps, and the driver gets at most ``MAX_HOT_KEYS`` values per column. A key too rare
+    for the sketch is left to the skew handling of adaptive execution.
     """
-    sketches = (
-        rows.select(*columns, (F.spark_partition_id() % SKETCH_GROUPS).alias("_group"))
-        .groupBy("_group")
-        .agg(
-            *[F.expr(f"approx_top_k_accumulate(`{c}`, {TRACKED_ITEMS})").alias(f"s_{c}") for c in columns],
-            *[F.count(c).alias(f"n_{c}") for c in columns],
-        )
+    partitions = partition_count(rows)
+    values = (
+        rows.select(*columns)
+        .unpivot([], list(columns), "name", "value")
+        .where("value IS NOT NULL")
+        .withColumn("part", F.spark_partition_id() % SKETCH_GROUPS)
+    )
+    sketches = values.groupBy("name", "part").agg(
+        F.expr(f"approx_top_k_accumulate(value, {TRACKED_ITEMS})").alias("sketch"), F.count("value").alias("n")
     )
-    merged = sketches.agg(
-        *[F.expr(f"approx_top_k_combine(`s_{c}`, {TRACKED_ITEMS})").alias(f"s_{c}") for c in columns],
-        *[F.sum(f"n_{c}").alias(f"n_{c}") for c in columns],
+    merged = sketches.groupBy("name").agg(
+        F.expr(f"approx_top_k_combine(sketch, {TRACKED_ITEMS})").alias("sketch"), F.sum("n").alias("n")
     )
-    row = merged.select(
-        *[F.expr(f"approx_top_k_estimate(`s_{c}`, {MAX_HOT_KEYS})").alias(c) for c in columns],
-        *[f"n_{c}" for c in columns],
-    ).first()
-    shares = share_count(rows)
+    top = merged.select("name", "n", F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
+    hot = top.where(F.col("count") * partitions > F.col("n")).collect()
     return {
-        c: [top["item"] for top in row[c] or [] if top["item"] is not None and top["count"] * shares > row[f"n_{c}"]]
+        c: {row["item"]: _shares_for(row["count"] / row["n"], partitions) for row in hot if row["name"] == c}
         for c in columns
     }
 
 
-def spread_join(rows: DataFrame, lookup: DataFrame, key: str, hot: Sequence, how: str = "left") -> DataFrame:
+def _shares_of(key: str, hot: Mapping[str, int]) -> Column:
+    shares = F.lit(1)
+    for size in sorted(set(hot.values())):
+        shares = F.when(F.col(key).isin([k for k, n in hot.items() if n == size]), size).otherwise(shares)
+    return shares
+
+
+def spread_join(
+    rows: DataFrame, lookup: DataFrame, key: str, hot: Mapping[str, int], how: str = "left"
+) -> DataFrame:
     """Join rows to a lookup that is unique on ``key``, with hot and null keys spread over the partitions.
 
     The rows of a hot key are cut by a hash of the whole row, which a lost task computes again alike, and
-    its single lookup row is repeated once per share: at most ``MAX_HOT_KEYS`` x shares extra lookup rows.
-    Rows should be distinct, as copies of one row share a hash.
+    its one lookup row is repeated once per share. The shares of a key follow its part of the rows, so all
+    repeats together are bounded by a small multiple of the number of partitions. Rows should be distinct,
+    as copies of one row share a hash.
     """
-    shares = share_count(rows)
-    is_hot = F.col(key).isin(list(hot))
-    share = F.when(
-        F.col(key).isNull() | is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(shares)).cast("int")
-    ).otherwise(F.lit(0))
-    repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(shares - 1))).otherwise(F.array(F.lit(0)))
+    null_shares = _shares_for(1.0, partition_count(rows))
+    shares = F.when(F.col(key).isNull(), null_shares).otherwise(_shares_of(key, hot))
+    share = F.when(shares > 1, F.pmod(F.xxhash64(*rows.columns), shares).cast("int")).otherwise(0)
+    repeats = F.sequence(F.lit(0), _shares_of(key, hot) - 1)
     return (
         rows.withColumn(SHARE, share)
         .join(lookup.withColumn(SHARE, F.explode(repeats)), [key, SHARE], how)
@@ -71,14 +88,17 @@ def spread_join(rows: DataFrame, lookup: DataFrame, key: str, hot: Sequence, how
     )
 
 
-def split_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str], key: str, hot: Sequence) -> DataFrame:
+def split_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], key: str, hot: Collection[str]
+) -> DataFrame:
     """Left join rows to a lookup that is unique on ``on``; only rows with an ordinary key are shuffled.
 
     Rows whose key is null or hot stay where they were read and meet a broadcast of the hot lookup rows.
     It holds at most one row per hot key and value of the other ``on`` columns. This costs a second scan of
     the rows, and copies of one row cannot pile up.
     """
-    apart = F.col(key).isNull() | F.col(key).isin(list(hot))
-    stay = rows.where(apart).join(F.broadcast(lookup.where(F.col(key).isin(list(hot)))), list(on), "left")
+    is_hot = F.col(key).isin(list(hot))
+    apart = F.col(key).isNull() | is_hot
+    stay = rows.where(apart).join(F.broadcast(lookup.where(is_hot)), list(on), "left")
     move = rows.where(~apart).join(lookup, list(on), "left")
     return stay.unionByName(move)

@@ -11,6 +11,7 @@ from uidloom.functions.fixed import UUID_COLUMNS
 from uidloom.functions.frames import present
 from uidloom.operators import coverage
 from uidloom.operators.resolve import measure_hot_keys, user_map, write_back
+from uidloom.operators.skew import HotKeys
 from uidloom.operators.valid_uuid import choices, set_valid_uuid
 from uidloom.sources.catalog import column_catalog, discover_tables, preview_counts
 from uidloom.sources.session import materialize
@@ -26,7 +27,7 @@ def resolve_valid(
     masters: DataFrame,
     personas: DataFrame,
     watched: DataFrame,
-    hot: dict[str, list] | None = None,
+    hot: HotKeys | None = None,
     chosen: DataFrame | None = None,
 ) -> DataFrame:
     """The rows with their four UUID columns and one valid id.

@@ -31,7 +31,7 @@ def _users(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.user_map(*views.identity_inputs(spark, sf))
 
 
-def _hot_users(rows: DataFrame) -> list:
+def _hot_users(rows: DataFrame) -> dict[str, int]:
     return skew.hot_keys(rows, ["user_id"])["user_id"]
 
 
