@@ -1,0 +1,104 @@
+"""The resolution rules in plain Python, one row at a time, for small inputs."""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from itertools import combinations
+
+UUIDS = ("user_id_uuid", "username_uuid", "persona_uuid", "rid_uuid")
+
+
+def _smallest(values):
+    found = [v for v in values if v is not None]
+    return min(found) if found else None
+
+
+def user_values(rows, masters, personas, watched):
+    """(table, user) to its four values and which inner-join paths reached it."""
+    ids = {uuid for uuid, _ in masters}
+    users = defaultdict(list)
+    for table, user, email, rid in rows:
+        if user is not None:
+            users[table, user].append((email, rid))
+    found = {}
+    for (table, user), keys in users.items():
+        emails, rids = {e for e, _ in keys if e is not None}, {r for _, r in keys if r is not None}
+        seen = [u for r, u in watched if r is not None and r in rids]
+        own = user if user in ids else None
+        found[table, user] = (
+            own,
+            _smallest(uuid for uuid, name in masters if name is not None and name in emails),
+            own if user in personas else None,
+            _smallest(u for u in seen if u in ids),
+            user in personas,
+            bool(seen),
+        )
+    return found
+
+
+def resolve(rows, masters, personas, watched):
+    values = user_values(rows, masters, personas, watched)
+    return [(table, user, *values.get((table, user), (None,) * 6)[:4]) for table, user, _, _ in rows]
+
+
+def combo_counts(resolved, table):
+    mine = [dict(zip(UUIDS, r[2:])) for r in resolved if r[0] == table]
+    kept = [c for c in UUIDS if any(r[c] is not None for r in mine)]
+    return {
+        combo: sum(1 for r in mine if r[combo[0]] is not None and len({r[c] for c in combo}) == 1)
+        for size in range(2, len(kept) + 1)
+        for combo in combinations(kept, size)
+    }
+
+
+def valid(resolved):
+    """The valid id of each row and the choice of each table."""
+    choice = {}
+    for table in {r[0] for r in resolved}:
+        pairs = [(-n, "-".join(c)) for c, n in combo_counts(resolved, table).items() if len(c) == 2 and n > 0]
+        pair = min(pairs)[1].split("-") if pairs else None
+        mine = [dict(zip(UUIDS, r[2:])) for r in resolved if r[0] == table]
+        left = [r for r in mine if pair is None or r[pair[0]] is None or r[pair[0]] != r[pair[1]]]
+        fills = [(-sum(r[c] is not None for r in left), c) for c in UUIDS]
+        fills = [f for f in fills if f[0] < 0]
+        choice[table] = (pair, min(fills)[1] if fills else None)
+    out = []
+    for row in resolved:
+        values = dict(zip(UUIDS, row[2:]))
+        pair, fallback = choice[row[0]]
+        agreed = pair is not None and values[pair[0]] is not None and values[pair[0]] == values[pair[1]]
+        out.append(values[pair[0]] if agreed else values.get(fallback))
+    return out, choice
+
+
+def three_phase(rows, masters, personas, watched):
+    ids = {uuid for uuid, _ in masters}
+    out = []
+    for _, user, email, rid in rows:
+        first = user if user in ids else None
+        second = _smallest(u for r, u in watched if rid is not None and r == rid and u in ids and u in personas)
+        third = _smallest(uuid for uuid, name in masters if email is not None and name == email)
+        phase = next((n for n, v in ((1, first), (2, second), (3, third)) if v is not None), None)
+        out.append((first or second or third, phase))
+    return out
+
+
+def random_inputs(random, n_rows, n_users=12, hot=0.0):
+    """Small inputs with every kind of collision; ``hot`` is the part of rows with one hot value per key."""
+    user = [str(i) for i in range(n_users)]
+    name = [f"n{i}" for i in range(n_users)]
+    rid = [f"r{i}" for i in range(n_users * 2)]
+
+    def pick(values, hot_value):
+        if random.random() < hot:
+            return hot_value
+        return random.choice([*values, None])
+
+    rows = [
+        (random.choice(["A__IDENTIFIES", "B__IDENTIFIES", "C__IDENTIFIES"]), pick(user, "1"), pick(name, "n2"), pick(rid, "r3"))
+        for _ in range(n_rows)
+    ]
+    masters = [(random.choice(user), random.choice([*name, None])) for _ in range(n_users)]
+    personas = random.sample(user, n_users // 2)
+    watched = [(pick(rid, "r3"), pick(user, "4")) for _ in range(n_rows // 2)]
+    return rows, masters, personas, watched
