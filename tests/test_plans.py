@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+from datetime import UTC, datetime
+
+from tests import brute
+from uidloom.operators import coverage, match, resolve, sets, valid_uuid
+from uidloom.plans import resolution
+from uidloom.sources import catalog, snapshots
+
+AT = datetime(2024, 2, 1, tzinfo=UTC)
+LATER = datetime(2024, 2, 2, tzinfo=UTC)
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_run_from_catalog_tables_to_saved_counts(spark, database, tmp_path, inputs):
+    _, masters, personas, watched = inputs([], [("1", "ann"), ("2", "bob")], ["1"], [("r1", "2")])
+    spark.createDataFrame(
+        [("i1", "a1", "1", "ann", "r1"), ("i2", "a2", "2", "ann", None), ("i3", "a3", None, "ann", None)],
+        "ID string, ANONYMOUS_ID string, USER_ID string, EMAIL string, RID string",
+    ).write.saveAsTable(f"{database}.WEB__IDENTIFIES")
+    spark.createDataFrame(
+        [("i1", "a1", "1", None)], "ID string, ANONYMOUS_ID string, USER_ID string, EMAIL string"
+    ).write.saveAsTable(f"{database}.APP__IDENTIFIES")
+    spark.createDataFrame([("i1",)], "ID string").write.saveAsTable(f"{database}.OLD__IDENTIFIES")
+
+    listed = catalog.column_catalog(spark, database)
+    upper = listed.selectExpr("upper(table_name) AS table_name", "upper(column_name) AS column_name", "data_type")
+    root = str(tmp_path / "runs")
+    _, descriptors = snapshots.save_and_verify(catalog.discover_tables(upper), root, snapshots.DESCRIPTORS, AT)
+    rows = resolution.read_discovered(spark, descriptors, database)
+    assert rows.count() == 4
+
+    first = resolution.run(rows, masters, personas, watched, root, AT)
+    counts = {r.metadata_table: tuple(r)[1:] for r in first.counts.collect()}
+    assert counts == {"WEB__IDENTIFIES": (3, 2, 2, 1, 1), "APP__IDENTIFIES": (1, 1, 0, 1, 0)}
+    written = spark.read.parquet(first.rows_path)
+    assert written.count() == 4
+    found = {r.metadata_table: (r.total, r.resolved, r.unresolved) for r in resolution.unresolved(written).collect()}
+    assert found == {"WEB__IDENTIFIES": (3, 2, 1), "APP__IDENTIFIES": (1, 1, 0)}
+
+    again = resolution.run(written, masters, personas, watched, root, LATER)
+    assert sets.same_rows(written, spark.read.parquet(again.rows_path).select(*written.columns))
+    assert snapshots.latest_snapshot(spark, root, resolution.RESOLVED).endswith(again.rows_path.rsplit("/", 1)[-1])
+
+
+def test_fresh_and_rerun_choose_alike(inputs):
+    rows, masters, personas, watched = inputs(*brute.random_inputs(random.Random(21), 120))
+    first = resolution.resolve_valid(rows, masters, personas, watched)
+    again = resolution.resolve_valid(first, masters, personas, watched)
+    assert sets.same_rows(first, again.select(*first.columns))
+
+
+def test_preview_writes_nothing(spark, tmp_path):
+    descriptors = spark.createDataFrame([("A.IDENTIFIES", "A__IDENTIFIES", ["ID"])], "segment_table string, metadata_table string, columns array<string>")
+    assert resolution.preview(descriptors).first().total is None
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_plans_hold_no_python_and_no_products(inputs):
+    frames = inputs(*brute.random_inputs(random.Random(1), 30))
+    hot = resolve.measure_hot_keys(frames[0], frames[3])
+    users = resolve.user_map(*frames, hot)
+    plans = [
+        users,
+        resolve.resolve(*frames, hot),
+        match.three_phase(*frames, hot),
+        coverage.combo_counts(users, "n_rows"),
+        valid_uuid.set_valid_uuid(users, valid_uuid.choices(users, "n_rows")),
+    ]
+    for df in plans:
+        text = plan(df)
+        for word in ("Python", "CartesianProduct", "NestedLoop", "ArrowEval", "MapInPandas"):
+            assert word not in text
+
+
+def test_counts_read_no_wide_columns(spark, inputs, tmp_path):
+    rows, masters, personas, watched = inputs(*brute.random_inputs(random.Random(1), 30))
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    stored = spark.read.parquet(path)
+    hot = resolve.measure_hot_keys(stored, watched)
+    text = coverage.uuid_counts(resolve.user_map(stored, masters, personas, watched, hot), "n_rows")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "ReadSchema" in line]
+    assert len(scans) == 3 and not any("anonymous_id" in line.split("ReadSchema")[1] for line in scans)
+    assert any("IsNotNull(email)" in line and "IsNotNull(user_id)" in line for line in scans)
+    assert any("IsNotNull(rid)" in line for line in scans)

@@ -18,6 +18,15 @@ from uidloom.operators.sets import same_rows
 CSV = "csv"
 PARQUET = "parquet"
 RUN_PREFIX = "run_ts="
+# Null is an empty cell, empty text a quoted one; all other text is kept as it is.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+# What the reader makes of an empty cell before it becomes null; any other mark than "" keeps empty text.
+EMPTY_CELL = "\u0000"
 INDEX_COLUMN = "ID"
 DESCRIPTORS = "segment_tables"
 
@@ -38,7 +47,7 @@ def save_snapshot(
     else:
         if has_column(df, INDEX_COLUMN):
             df = df.select(INDEX_COLUMN, *[c for c in df.columns if c.upper() != INDEX_COLUMN])
-        df.write.csv(path, header=True, nullValue="\\N", emptyValue="", escape='"')
+        df.write.options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -50,9 +59,8 @@ def load_snapshot(spark: SparkSession, path: str, schema: StructType | str | Non
     if path.endswith(f".{CSV}"):
         if schema is None:
             raise ValueError("a CSV snapshot is read with an explicit schema")
-        return spark.read.schema(schema).csv(
-            path, header=True, nullValue="\\N", emptyValue="", escape='"', multiLine=True, enforceSchema=False
-        )
+        reader = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=True, enforceSchema=False)
+        return reader.option("nullValue", EMPTY_CELL).csv(path)
     raise ValueError(f"unknown snapshot format: {path}")
 
 
