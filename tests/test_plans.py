@@ -31,7 +31,7 @@ def test_run_from_catalog_tables_to_saved_counts(spark, database, tmp_path, inpu
     upper = listed.selectExpr("upper(table_name) AS table_name", "upper(column_name) AS column_name", "data_type")
     root = str(tmp_path / "runs")
     _, descriptors = snapshots.save_and_verify(catalog.discover_tables(upper), root, snapshots.DESCRIPTORS, AT)
-    rows = resolution.read_discovered(spark, descriptors, database)
+    rows = resolution.read_discovered(spark, descriptors, lambda segment, metadata: f"{database}.{metadata}")
     assert rows.count() == 4
 
     first = resolution.run(rows, masters, personas, watched, root, AT)
@@ -47,6 +47,17 @@ def test_run_from_catalog_tables_to_saved_counts(spark, database, tmp_path, inpu
     assert snapshots.latest_snapshot(spark, root, resolution.RESOLVED).endswith(again.rows_path.rsplit("/", 1)[-1])
 
 
+def test_one_table_keeps_all_of_its_columns(spark, inputs):
+    rows, masters, personas, watched = inputs([("A", "1", "ann", None), ("B", "1", None, None)], [("1", "ann")], ["1"], [])
+    hot = resolve.measure_hot_keys(rows, watched)
+    users = resolution.valid_users(resolve.user_map(rows, masters, personas, watched, hot))
+    table = spark.createDataFrame([(7, "1", "x"), (8, None, "y")], "SEQ int, USER_ID string, CONTEXT_IP string")
+    for hot_users in ({}, {"1": 4}):
+        found = resolution.resolve_table(table, "A", users, hot_users)
+        assert found.columns == ["SEQ", "USER_ID", "CONTEXT_IP", "user_id_uuid", "username_uuid", "persona_uuid", "rid_uuid", "valid_uuid"]
+        assert {tuple(r) for r in found.collect()} == {(7, "1", "x", "1", "1", "1", None, "1"), (8, None, "y", None, None, None, None, None)}
+
+
 def test_fresh_and_rerun_choose_alike(inputs):
     rows, masters, personas, watched = inputs(*brute.random_inputs(random.Random(21), 120))
     first = resolution.resolve_valid(rows, masters, personas, watched)

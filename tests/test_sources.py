@@ -119,6 +119,14 @@ def test_many_tables_as_one_frame(spark, database):
     assert found == {("A", "1", None, "r", None), ("B", "2", "u", None, None)}
 
 
+def test_a_missing_column_takes_the_type_of_the_others(spark):
+    a = spark.createDataFrame([("1",)], "ID string")
+    b = spark.sql("SELECT '2' AS id, TIMESTAMP_NTZ '2024-01-01 00:00:00' AS SENT_AT")
+    rows = sets.union_tables({"A": a, "B": b}, ["ID", "SENT_AT", "RID"])
+    assert [f.dataType.simpleString() for f in rows.schema.fields] == ["string", "string", "timestamp_ntz", "string"]
+    assert {(r.id, r.sent_at is None) for r in rows.collect()} == {("1", True), ("2", False)}
+
+
 def test_sets(spark):
     df = spark.createDataFrame([("b", None), ("a", "1"), ("b", None)], "k string, v string")
     assert sets.distinct_rows(df).count() == 2

@@ -18,17 +18,17 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 
 
 def union_tables(frames: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
-    """Many tables as one frame with the table's name as a key column; a missing column is null."""
+    """Many tables as one frame with the table's name as a key column.
+
+    A column that a table lacks is null, of the type it has in the first table with it.
+    """
+    types = {
+        field.name.lower(): field.dataType for df in reversed(frames.values()) for field in df.schema.fields
+    }
 
     def shaped(name: str, df: DataFrame) -> DataFrame:
-        present = {c.lower(): c for c in df.columns}
-        cells = [
-            F.col(f"`{present[c.lower()]}`").alias(c.lower())
-            if c.lower() in present
-            else F.lit(None).cast("timestamp" if c.lower().endswith("_at") or c.lower() == "timestamp" else "string")
-            .alias(c.lower())
-            for c in columns
-        ]
+        own = {c.lower(): F.col(f"`{c}`") for c in df.columns}
+        cells = [own.get(c, F.lit(None).cast(types.get(c, "string"))).alias(c) for c in map(str.lower, columns)]
         return df.select(F.lit(name).alias("metadata_table"), *cells)
 
     return reduce(DataFrame.unionByName, [shaped(name, df) for name, df in frames.items()])

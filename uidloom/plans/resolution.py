@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -90,10 +91,23 @@ def preview(descriptors: DataFrame) -> DataFrame:
     return preview_counts(descriptors)
 
 
-def read_discovered(spark: SparkSession, descriptors: DataFrame, database: str) -> DataFrame:
-    """The rows of all discovered tables; the driver holds one short row per table."""
-    found = descriptors.select("metadata_table").orderBy("metadata_table").toLocalIterator()
-    return read_identifies(spark, [(row[0], f"{database}.{row[0]}") for row in found])
+def read_discovered(spark: SparkSession, descriptors: DataFrame, locate: Callable[[str, str], str]) -> DataFrame:
+    """The rows of all discovered tables, each tagged with its metadata table.
+
+    ``locate`` turns (segment table, metadata table) into the name to read. The driver holds one pair of names
+    per table.
+    """
+    names = descriptors.select("segment_table", "metadata_table").orderBy("metadata_table").collect()
+    return read_identifies(spark, [(metadata, locate(segment, metadata)) for segment, metadata in names])
+
+
+def resolve_table(
+    table: DataFrame, metadata_table: str, users: DataFrame, hot_users: Collection[str]
+) -> DataFrame:
+    """One source table with all of its own columns, whatever they are, and the values of the user map."""
+    keyed = table.withColumn("metadata_table", F.lit(metadata_table))
+    mine = users.where(F.col("metadata_table") == metadata_table)
+    return write_back(keyed, mine, hot_users).drop("metadata_table")
 
 
 def unresolved(resolved: DataFrame) -> DataFrame:

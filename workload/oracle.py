@@ -410,6 +410,9 @@ def oracle_sql() -> dict[str, str]:
             """SELECT metadata_table, user_id, count(*) FILTER (WHERE email IS NULL) AS n FROM idf
             GROUP BY metadata_table, user_id HAVING n > 0""",
         ),
+        "empty_lists": _with(
+            [IDF], "SELECT id, user_id IS NULL AND email IS NULL AND rid IS NULL AS no_keys FROM idf"
+        ),
         # text
         "normalize_text": r"""SELECT doc_id, trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')) AS text
             FROM documents""",
@@ -427,5 +430,21 @@ def oracle_sql() -> dict[str, str]:
         "load_or_compute": _with(
             DESCRIBED, "SELECT segment_table, metadata_table, columns FROM descriptor"
         ),
+        "existing_tables": _with(
+            [IDF], "SELECT DISTINCT metadata_table AS name, true AS found, true AS written FROM idf"
+        ),
+        "table_descriptions": _with(
+            [IDF],
+            """SELECT table_name, column_name, true AS nullable FROM (SELECT metadata_table AS table_name,
+                unnest(['id', 'anonymous_id', 'user_id', 'email', 'rid', 'received_at', 'sent_at']) AS column_name,
+                count(rid) AS rids FROM idf GROUP BY metadata_table)
+            WHERE column_name <> 'rid' OR rids > 0""",
+        ),
+        "uuid_counts_of_tables": _with(
+            RESOLVED,
+            """SELECT metadata_table, count(*) AS total, count(user_id_uuid) AS user_id_uuid,
+              count(username_uuid) AS username_uuid, count(persona_uuid) AS persona_uuid, count(rid_uuid) AS rid_uuid
+            FROM res GROUP BY metadata_table""",
+        ),
         "clone_tables": _with([IDF], "SELECT id, user_id, email, CAST(NULL AS VARCHAR) AS user_id_uuid FROM idf"),
     }

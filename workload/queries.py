@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -412,6 +413,12 @@ def differing_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sets.differing_rows(*[df.select("metadata_table", "user_id") for df in pairs])
 
 
+@query
+def empty_lists(spark: SparkSession, sf: str) -> DataFrame:
+    keys = F.array_compact(F.array("user_id", "email", "rid"))
+    return views.identifies(spark, sf).select("id", values.is_empty_list(keys).alias("no_keys"))
+
+
 # text
 
 
@@ -478,4 +485,39 @@ def clone_tables(spark: SparkSession, sf: str) -> DataFrame:
     return spark.table(f"{name}.APP__IDENTIFIES")
 
 
+def _split_into_tables(spark: SparkSession, sf: str) -> tuple[str, dict[str, str]]:
+    """The identifies rows as one catalog table per app; a table without rids lacks that column."""
+    database = f"uidloom_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_new_folder(spark, 'warehouse')}'")
+    rows = views.identifies(spark, sf)
+    found = [row[0] for row in rows.select("metadata_table").distinct().orderBy("metadata_table").collect()]
+    for name in found:
+        own = rows.where(F.col("metadata_table") == name).drop("metadata_table")
+        own = own.drop("rid") if "ERROR" in name else own
+        own.write.format("parquet").saveAsTable(f"{database}.{name}")
+    return database, {name: f"{database}.{name}" for name in found}
+
+
+@query
+def existing_tables(spark: SparkSession, sf: str) -> DataFrame:
+    database, written = _split_into_tables(spark, sf)
+    listed = tables.existing_metadata_tables(spark, database)
+    rows = [(n.upper(), tables.metadata_table_exists(spark, n, database), n.upper() in written) for n in listed]
+    return spark.createDataFrame(rows, "name string, found boolean, written boolean")
+
+
+@query
+def table_descriptions(spark: SparkSession, sf: str) -> DataFrame:
+    _, written = _split_into_tables(spark, sf)
+    described = [tables.describe_table(spark, name).withColumn("table_name", F.lit(key)) for key, name in written.items()]
+    return reduce(DataFrame.unionByName, described).select("table_name", F.col("name").alias("column_name"), "nullable")
+
+
+@query
+def uuid_counts_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    _, written = _split_into_tables(spark, sf)
+    rows = tables.read_identifies(spark, written.items())
+    return coverage.uuid_counts(resolve.user_map(rows, *views.identity_inputs(spark, sf)[1:]), "n_rows")
+
+
 QUERIES["valid_uuid"] = QUERIES.pop("valid_uuid_rows")
