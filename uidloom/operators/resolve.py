@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from uidloom.functions.fixed import UUID_COLUMNS
 from uidloom.functions.frames import has_column, present
 from uidloom.operators.skew import HotKeys, hot_keys, split_join, spread_join
+from uidloom.sources.session import materialize
 
 USER = ["metadata_table", "user_id"]
 HITS = {"persona_uuid": "persona_hit", "rid_uuid": "rid_hit"}
@@ -174,4 +175,7 @@ def resolve(
 ) -> DataFrame:
     """The rows of all tables with their four UUID columns."""
     hot = measure_hot_keys(rows, watched) if hot is None else hot
-    return write_back(rows, user_map(rows, masters, personas, watched, hot), hot["user_id"])
+    users = user_map(rows, masters, personas, watched, hot)
+    if hot["user_id"]:
+        users = materialize(users, "user_map")  # read for the hot and for all other users
+    return write_back(rows, users, hot["user_id"])

@@ -100,5 +100,5 @@ def split_join(
     is_hot = F.col(key).isin(list(hot))
     apart = F.col(key).isNull() | is_hot
     stay = rows.where(apart).join(F.broadcast(lookup.where(is_hot)), list(on), "left")
-    move = rows.where(~apart).join(lookup, list(on), "left")
+    move = rows.where(~apart).join(lookup.where(~is_hot), list(on), "left")
     return stay.unionByName(move)

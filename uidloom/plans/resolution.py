@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from uidloom.functions.fixed import UUID_COLUMNS
 from uidloom.functions.frames import present
 from uidloom.operators import coverage
-from uidloom.operators.resolve import measure_hot_keys, user_map, write_back
+from uidloom.operators.resolve import measure_hot_keys, resolve, user_map, write_back
 from uidloom.operators.skew import HotKeys
 from uidloom.operators.valid_uuid import choices, set_valid_uuid
 from uidloom.sources.catalog import column_catalog, discover_tables, preview_counts
@@ -37,15 +37,16 @@ def resolve_valid(
     carry values of an earlier run may differ within a user, so there the choice is made on the rows.
     """
     hot = measure_hot_keys(rows, watched) if hot is None else hot
-    users = user_map(rows, masters, personas, watched, hot)
     if present(rows, UUID_COLUMNS):
-        resolved = write_back(rows, users, hot["user_id"])
+        resolved = resolve(rows, masters, personas, watched, hot)
         if chosen is None:
             resolved = materialize(resolved, RESOLVED)
             chosen = choices(resolved)
         return set_valid_uuid(resolved, chosen)
-    users = valid_users(users, chosen)
-    return write_back(rows, users, hot["user_id"])
+    users = user_map(rows, masters, personas, watched, hot)
+    if chosen is not None and hot["user_id"]:
+        users = materialize(users, "user_map")
+    return write_back(rows, valid_users(users, chosen), hot["user_id"])
 
 
 def valid_users(users: DataFrame, chosen: DataFrame | None = None) -> DataFrame:

@@ -199,7 +199,11 @@ def oracle_sql() -> dict[str, str]:
         "resolve_username": _one_path(M_USERNAME, "username_uuid", [EI]),
         "resolve_persona": _one_path(M_PERSONA, "persona_uuid", [EI, PU]),
         "resolve_rid": _one_path(M_RID, "rid_uuid", [EI, WT]),
-        "resolve_all": _with(RESOLVED, "SELECT * FROM res"),
+        "resolve_all": _with(
+            RESOLVED,
+            """SELECT metadata_table, id, anonymous_id, user_id, email, rid,
+              user_id_uuid, username_uuid, persona_uuid, rid_uuid FROM res""",
+        ),
         "user_map": _with(
             RESOLVED,
             """SELECT metadata_table, user_id, count(*) AS n_rows, max(user_id_uuid) AS user_id_uuid,
@@ -428,7 +432,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "latest_snapshot": _with([IDF], "SELECT id, user_id FROM idf WHERE user_id IS NOT NULL"),
         "load_or_compute": _with(
-            DESCRIBED, "SELECT segment_table, metadata_table, columns FROM descriptor"
+            DESCRIBED,
+            "SELECT segment_table, metadata_table, array_to_string(columns, '-') AS columns FROM descriptor",
         ),
         "existing_tables": _with(
             [IDF], "SELECT DISTINCT metadata_table AS name, true AS found, true AS written FROM idf"

@@ -75,7 +75,7 @@ def resolve_rid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def resolve_all(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.resolve(*views.identity_inputs(spark, sf))
+    return resolve.resolve(*views.identity_inputs(spark, sf)).select(*TEXT_COLUMNS, *fixed.UUID_COLUMNS)
 
 
 @query
@@ -469,7 +469,8 @@ def load_or_compute(spark: SparkSession, sf: str) -> DataFrame:
     root = _new_folder(spark, "snapshots")
     base = snapshots.DESCRIPTORS
     snapshots.load_or_compute(spark, root, base, lambda: _descriptors(spark, sf))
-    return snapshots.load_or_compute(spark, root, base, lambda: _descriptors(spark, sf).limit(0))[1]
+    loaded = snapshots.load_or_compute(spark, root, base, lambda: _descriptors(spark, sf).limit(0))[1]
+    return catalog.dashed(loaded)
 
 
 @query
