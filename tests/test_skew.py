@@ -29,6 +29,14 @@ def test_hot_keys_of_null_columns_and_empty_frames(spark):
     assert skew.hot_keys(rows.limit(0), ["k"]) == {"k": {}}
 
 
+def test_repeats_of_lookup_rows_are_bounded():
+    for partitions in (8, 1000, 100_000):
+        for keys in (1, 3, 100, 499):
+            shares = [skew._shares_for(1 / keys, partitions) for _ in range(keys)]
+            assert sum(shares) <= 16 * partitions + 4 * keys
+            assert min(shares) >= partitions * skew.SHARES_PER_PARTITION / keys
+
+
 def lookup(spark):
     keys = spark.range(0, 8000, 2).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
     return keys.union(spark.createDataFrame([("hot", "v-hot")], "k string, v string"))

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,5 +143,20 @@ def test_materialize_writes_to_the_shared_folder(spark, frame):
     assert session.shared_folder(spark) == spark.sparkContext.getConf().get(session.CHECKPOINT_SETTING)
 
 
-def test_observed_columns_survive(spark, frame):
-    assert session.materialize(frame.withColumn("n", F.lit(1)), "frame").schema["n"].dataType.simpleString() == "int"
+class Settings(dict):
+    def set(self, name, value):
+        self[name] = value
+
+
+def fake_session(master, **settings):
+    context = SimpleNamespace(master=master, getConf=lambda: Settings(settings))
+    return SimpleNamespace(conf=Settings(settings), sparkContext=context)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_folder(fake_session("yarn"))
+    named = fake_session("yarn", **{session.CHECKPOINT_SETTING: "hdfs://x/shared/"})
+    assert session.shared_folder(named) == "hdfs://x/shared"
+    local = fake_session("local[2]")
+    assert session.shared_folder(local) == session.shared_folder(local)

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uidloom.functions.fixed import UUID_COLUMNS
+from uidloom.functions.fixed import UUID_COLUMNS, VALID_UUID
 from uidloom.functions.frames import present
 from uidloom.operators import coverage
 from uidloom.operators.resolve import measure_hot_keys, resolve, user_map, write_back
@@ -112,8 +112,8 @@ def resolve_table(
 
 
 def unresolved(resolved: DataFrame) -> DataFrame:
-    """Per table: total rows, rows with a valid id, rows without, and the percent without."""
-    total = F.col("total")
-    return resolved.groupBy("metadata_table").agg(
-        F.count(F.lit(1)).alias("total"), F.count("valid_uuid").alias("resolved")
-    ).withColumn("unresolved", total - F.col("resolved"))
+    """Per table: total rows, rows with a valid id, and rows without."""
+    counts = resolved.groupBy("metadata_table").agg(
+        F.count(F.lit(1)).alias("total"), F.count(VALID_UUID).alias("resolved")
+    )
+    return counts.withColumn("unresolved", F.col("total") - F.col("resolved"))

@@ -245,10 +245,13 @@ def fillable_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def column_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    prefix = f"uidloom_{uuid.uuid4().hex}_"
     for name in BASE_TABLES:
-        views.table(spark, sf, name).createOrReplaceTempView(name)
-    found = catalog.column_catalog(spark).where(F.col("table_name").isin(*BASE_TABLES))
-    return found.select("table_name", "column_name")
+        views.table(spark, sf, name).createOrReplaceTempView(prefix + name)
+    listed = catalog.column_catalog(spark).where(F.startswith(F.col("table_name"), F.lit(prefix)))
+    for name in BASE_TABLES:
+        spark.catalog.dropTempView(prefix + name)
+    return listed.select(F.replace("table_name", F.lit(prefix), F.lit("")).alias("table_name"), "column_name")
 
 
 @query
