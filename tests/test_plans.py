@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import UTC, datetime
 
 from tests import brute
@@ -88,6 +89,23 @@ def test_plans_hold_no_python_and_no_products(inputs):
             assert word not in text
 
 
+def test_wide_rows_are_shuffled_once(spark, inputs, tmp_path):
+    rows, masters, personas, watched = inputs(*brute.random_inputs(random.Random(1), 30))
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    hot = {"user_id": {}, "email": {}, "rid": {}, "watched": {}}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        resolved = resolve.resolve(spark.read.parquet(path), masters, personas, watched, hot)
+        text = spark._jvm.PythonSQLUtils.explainString(resolved._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    exchanges = [part for part in text.split("\n\n") if re.match(r"\(\d+\) Exchange\n", part)]
+    assert len(exchanges) > 8
+    assert sum("anonymous_id" in part for part in exchanges) == 1
+
+
 def test_counts_read_no_wide_columns(spark, inputs, tmp_path):
     rows, masters, personas, watched = inputs(*brute.random_inputs(random.Random(1), 30))
     path = str(tmp_path / "rows")

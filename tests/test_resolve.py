@@ -65,6 +65,14 @@ def test_second_run_gives_the_same_rows(inputs):
     assert values(resolve.resolve(first, masters, personas, watched)) == values(first)
 
 
+def test_columns_of_any_name_survive(inputs):
+    rows, masters, personas, watched = inputs([(T, "1", None, None)], [("1", None)])
+    rows = rows.select("*", *[F.lit(c).alias(c) for c in ("new", "old", "combo", "fallback", "n_rows", "uuid", "valid_uuid")])
+    row = resolve_valid(rows, masters, personas, watched).first()
+    assert (row.new, row.old, row.combo, row.fallback, row.n_rows, row.uuid) == ("new", "old", "combo", "fallback", "n_rows", "uuid")
+    assert (row.user_id_uuid, row.valid_uuid) == ("1", "1")
+
+
 def test_empty_input(inputs):
     assert values(resolve.resolve(*inputs())) == []
     assert match.three_phase(*inputs()).count() == 0

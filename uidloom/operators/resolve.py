@@ -24,6 +24,7 @@ from uidloom.sources.session import materialize
 
 USER = ["metadata_table", "user_id"]
 HITS = {"persona_uuid": "persona_hit", "rid_uuid": "rid_hit"}
+NEW, OLD = "_new", "_old"
 
 
 def measure_hot_keys(rows: DataFrame, watched: DataFrame) -> HotKeys:
@@ -138,11 +139,11 @@ def _updated(rows: DataFrame, name: str) -> Column:
     A left-join path reaches every row with a user id and clears a value that has no match any more; an
     inner-join path reaches only users with a hit and keeps the value of all others.
     """
-    new = F.col(f"new.{name}")
+    new = F.col(f"{NEW}.{name}")
     if not has_column(rows, name):
         return new
-    reached = F.col(f"new.{HITS[name]}") if name in HITS else F.col("user_id").isNotNull()
-    return F.when(reached, new).otherwise(F.col(f"old.{name}"))
+    reached = F.col(f"{NEW}.{HITS[name]}") if name in HITS else F.col("user_id").isNotNull()
+    return F.when(reached, new).otherwise(F.col(f"{OLD}.{name}"))
 
 
 def write_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) -> DataFrame:
@@ -154,15 +155,15 @@ def write_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) ->
     names = [c for c in users.columns if c in UUID_COLUMNS]
     extra = [c for c in users.columns if c.endswith("_uuid") and c not in UUID_COLUMNS]
     hits = [HITS[c] for c in names if c in HITS and has_column(rows, c)]
-    new = F.struct(*names, *extra, *hits).alias("new")
+    new = F.struct(*names, *extra, *hits).alias(NEW)
     kept = [c for c in rows.columns if c.lower() not in {*names, *extra}]
     previous = present(rows, names)
-    old = [F.struct(*previous).alias("old")] if previous else []
+    old = [F.struct(*previous).alias(OLD)] if previous else []
     joined = split_join(rows.select(*kept, *old), users.select(*USER, new), USER, "user_id", hot_users)
     return joined.select(
         *kept,
         *[_updated(rows, name).alias(name) for name in names],
-        *[F.col(f"new.{name}").alias(name) for name in extra],
+        *[F.col(f"{NEW}.{name}").alias(name) for name in extra],
     )
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+DIFFERENCE = "_difference"
+
 
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Each row once; copies fall together before the shuffle."""
@@ -44,12 +46,12 @@ def reconcile_counts(source: DataFrame, copy: DataFrame, key: str = "metadata_ta
 
 
 def differing_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows that one frame has more often than the other, with the difference ``n``.
+    """Rows that one frame has more often than the other, with the difference as last column.
 
     One aggregation over both frames; copies of a row are counted before the shuffle.
     """
-    both = left.withColumn("n", F.lit(1)).unionByName(right.withColumn("n", F.lit(-1)))
-    return both.groupBy(*left.columns).agg(F.sum("n").alias("n")).where("n <> 0")
+    both = left.withColumn(DIFFERENCE, F.lit(1)).unionByName(right.withColumn(DIFFERENCE, F.lit(-1)))
+    return both.groupBy(*left.columns).agg(F.sum(DIFFERENCE).alias(DIFFERENCE)).where(F.col(DIFFERENCE) != 0)
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:

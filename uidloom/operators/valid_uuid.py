@@ -12,6 +12,8 @@ from uidloom.functions.fixed import UUID_COLUMNS, VALID_UUID
 from uidloom.functions.frames import reset_column
 from uidloom.operators.coverage import PAIRS, combo_name, count_where
 
+CHOICE = "_choice"
+
 
 def _best(entries: list[tuple[str, Column]], name: str) -> list[Column]:
     """The entry with the highest count above 0, the first by name on a tie, as columns ``name`` and ``n``."""
@@ -85,15 +87,20 @@ def _value_of(name: Column) -> Column:
 
 def _with_choices(df: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row per table: bounded by the number of tables, each of which is a scan of this very plan."""
-    return df.join(F.broadcast(chosen.select("metadata_table", "combo", "fallback")), "metadata_table", "left")
+    small = chosen.select("metadata_table", F.struct("combo", "fallback").alias(CHOICE))
+    return df.join(F.broadcast(small), "metadata_table", "left")
 
 
 def _consensus() -> Column:
-    members = F.split("combo", "-")
+    members = F.split(f"{CHOICE}.combo", "-")
     first, second = _value_of(members[0]), _value_of(members[1])
     return F.when(first == second, first)
 
 
+def _fallback() -> Column:
+    return _value_of(F.col(f"{CHOICE}.fallback"))
+
+
 def set_consensus(df: DataFrame, chosen: DataFrame) -> DataFrame:
     """Reset the valid id, then set it where the two columns of the table's pair agree."""
     joined = _with_choices(reset_column(df, VALID_UUID), chosen)
@@ -102,13 +109,13 @@ def set_consensus(df: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def fill_remainder(df: DataFrame, chosen: DataFrame) -> DataFrame:
     """Set the valid id from the fallback column where it is still null."""
-    filled = F.coalesce(F.col(VALID_UUID), _value_of(F.col("fallback")))
+    filled = F.coalesce(F.col(VALID_UUID), _fallback())
     return _with_choices(df, chosen).withColumn(VALID_UUID, filled).select(*df.columns)
 
 
 def set_valid_uuid(df: DataFrame, chosen: DataFrame) -> DataFrame:
     """Reset, consensus and fallback in one step."""
-    valid = F.coalesce(_consensus(), _value_of(F.col("fallback")))
+    valid = F.coalesce(_consensus(), _fallback())
     return _with_choices(df, chosen).withColumn(VALID_UUID, valid).select(*df.columns, *_added(df))
 
 

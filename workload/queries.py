@@ -413,7 +413,8 @@ def count_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
 def differing_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.identifies(spark, sf)
     pairs = [rows, frames.rows_with(rows, "email")]
-    return sets.differing_rows(*[df.select("metadata_table", "user_id") for df in pairs])
+    found = sets.differing_rows(*[df.select("metadata_table", "user_id") for df in pairs])
+    return found.withColumnRenamed(sets.DIFFERENCE, "n")
 
 
 @query
