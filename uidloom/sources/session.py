@@ -11,11 +11,16 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
-    """Settings the operators rely on; sizes stay with the cluster."""
+    """Settings the operators rely on; sizes stay with the cluster.
+
+    One flow generates more than the 100 classes that the cache for compiled code holds by default, so each run
+    would compile all of them again.
+    """
     return (
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.session.timeZone", "UTC")
     )
 
