@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uidloom.llm import mixing, token_output
+from uidloom.llm import html_text, language, mixing, near_dedup, quality, repeats, token_output, toxicity
 from uidloom.llm.exact_dedup import DigestIndex
 from uidloom.sources.session import materialize
 
@@ -29,6 +29,38 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, may_learn = table(spark, sf_dir, "documents"), quality.may_learn(F.col("doc_id"))
+    score = quality.scorer(spark, quality.train(docs, table(spark, sf_dir, "labels"), allowed=may_learn))
+    scored = docs.select("doc_id", (~may_learn).alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, may_learn = table(spark, sf_dir, "documents"), toxicity.may_learn(F.col("doc_id"))
+    score = toxicity.scorer(spark, toxicity.train(docs, table(spark, sf_dir, "labels"), allowed=may_learn))
+    scored = docs.select("doc_id", (~may_learn).alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, may_learn = table(spark, sf_dir, "documents"), language.may_learn(F.col("doc_id"))
+    found = language.identify(docs, language.train(docs, allowed=may_learn))
+    return found.select("doc_id", (~may_learn).alias("held_out"), "lang_pred", "score")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Starts a new index, adds all documents to it, and drops it once the answer is written."""
     index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
@@ -40,5 +72,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
+    "op4_html_text": op4_html_text,
+    "op5_near_dedup": op5_near_dedup,
+    "op6_repeats": op6_repeats,
+    "op7_quality": op7_quality,
+    "op8_toxicity": op8_toxicity,
+    "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
 }

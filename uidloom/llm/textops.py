@@ -20,6 +20,8 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 BYTE_CODES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+IS_LETTER = np.zeros(256, bool)
+IS_LETTER[[*range(65, 91), *range(97, 123)]] = True
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -131,3 +133,88 @@ def shingle_sets(word_hashes: np.ndarray, first: np.ndarray, size: int = 5) -> l
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+# Kinds of bytes in text tokens: a token is a run of word bytes or a run of ASCII marks.
+GAP, WORD, MARK = range(3)
+_KIND = np.full(256, MARK, np.uint8)
+_KIND[:33] = GAP
+_KIND[127] = GAP
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = WORD
+
+
+class Tokens:
+    """Word and mark tokens: start and end bytes, hashes in lower case, whether a word, first token of each text."""
+
+    def __init__(self, texts: Texts):
+        data = texts.data
+        kind = _KIND[data]
+        n = len(data)
+        change = np.ones(n, bool)
+        change[1:] = kind[1:] != kind[:-1]
+        change[texts.ends[:-1][texts.ends[:-1] < n]] = True
+        at = np.flatnonzero(change)
+        kinds = kind[at]
+        real = kinds != GAP
+        self.start = at[real]
+        self.end = np.append(at[1:], n)[real]
+        self.is_word = kinds[real] == WORD
+        self.hash = stretch_hashes(prefix_hashes(LOWER[data]), self.start, self.end)
+        self.first = np.searchsorted(self.start, texts.ends)
+        self.data = data
+
+    def of_text(self) -> np.ndarray:
+        """The text of each token."""
+        return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
+
+
+def hash_word(word: str) -> int:
+    """The hash of one token, as in ``Tokens``."""
+    data = LOWER[np.frombuffer(word.encode(), np.uint8)]
+    return int(stretch_hashes(prefix_hashes(data), np.array([0]), np.array([len(data)]))[0])
+
+
+class KeySet:
+    """Finds a few hashes among many: most of the many fail a bit test first."""
+
+    BITS = 20
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.unique(np.asarray(keys, np.uint64))
+        self.bits = np.zeros(1 << self.BITS, bool)
+        self.bits[self.keys >> np.uint64(64 - self.BITS)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions in ``hashes`` of members, and which member each is."""
+        maybe = np.flatnonzero(self.bits[hashes >> np.uint64(64 - self.BITS)])
+        if not len(self.keys):
+            return maybe[:0], maybe[:0]
+        at = np.minimum(np.searchsorted(self.keys, hashes[maybe]), len(self.keys) - 1)
+        sure = self.keys[at] == hashes[maybe]
+        return maybe[sure], at[sure]
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Cut a stream sorted by its first ``keys`` columns into tables of rows with equal keys."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        new = np.zeros(n, bool)
+        for column in columns:
+            new[1:] |= column[1:] != column[:-1]
+        if held:
+            new[0] = any(held[-1].column(k)[-1].as_py() != batch.column(k)[0].as_py() for k in range(keys))
+        cuts = [*np.flatnonzero(new).tolist(), n]
+        low = 0
+        for cut in cuts[:-1]:
+            if cut > low:
+                held.append(batch.slice(low, cut - low))
+            if held:
+                yield pa.Table.from_batches(held)
+            held, low = [], cut
+        held.append(batch.slice(low))
+    if held:
+        yield pa.Table.from_batches(held)
