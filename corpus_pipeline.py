@@ -10,6 +10,9 @@ from uidloom.llm import stages
 from uidloom.sources.session import materialize
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", stages.good),
+    ("near_dedup", stages.deduplicated),
+    ("decontamination", stages.decontaminated),
     ("mixing", stages.mixed),
     ("token_output", stages.tokens),
 ]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uidloom.llm import html_text, language, mixing, near_dedup, quality, repeats, token_output, toxicity
+from uidloom.llm import decontaminate, html_text, language, mixing, near_dedup, quality, repeats, token_output, toxicity
 from uidloom.llm.exact_dedup import DigestIndex
 from uidloom.sources.session import materialize
 
@@ -29,6 +29,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that it holds."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -72,6 +77,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
+    "op3_decontamination": op3_decontamination,
     "op4_html_text": op4_html_text,
     "op5_near_dedup": op5_near_dedup,
     "op6_repeats": op6_repeats,

@@ -1,17 +1,54 @@
-"""The stages of the corpus pipeline. Each takes all documents that the stage before it kept."""
+"""The stages of the corpus pipeline. Each takes all documents that the stage before it kept.
+
+All but the last return the columns of documents. Rows without an id are kept where ids decide, as nothing tells
+them apart; of rows that repeat an id, one stays when near duplicates are removed.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uidloom.llm import mixing, token_output
+from uidloom.llm import decontaminate, mixing, near_dedup, quality, token_output
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+QUALITY = 0.7
+NEAR_PERCENT = 80
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    score = quality.scorer(spark, quality.train(docs, labels, allowed=quality.may_learn(F.col("doc_id"))))
+    return docs.select(*COLUMNS).where(score("text") >= QUALITY)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id."""
+    docs = docs.select(*COLUMNS)
+    found = near_dedup.near_duplicates(docs, NEAR_PERCENT)
+    by_id = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("kept").alias("kept"), F.count("*").alias("rows"), F.max("n_shingles").alias("words")
+    )
+    stay = near_dedup.materialize(by_id.where("kept"), "kept_ids")
+    several = (F.col("rows") > 1) & (F.col("words") > 0)
+    result = docs.join(stay.where(~several).select("doc_id"), "doc_id", "left_semi")
+    result = result.unionByName(docs.where("doc_id IS NULL"))
+    repeated = stay.where(several).select("doc_id")
+    if repeated.isEmpty():
+        return result
+    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return result.unionByName(one.select("row.*"))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.without_matches(docs.select(*COLUMNS), benchmark)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or leave out documents so that the sources get their target weights."""
+    """Documents repeated or left out so that the sources get their target weights."""
     return mixing.repeat_rows(docs, mixing.mix(docs), COLUMNS)
 
 
