@@ -86,4 +86,4 @@ def test_preview_has_null_counts_only(spark):
 def test_scan_of_a_real_catalog(spark, database):
     spark.sql(f"CREATE TABLE {database}.A__IDENTIFIES (ID string, USER_ID string) USING parquet")
     rows = [tuple(r) for r in catalog.column_catalog(spark, database).where("table_name ILIKE 'a__identifies'").collect()]
-    assert sorted((c.lower(), t, n) for _, c, t, n in rows) == [("id", "string", "YES"), ("user_id", "string", "YES")]
+    assert sorted((c.lower(), t, n) for _, c, t, n, _ in rows) == [("id", "string", "YES"), ("user_id", "string", "YES")]

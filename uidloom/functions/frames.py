@@ -34,9 +34,9 @@ def rows_without(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def add_string_column(df: DataFrame, name: str) -> DataFrame:
-    """Add a nullable string column if the frame lacks it."""
-    return df if has_column(df, name) else reset_column(df, name)
+def add_string_column(df: DataFrame, name: str, default: str | None = None) -> DataFrame:
+    """Add a nullable string column if the frame lacks it; all rows get the default."""
+    return df if has_column(df, name) else df.withColumn(name, F.lit(default).cast("string"))
 
 
 def reset_column(df: DataFrame, name: str) -> DataFrame:

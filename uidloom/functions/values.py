@@ -10,10 +10,15 @@ from pyspark.sql import Column, functions as F
 
 from uidloom.functions.fixed import TRUE_WORDS
 
+WHITE_SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
 
 def collapse_spaces(text: Column) -> Column:
-    """Strip white space at both ends and turn each inner run of it into one blank."""
-    return F.trim(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " "))
+    """Strip white space at both ends and turn each inner run of it into one blank.
+
+    White space is what Unicode calls so, and the four separators 1C to 1F of ASCII.
+    """
+    return F.trim(F.regexp_replace(text, f"[{WHITE_SPACE}]+", " "))
 
 
 def to_bool(text: Column) -> Column:

@@ -11,7 +11,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from uidloom.functions.fixed import UUID_COLUMNS, VALID_UUID
+from uidloom.functions.fixed import RID_COLUMN, UUID_COLUMNS, VALID_UUID
 from uidloom.functions.frames import has_column
 from uidloom.functions.names import combo_label
 from uidloom.functions.values import all_equal, percent, thousands
@@ -46,6 +46,22 @@ def uuid_counts(df: DataFrame, weight: str | None = None) -> DataFrame:
     )
 
 
+def for_tables(report: DataFrame, descriptors: DataFrame) -> DataFrame:
+    """A report with one row for every described table, also for those without rows.
+
+    A count that has no row is 0; the count of a path that cannot run, the rid path of a table without a rid,
+    is null.
+    """
+    tables = descriptors.select("metadata_table", F.array_contains("columns", RID_COLUMN).alias("_has_rid"))
+    joined = tables.join(report, "metadata_table", "left")
+
+    def filled(name: str, kind: str) -> Column:
+        value = F.coalesce(F.col(name), F.lit(0).cast(kind))
+        return (F.when(F.col("_has_rid"), value) if name == UUID_COLUMNS[-1] else value).alias(name)
+
+    return joined.select(*[F.col(n) if n == "metadata_table" else filled(n, kind) for n, kind in report.dtypes])
+
+
 def uuid_counts_long(counts: DataFrame) -> DataFrame:
     """The wide counts as one row per table and column."""
     return counts.unpivot(["metadata_table"], ["total", *UUID_COLUMNS], "name", "n")

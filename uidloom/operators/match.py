@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from uidloom.functions.values import percent
@@ -27,6 +30,26 @@ def match_rate(rows: DataFrame, column: str, others: DataFrame, other_column: st
     return counts.withColumn("match_percent", percent(F.col("n_matched"), F.col("n_values")))
 
 
+def match_rates(rows: DataFrame, known: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``match_rate`` of several text columns, each with its own frame and column, in one scan of the rows."""
+    names = list(known)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in names])
+    values = rows.select(F.inline(pairs)).where("value IS NOT NULL").groupBy("column_name", "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    others = [
+        frame.select(F.lit(c).alias("column_name"), F.col(other).cast("string").alias("value")).distinct()
+        for c, (frame, other) in known.items()
+    ]
+    matched = values.join(reduce(DataFrame.unionByName, others).withColumn("known", F.lit(True)), ["column_name", "value"], "left")
+    counts = matched.groupBy("column_name").agg(
+        F.sum("n").alias("n_values"), F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("n_matched")
+    )
+    listed = rows.sparkSession.createDataFrame([(c,) for c in names], "column_name string")
+    filled = listed.join(counts, "column_name", "left").fillna(0, ["n_values", "n_matched"])
+    return filled.withColumn("match_percent", percent(F.col("n_matched"), F.col("n_values")))
+
+
 def three_phase(
     rows: DataFrame,
     masters: DataFrame,

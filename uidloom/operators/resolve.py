@@ -23,16 +23,19 @@ from uidloom.operators.skew import HotKeys, hot_keys, split_join, spread_join
 from uidloom.sources.session import materialize
 
 USER = ["metadata_table", "user_id"]
+KEYS = ["user_id", "email", "rid"]
 HITS = {"persona_uuid": "persona_hit", "rid_uuid": "rid_hit"}
 NEW, OLD = "_new", "_old"
+ROW = "-"
+"""Among the candidates of a user, the one that counts its rows; emails start with e, and rids with r."""
 
 
 def measure_hot_keys(rows: DataFrame, watched: DataFrame) -> HotKeys:
     """The hot values of every join key of the paths, under the names the path functions expect."""
-    keys = rows.select("user_id", "email", "rid").unionByName(
+    keys = rows.select(*present(rows, KEYS)).unionByName(
         watched.select(F.col("user_id").alias("watched")), allowMissingColumns=True
     )
-    return hot_keys(keys, keys.columns)
+    return {name: {} for name in KEYS} | hot_keys(keys, keys.columns)
 
 
 def master_ids(masters: DataFrame) -> DataFrame:
@@ -114,21 +117,33 @@ def user_map(
 ) -> DataFrame:
     """All four paths at once: one row per (metadata_table, user_id) with its row count.
 
-    The candidates of the email and rid paths share one aggregation; its result and the user keys are
-    partitioned alike, so joining them moves nothing.
+    The rows are read once: each gives its user, and its email and rid as candidates of the user, and equal
+    ones fall together before the shuffle. Emails and rids meet their two lookups in one join. Where the
+    rows have no rid, that path does not run and its column is null.
     """
     hot = measure_hot_keys(rows, watched) if hot is None else hot
-    found = (
-        _name_candidates(rows, masters, hot)
-        .unionByName(_rid_candidates(rows, watched, masters, hot), allowMissingColumns=True)
-        .groupBy(*USER)
-        .agg(
-            F.min("username_uuid").alias("username_uuid"),
-            F.min("rid_uuid").alias("rid_uuid"),
-            F.max("rid_hit").alias("rid_hit"),
-        )
+    kinds = {"e": "email", "r": "rid"} if has_column(rows, "rid") else {"e": "email"}
+    keys = F.array(F.lit(ROW), *[F.concat(F.lit(kind), F.col(column)) for kind, column in kinds.items()])
+    listed = rows.select(*USER, F.explode(F.array_compact(keys)).alias("candidate"))
+    entries = listed.groupBy(*USER, "candidate").agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def lookup(kind: str, frame: DataFrame, key: str, value: str) -> DataFrame:
+        return frame.select(F.concat(F.lit(kind), key).alias("candidate"), F.col(value).alias("uuid"), F.lit(True).alias("hit"))
+
+    known = lookup("e", master_names(masters), "username", "uuid")
+    if "r" in kinds:
+        known = known.unionByName(lookup("r", watched_masters(watched, masters, hot["watched"]), "rid", "rid_uuid"))
+    shares = {kind + value: n for kind, column in kinds.items() for value, n in hot[column].items()}
+    is_row = F.col("candidate") == ROW
+    entries = entries.where(is_row | F.col("user_id").isNotNull()).withColumn("candidate", F.when(~is_row, F.col("candidate")))
+    matched = spread_join(entries, known, "candidate", shares)  # the rows' own entries have no key, and are spread
+    by_rid = F.startswith("candidate", F.lit("r"))
+    users = matched.groupBy(*USER).agg(
+        F.sum(F.when(F.col("candidate").isNull(), F.col("n_rows"))).alias("n_rows"),
+        F.min(F.when(~by_rid, F.col("uuid"))).alias("username_uuid"),
+        F.min(F.when(by_rid, F.col("uuid"))).alias("rid_uuid"),
+        F.max(F.when(by_rid & F.col("hit"), F.lit(True))).alias("rid_hit"),
     )
-    users = user_keys(rows).join(found, USER, "left")
     users = _with_persona(_with_user_id_uuid(users, masters), personas)
     return users.select(*USER, "n_rows", *UUID_COLUMNS, *HITS.values())
 
@@ -149,6 +164,9 @@ def _updated(rows: DataFrame, name: str) -> Column:
 def write_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) -> DataFrame:
     """Give every row the values of its user; the number of rows stays the same.
 
+    Without hot users the rows are read once, and those without a user are spread by a hash of the row. With
+    hot users the rows are read twice: those of hot users stay where they are. Either way gives the same rows.
+
     ``users`` holds one row per (metadata_table, user_id) with any of the UUID columns. UUID columns that
     the rows have from an earlier run are cleared or kept as ``_updated`` says.
     """
@@ -159,7 +177,11 @@ def write_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) ->
     kept = [c for c in rows.columns if c.lower() not in {*names, *extra}]
     previous = present(rows, names)
     old = [F.struct(*previous).alias(OLD)] if previous else []
-    joined = split_join(rows.select(*kept, *old), users.select(*USER, new), USER, "user_id", hot_users)
+    wide, narrow = rows.select(*kept, *old), users.select(*USER, new)
+    if hot_users:
+        joined = split_join(wide, narrow, USER, "user_id", hot_users)
+    else:
+        joined = spread_join(wide, narrow, "user_id", {}, on=USER)
     return joined.select(
         *kept,
         *[_updated(rows, name).alias(name) for name in names],
@@ -180,3 +202,13 @@ def resolve(
     if hot["user_id"]:
         users = materialize(users, "user_map")  # read for the hot and for all other users
     return write_back(rows, users, hot["user_id"])
+
+
+def users_after(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) -> DataFrame:
+    """One row for each user and set of earlier UUIDs in the rows, as it is after a run, with its row count.
+
+    It stands for the wide rows wherever only their users and UUIDs count.
+    """
+    earlier = present(rows, UUID_COLUMNS)
+    seen = rows.groupBy(*USER, *earlier).agg(F.count(F.lit(1)).alias("n_rows"))
+    return write_back(seen, users.drop("n_rows"), hot_users)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DIFFERENCE = "_difference"
 
@@ -19,21 +18,32 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def union_tables(frames: Mapping[str, DataFrame], columns: Sequence[str]) -> DataFrame:
+def union_tables(
+    frames: Mapping[str, DataFrame], columns: Sequence[str], types: Mapping[str, str] | None = None
+) -> DataFrame:
     """Many tables as one frame with the table's name as a key column.
 
-    A column that a table lacks is null, of the type it has in the first table with it.
+    ``types`` gives the type of a column in the result; any other column has the type of the first table with it.
+    A column that a table lacks is null. No tables give a frame without rows. The union is built as a
+    balanced tree, so that each plan is analysed a few times only, however many tables there are.
     """
-    types = {
-        field.name.lower(): field.dataType for df in reversed(frames.values()) for field in df.schema.fields
-    }
+    found = {field.name.lower(): field.dataType for df in reversed(frames.values()) for field in df.schema.fields}
+    kinds = {c.lower(): (types or {}).get(c.lower(), found.get(c.lower(), "string")) for c in columns}
 
     def shaped(name: str, df: DataFrame) -> DataFrame:
         own = {c.lower(): F.col(f"`{c}`") for c in df.columns}
-        cells = [own.get(c, F.lit(None).cast(types.get(c, "string"))).alias(c) for c in map(str.lower, columns)]
+        cells = [own.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
         return df.select(F.lit(name).alias("metadata_table"), *cells)
 
-    return reduce(DataFrame.unionByName, [shaped(name, df) for name, df in frames.items()])
+    parts = [shaped(name, df) for name, df in frames.items()]
+    if not parts:
+        spark = SparkSession.active()
+        empty = spark.range(0).select(F.lit(None).cast("string").alias("metadata_table"))
+        return empty.select("metadata_table", *[F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()])
+    while len(parts) > 1:
+        pairs = zip(parts[::2], parts[1::2])
+        parts = [a.unionByName(b) for a, b in pairs] + parts[len(parts) // 2 * 2 :]
+    return parts[0]
 
 
 def reconcile_counts(source: DataFrame, copy: DataFrame, key: str = "metadata_table") -> DataFrame:

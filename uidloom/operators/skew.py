@@ -10,8 +10,10 @@ from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-MAX_HOT_KEYS = 500
-TRACKED_ITEMS = 8 * MAX_HOT_KEYS
+MAX_HOT_KEYS = 5000
+"""Most hot values told apart in one column. A key is hot above the rows of an average partition, so there are at
+most as many as partitions; beyond this bound the smallest of them are left to adaptive execution."""
+BROADCAST_ROWS = 100_000
 SKETCH_GROUPS = 128
 SHARES_PER_PARTITION = 4
 SHARE = "_share"
@@ -36,10 +38,13 @@ def hot_keys(rows: DataFrame, columns: Sequence[str]) -> HotKeys:
     """Per string column, the values that hold more rows than an average shuffle partition.
 
     One scan of the given columns feeds a frequent-items sketch of fixed size per column and task; sketches
-    are merged in two steps, and the driver gets at most ``MAX_HOT_KEYS`` values per column. A key too rare
+    are merged in two steps, and the driver gets as many values per column as there are partitions,
+    ``MAX_HOT_KEYS`` at most. A key too rare
     for the sketch is left to the skew handling of adaptive execution.
     """
     partitions = partition_count(rows)
+    most = min(MAX_HOT_KEYS, partitions)
+    tracked = 8 * most
     values = (
         rows.select(*columns)
         .unpivot([], list(columns), "name", "value")
@@ -47,12 +52,12 @@ def hot_keys(rows: DataFrame, columns: Sequence[str]) -> HotKeys:
         .withColumn("part", F.spark_partition_id() % SKETCH_GROUPS)
     )
     sketches = values.groupBy("name", "part").agg(
-        F.expr(f"approx_top_k_accumulate(value, {TRACKED_ITEMS})").alias("sketch"), F.count("value").alias("n")
+        F.expr(f"approx_top_k_accumulate(value, {tracked})").alias("sketch"), F.count("value").alias("n")
     )
     merged = sketches.groupBy("name").agg(
-        F.expr(f"approx_top_k_combine(sketch, {TRACKED_ITEMS})").alias("sketch"), F.sum("n").alias("n")
+        F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n")
     )
-    top = merged.select("name", "n", F.expr(f"inline(approx_top_k_estimate(sketch, {MAX_HOT_KEYS}))"))
+    top = merged.select("name", "n", F.expr(f"inline(approx_top_k_estimate(sketch, {most}))"))
     hot = top.where(F.col("count") * partitions > F.col("n")).collect()
     return {
         c: {row["item"]: _shares_for(row["count"] / row["n"], partitions) for row in hot if row["name"] == c}
@@ -67,23 +72,33 @@ def _shares_of(key: str, hot: Mapping[str, int]) -> Column:
     return shares
 
 
+def _hashed(rows: DataFrame) -> list[str]:
+    """The columns that a hash can take."""
+    return [f"`{name}`" for name, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+
+
 def spread_join(
-    rows: DataFrame, lookup: DataFrame, key: str, hot: Mapping[str, int], how: str = "left"
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    hot: Mapping[str, int],
+    how: str = "left",
+    on: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join rows to a lookup that is unique on ``key``, with hot and null keys spread over the partitions.
+    """Join rows to a lookup that is unique on ``on``, with hot and null values of ``key`` spread over the partitions.
 
-    The rows of a hot key are cut by a hash of the whole row, which a lost task computes again alike, and
-    its one lookup row is repeated once per share. The shares of a key follow its part of the rows, so all
-    repeats together are bounded by a small multiple of the number of partitions. Rows should be distinct,
-    as copies of one row share a hash.
+    ``on`` is the key alone unless given. The rows of a hot key are cut by a hash of the whole row, which a
+    lost task computes again alike, and its lookup rows are repeated once per share. The shares of a key
+    follow its part of the rows, so all repeats together are bounded by a small multiple of the number of
+    partitions. The rows are read once, hot keys or not. Copies of one row share a hash.
     """
     null_shares = _shares_for(1.0, partition_count(rows))
     shares = F.when(F.col(key).isNull(), null_shares).otherwise(_shares_of(key, hot))
-    share = F.when(shares > 1, F.pmod(F.xxhash64(*rows.columns), shares).cast("int")).otherwise(0)
+    share = F.when(shares > 1, F.pmod(F.xxhash64(*_hashed(rows)), shares).cast("int")).otherwise(0)
     repeats = F.sequence(F.lit(0), _shares_of(key, hot) - 1)
     return (
         rows.withColumn(SHARE, share)
-        .join(lookup.withColumn(SHARE, F.explode(repeats)), [key, SHARE], how)
+        .join(lookup.withColumn(SHARE, F.explode(repeats)), [*(on or [key]), SHARE], how)
         .drop(SHARE)
     )
 
@@ -94,11 +109,15 @@ def split_join(
     """Left join rows to a lookup that is unique on ``on``; only rows with an ordinary key are shuffled.
 
     Rows whose key is null or hot stay where they were read and meet a broadcast of the hot lookup rows.
-    It holds at most one row per hot key and value of the other ``on`` columns. This costs a second scan of
-    the rows, and copies of one row cannot pile up.
+    It holds at most one row per hot key and value of the other ``on`` columns; if these are more than
+    ``BROADCAST_ROWS``, they are joined without a broadcast. This costs a second scan of the rows, and
+    copies of one row cannot pile up.
     """
     is_hot = F.col(key).isin(list(hot))
     apart = F.col(key).isNull() | is_hot
-    stay = rows.where(apart).join(F.broadcast(lookup.where(is_hot)), list(on), "left")
+    few = lookup.where(is_hot)
+    if len(few.select(*on).take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS:
+        few = F.broadcast(few)
+    stay = rows.where(apart).join(few, list(on), "left")
     move = rows.where(~apart).join(lookup.where(~is_hot), list(on), "left")
     return stay.unionByName(move)

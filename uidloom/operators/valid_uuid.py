@@ -1,7 +1,7 @@
 """One valid id per row: the best agreeing pair first, then a fallback column.
 
-The choice of pair and fallback is one small row per table. It is either computed here or given by the
-caller, and it is the only thing that is broadcast.
+The choice of pair and fallback is one small row per table, computed here or given by the caller. It is broadcast if
+it has few rows, which is checked; of several choices for one table the smallest counts.
 """
 
 from __future__ import annotations
@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from uidloom.functions.fixed import UUID_COLUMNS, VALID_UUID
-from uidloom.functions.frames import reset_column
+from uidloom.functions.frames import has_column, reset_column
 from uidloom.operators.coverage import PAIRS, combo_name, count_where
 
 CHOICE = "_choice"
+BROADCAST_ROWS = 100_000
 
 
 def _best(entries: list[tuple[str, Column]], name: str) -> list[Column]:
@@ -86,9 +87,10 @@ def _value_of(name: Column) -> Column:
 
 
 def _with_choices(df: DataFrame, chosen: DataFrame) -> DataFrame:
-    """One row per table: bounded by the number of tables, each of which is a scan of this very plan."""
-    small = chosen.select("metadata_table", F.struct("combo", "fallback").alias(CHOICE))
-    return df.join(F.broadcast(small), "metadata_table", "left")
+    single = chosen.groupBy("metadata_table").agg(F.min(F.struct("combo", "fallback")).alias(CHOICE))
+    if len(single.select("metadata_table").take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS:
+        single = F.broadcast(single)
+    return df.join(single, "metadata_table", "left")
 
 
 def _consensus() -> Column:
@@ -104,20 +106,22 @@ def _fallback() -> Column:
 def set_consensus(df: DataFrame, chosen: DataFrame) -> DataFrame:
     """Reset the valid id, then set it where the two columns of the table's pair agree."""
     joined = _with_choices(reset_column(df, VALID_UUID), chosen)
-    return joined.withColumn(VALID_UUID, _consensus()).select(*df.columns, *_added(df))
+    return _in_order(joined.withColumn(VALID_UUID, _consensus()), df)
 
 
 def fill_remainder(df: DataFrame, chosen: DataFrame) -> DataFrame:
     """Set the valid id from the fallback column where it is still null."""
     filled = F.coalesce(F.col(VALID_UUID), _fallback())
-    return _with_choices(df, chosen).withColumn(VALID_UUID, filled).select(*df.columns)
+    return _in_order(_with_choices(df, chosen).withColumn(VALID_UUID, filled), df)
 
 
 def set_valid_uuid(df: DataFrame, chosen: DataFrame) -> DataFrame:
     """Reset, consensus and fallback in one step."""
     valid = F.coalesce(_consensus(), _fallback())
-    return _with_choices(df, chosen).withColumn(VALID_UUID, valid).select(*df.columns, *_added(df))
+    return _in_order(_with_choices(df, chosen).withColumn(VALID_UUID, valid), df)
 
 
-def _added(df: DataFrame) -> list[str]:
-    return [] if VALID_UUID in df.columns else [VALID_UUID]
+def _in_order(result: DataFrame, df: DataFrame) -> DataFrame:
+    """The columns of ``df`` in their order and case, the valid id last if it is new."""
+    added = [] if has_column(df, VALID_UUID) else [VALID_UUID]
+    return result.select(*[F.col(f"`{c}`").alias(c) for c in df.columns], *added)

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from uidloom.functions.fixed import UUID_COLUMNS, VALID_UUID
 from uidloom.functions.frames import present
 from uidloom.operators import coverage
-from uidloom.operators.resolve import measure_hot_keys, resolve, user_map, write_back
+from uidloom.operators.resolve import measure_hot_keys, user_map, users_after, write_back
 from uidloom.operators.skew import HotKeys
 from uidloom.operators.valid_uuid import choices, set_valid_uuid
 from uidloom.sources.catalog import column_catalog, discover_tables, preview_counts
 from uidloom.sources.session import materialize
-from uidloom.sources.snapshots import DESCRIPTORS, PARQUET, save_and_verify, save_snapshot
+from uidloom.sources.snapshots import DESCRIPTORS, PARQUET, save_and_verify, save_snapshot, snapshot_path
 from uidloom.sources.tables import read_identifies
 
 RESOLVED = "resolved_rows"
@@ -34,18 +34,18 @@ def resolve_valid(
     """The rows with their four UUID columns and one valid id.
 
     On a fresh run all of it is decided on one row per user, and the wide rows are joined once. Rows that
-    carry values of an earlier run may differ within a user, so there the choice is made on the rows.
+    carry values of an earlier run may differ within a user, so there the choice is made on one row for each
+    user and set of earlier values. Either way the wide rows are read once, and written nowhere in between.
     """
     hot = measure_hot_keys(rows, watched) if hot is None else hot
-    if present(rows, UUID_COLUMNS):
-        resolved = resolve(rows, masters, personas, watched, hot)
-        if chosen is None:
-            resolved = materialize(resolved, RESOLVED)
-            chosen = choices(resolved)
-        return set_valid_uuid(resolved, chosen)
     users = user_map(rows, masters, personas, watched, hot)
     if chosen is not None and hot["user_id"]:
         users = materialize(users, "user_map")
+    if present(rows, UUID_COLUMNS):
+        if chosen is None:
+            users = materialize(users, "user_map")
+            chosen = materialize(choices(users_after(rows, users, hot["user_id"]), "n_rows"), "choices")
+        return set_valid_uuid(write_back(rows, users, hot["user_id"]), chosen)
     return write_back(rows, valid_users(users, chosen), hot["user_id"])
 
 
@@ -76,15 +76,16 @@ def run(
 ) -> Run:
     """Resolve, write the rows as a new snapshot, and count what was written."""
     resolved = resolve_valid(rows, masters, personas, watched)
-    rows_path = save_snapshot(resolved, root, RESOLVED, PARQUET, at)
+    rows_path = save_snapshot(resolved, root, RESOLVED, PARQUET, at, by=["metadata_table"])
     written = rows.sparkSession.read.schema(resolved.schema).parquet(rows_path)
     counts_path = save_snapshot(coverage.uuid_counts(written), root, COUNTS, PARQUET, at)
     return Run(rows_path, counts_path, rows.sparkSession.read.parquet(counts_path))
 
 
-def discover(spark: SparkSession, database: str, root: str, at: datetime | None = None) -> DataFrame:
-    """Find the tables to resolve in a database, save their descriptors, and return them as saved."""
-    return save_and_verify(discover_tables(column_catalog(spark, database)), root, DESCRIPTORS, at)[1]
+def discover(spark: SparkSession, catalog: str | DataFrame, root: str, at: datetime | None = None) -> DataFrame:
+    """Find the tables to resolve in a database or a given column catalog, save their descriptors, return them."""
+    listed = column_catalog(spark, catalog) if isinstance(catalog, str) else catalog
+    return save_and_verify(discover_tables(listed), root, DESCRIPTORS, at)[1]
 
 
 def preview(descriptors: DataFrame) -> DataFrame:
@@ -92,23 +93,71 @@ def preview(descriptors: DataFrame) -> DataFrame:
     return preview_counts(descriptors)
 
 
-def read_discovered(spark: SparkSession, descriptors: DataFrame, locate: Callable[[str, str], str]) -> DataFrame:
-    """The rows of all discovered tables, each tagged with its metadata table.
+Locate = Callable[[str, str], str]
+
 
-    ``locate`` turns (segment table, metadata table) into the name to read. The driver holds one pair of names
-    per table.
+def located(descriptors: DataFrame, locate: Locate | None = None) -> list[tuple[str, str]]:
+    """(metadata table, name to read) of all descriptors; the driver holds one pair of names per table.
+
+    ``locate`` turns (segment table, metadata table) into the name; without it the descriptors must say it.
     """
-    names = descriptors.select("segment_table", "metadata_table").orderBy("metadata_table").collect()
-    return read_identifies(spark, [(metadata, locate(segment, metadata)) for segment, metadata in names])
+    name = F.col("source_name") if locate is None else F.lit(None)
+    found = descriptors.select("segment_table", "metadata_table", name).orderBy("metadata_table").collect()
+    return [(metadata, source if locate is None else locate(segment, metadata)) for segment, metadata, source in found]
+
+
+def read_discovered(
+    spark: SparkSession, descriptors: DataFrame, locate: Locate | None = None, extra: Collection[str] = ()
+) -> DataFrame:
+    """The rows of all discovered tables, each tagged with its metadata table; see ``read_identifies``."""
+    return read_identifies(spark, located(descriptors, locate), extra)
 
 
 def resolve_table(
     table: DataFrame, metadata_table: str, users: DataFrame, hot_users: Collection[str]
 ) -> DataFrame:
     """One source table with all of its own columns, whatever they are, and the values of the user map."""
-    keyed = table.withColumn("metadata_table", F.lit(metadata_table))
+    kinds = {f.name: f.dataType for f in table.schema.fields if f.name.lower() == "user_id"}
+    as_text = table.withColumns({name: F.col(f"`{name}`").cast("string") for name in kinds})
     mine = users.where(F.col("metadata_table") == metadata_table)
-    return write_back(keyed, mine, hot_users).drop("metadata_table")
+    written = write_back(as_text.withColumn("metadata_table", F.lit(metadata_table)), mine, hot_users)
+    return written.withColumns({name: F.col(f"`{name}`").cast(kind) for name, kind in kinds.items()}).drop("metadata_table")
+
+
+def run_tables(
+    spark: SparkSession,
+    descriptors: DataFrame,
+    masters: DataFrame,
+    personas: DataFrame,
+    watched: DataFrame,
+    root: str,
+    at: datetime,
+    locate: Locate | None = None,
+) -> Run:
+    """Resolve all discovered tables and save each with all of its columns and its earlier values.
+
+    Users and choices come from the narrow columns of all tables at once; then each table is read once, and
+    written below ``rows_path`` in a folder of its own, ``metadata_table=<name>``. A table without rows is
+    written as well. The counts come from the narrow columns and the descriptors.
+    """
+    names = located(descriptors, locate)
+    narrow = read_identifies(spark, names, UUID_COLUMNS)
+    hot = measure_hot_keys(narrow, watched)
+    users = materialize(user_map(narrow, masters, personas, watched, hot), "user_map")
+    after = materialize(users_after(narrow, users, hot["user_id"]), "users_after")
+    chosen = materialize(choices(after, "n_rows"), "choices")
+    rows_path = snapshot_path(root, RESOLVED, PARQUET, at)
+    for metadata, name in names:
+        table = resolve_table(spark.table(name), metadata, users, hot["user_id"]).withColumn("metadata_table", F.lit(metadata))
+        set_valid_uuid(table, chosen).drop("metadata_table").write.parquet(f"{rows_path}/metadata_table={metadata}")
+    counts = coverage.for_tables(coverage.uuid_counts(after, "n_rows"), descriptors)
+    counts_path = save_snapshot(counts, root, COUNTS, PARQUET, at)
+    return Run(rows_path, counts_path, spark.read.parquet(counts_path))
+
+
+def resolved_table(spark: SparkSession, run: Run, metadata_table: str) -> DataFrame:
+    """What a run over tables saved of one of them."""
+    return spark.read.parquet(f"{run.rows_path}/metadata_table={metadata_table}")
 
 
 def unresolved(resolved: DataFrame) -> DataFrame:

@@ -12,21 +12,33 @@ from uidloom.functions.fixed import (
     TRACKED_COLUMNS,
     UUID_COLUMNS,
 )
+from uidloom.functions.frames import has_column
 from uidloom.functions.names import contains_any, contains_none, decode_table, encode_table, query_name_of
 from uidloom.functions.values import append_column, join_columns
 from uidloom.operators.coverage import COMBOS, combo_name
 
-CATALOG_SCHEMA = "table_name string, column_name string, data_type string, is_nullable string"
+CATALOG_SCHEMA = "table_name string, column_name string, data_type string, is_nullable string, source_name string"
+SOURCE = "source_name"
+
+
+def quoted(*parts: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
 def column_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:
-    """One row per column of each table and view; names come from the metastore, no data is read."""
+    """One row per column of each table and view of a database; temporary views of the session are left out.
+
+    A Spark catalog may lower the case of names, and the rules on names are written for upper case. So names
+    are turned to upper case here, and ``source_name`` is the quoted name to read. Only the metastore is
+    asked: the driver holds names, and no data is read.
+    """
+    database = database or spark.catalog.currentDatabase()
     found = [
-        (table.name, column.name, column.dataType, "YES" if column.nullable else "NO")
+        (table.name.upper(), column.name.upper(), column.dataType, "YES" if column.nullable else "NO", name)
         for table in spark.catalog.listTables(database)
-        for column in spark.catalog.listColumns(
-            table.name if table.isTemporary or database is None else f"{database}.{table.name}"
-        )
+        if not table.isTemporary
+        for name in [quoted(database, table.name)]
+        for column in spark.catalog.listColumns(name)
     ]
     return spark.createDataFrame(found, CATALOG_SCHEMA)
 
@@ -57,16 +69,20 @@ def discover_tables(catalog: DataFrame) -> DataFrame:
     """Descriptors of the wanted tables that have all key columns.
 
     ``columns`` lists the tracked columns of the table, sorted; at most eight per table, so the set built
-    per group is bounded.
+    per group is bounded. A catalog that says which name to read passes it on as ``source_name``.
     """
+    source = [F.min(SOURCE).alias(SOURCE)] if has_column(catalog, SOURCE) else []
     sets = (
         tracked_columns(wanted_tables(catalog))
         .groupBy("segment_table")
-        .agg(F.array_sort(F.collect_set("column_name")).alias("columns"))
+        .agg(F.array_sort(F.collect_set("column_name")).alias("columns"), *source)
     )
     required = F.array(*[F.lit(c) for c in KEY_COLUMNS])
     return sets.where(F.size(F.array_except(required, "columns")) == 0).select(
-        "segment_table", encode_table(F.col("segment_table")).alias("metadata_table"), "columns"
+        "segment_table",
+        encode_table(F.col("segment_table")).alias("metadata_table"),
+        "columns",
+        *([SOURCE] if source else []),
     )
 
 

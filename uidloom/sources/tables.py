@@ -6,8 +6,22 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from uidloom.functions.fixed import METADATA_SCHEMA, TABLE_NAME_PARTS, TRACKED_COLUMNS
+from uidloom.functions.fixed import (
+    KEY_COLUMNS,
+    METADATA_SCHEMA,
+    RID_COLUMN,
+    TABLE_NAME_PARTS,
+    TIMESTAMP_COLUMNS,
+    TRACKED_COLUMNS,
+    UUID_COLUMNS,
+    VALID_UUID,
+)
 from uidloom.operators.sets import union_tables
+from uidloom.sources.catalog import quoted
+
+TYPES = {c.lower(): "string" for c in (*KEY_COLUMNS, RID_COLUMN, *UUID_COLUMNS, VALID_UUID)} | {
+    c.lower(): "timestamp" for c in TIMESTAMP_COLUMNS
+}
 
 
 def metadata_name(metadata_table: str, schema: str = METADATA_SCHEMA) -> str:
@@ -49,18 +63,27 @@ def clone_table(spark: SparkSession, source: str, target: str, preview: bool = F
     return rows.count() == spark.table(target).count()
 
 
-def add_column_if_absent(spark: SparkSession, name: str, column: str, data_type: str = "string") -> bool:
-    """Add a nullable column to a table; False if the table has it already."""
+def add_column_if_absent(
+    spark: SparkSession, name: str, column: str, data_type: str = "string", default: str | None = None
+) -> bool:
+    """Add a nullable column to a table; False if the table has it already.
+
+    ``default`` is an SQL expression without references to columns; rows written before get its value too.
+    """
     if column.lower() in {c.lower() for c in table_column_names(spark, name) or []}:
         return False
-    spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({column} {data_type})")
+    value = "" if default is None else f" DEFAULT {default}"
+    spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({quoted(column)} {data_type}{value})")
     return True
 
 
-def read_identifies(spark: SparkSession, descriptors: Iterable[tuple[str, str]]) -> DataFrame:
-    """All discovered tables as one frame of the tracked columns.
+def read_identifies(
+    spark: SparkSession, descriptors: Iterable[tuple[str, str]], extra: Iterable[str] = ()
+) -> DataFrame:
+    """All discovered tables as one frame of the tracked columns, and of ``extra`` columns as text.
 
     Takes (metadata table, name to read) pairs: one scan per table in one plan, so later steps run once over
-    all tables and not once per table.
+    all tables and not once per table. Keys are text in every table, so that tables that keep them as numbers
+    meet those that do not.
     """
-    return union_tables({key: spark.table(name) for key, name in descriptors}, TRACKED_COLUMNS)
+    return union_tables({key: spark.table(name) for key, name in descriptors}, [*TRACKED_COLUMNS, *extra], TYPES)

@@ -168,21 +168,17 @@ def _one_path(view: str, column: str, needs: list[str]) -> str:
 
 def _rate(column: str, view: str, other: str) -> str:
     return f"""
-      SELECT '{column}' AS column_name, '{view}.{other}' AS matched_to, count({column}) AS n_values,
+      SELECT '{column}' AS column_name, count({column}) AS n_values,
         count({column}) FILTER (WHERE {column} IN (SELECT {other} FROM {view} WHERE {other} IS NOT NULL)) AS n_matched
       FROM idf"""
 
 
-BOOL_WORDS = [
-    "", "apple", "0", "1", "true", "TRUE", "TrUe", "y", "Y", "yes", "Yes", "t", "T", "f", "F", "false", "False",
-    "FALSE",
-]
-BASE_TABLES = {
-    "region": ["r_regionkey", "r_name"],
-    "nation": ["n_nationkey", "n_name", "n_regionkey"],
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
-}
+BASE_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+TIMES = ", ".join(f"{c} + to_microseconds(CAST(id AS BIGINT) % 1000000) AS {c}" for c in ("received_at", "sent_at"))
+NO_ROWS = "SEGMENT__EMPTY_APP__IDENTIFIES"
 
 # Values that a table may carry from an earlier run: every row has some, whether or not its user has a hit.
 PREVIOUS = """
@@ -242,6 +238,11 @@ def oracle_sql() -> dict[str, str]:
             )
             + ")",
         ),
+        "match_rate_of_emails": _with(
+            [IDF, EI],
+            f"""SELECT n_values, n_matched, CAST(n_matched AS DOUBLE) * 100 / n_values AS match_percent
+            FROM ({_rate("email", "ei", "username")})""",
+        ),
         # aggregations
         "row_count": _with([IDF], "SELECT metadata_table, count(*) AS total FROM idf GROUP BY metadata_table"),
         "non_null_counts": _with(
@@ -321,9 +322,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         # catalog and names
         "column_catalog": " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, column_name FROM (DESCRIBE {name})" for name in BASE_TABLES
+            f"SELECT '{name.upper()}' AS table_name, upper(column_name) AS column_name, "
+            f"(SELECT count(*) FROM {name}) AS n_rows FROM (DESCRIBE {name})"
+            for name in BASE_TABLES
         ),
-        "catalog_scan": _with([CAT], "SELECT table_name, column_name, data_type FROM cat"),
         "encode_names": _with(
             [CAT, DECODED],
             """SELECT DISTINCT segment_table,
@@ -401,8 +403,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "union_tables": _with(
             [IDF],
-            """SELECT 'CLICK' AS metadata_table, id, user_id, rid FROM idf WHERE metadata_table LIKE '%CLICK%'
-            UNION ALL SELECT 'ERROR', id, user_id, NULL FROM idf WHERE metadata_table LIKE '%ERROR%'""",
+            """SELECT split_part(metadata_table, '_', 3) AS metadata_table, id, user_id,
+              CASE WHEN metadata_table NOT LIKE '%ERROR%' THEN rid END AS rid FROM idf""",
         ),
         "count_reconciliation": _with(
             [IDF],
@@ -418,17 +420,19 @@ def oracle_sql() -> dict[str, str]:
             [IDF], "SELECT id, user_id IS NULL AND email IS NULL AND rid IS NULL AS no_keys FROM idf"
         ),
         # text
-        "normalize_text": r"""SELECT doc_id, trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')) AS text
-            FROM documents""",
-        "to_bool": "SELECT event_id, word, lower(word) IN ('yes', 'true', 't', '1') AS flag FROM (SELECT event_id, ["
-        + ", ".join(f"'{w}'" for w in BOOL_WORDS)
-        + f"][1 + event_id % {len(BOOL_WORDS)}] AS word FROM events)",
+        "normalize_text": r"""SELECT doc_id, trim(regexp_replace(text,
+              '[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+',
+              ' ', 'g')) AS text FROM documents""",
+        "to_bool": """SELECT doc_id, word, CASE WHEN word IS NOT NULL THEN lower(word) IN ('yes', 'true', 't', '1') END AS flag
+            FROM (SELECT doc_id, CASE WHEN quality IS NULL THEN NULL WHEN doc_id % 3 = 0 THEN CAST(quality AS VARCHAR)
+              WHEN doc_id % 3 = 1 THEN CASE WHEN quality = 1 THEN 'true' ELSE 'false' END
+              WHEN quality = 1 THEN 'YES' ELSE 'No' END AS word FROM labels)""",
         # snapshots and tables
         "snapshot_round_trip": _with(
-            [IDF], "SELECT metadata_table, id, anonymous_id, user_id, email, rid FROM idf"
+            [IDF], f"SELECT metadata_table, id, anonymous_id, user_id, email, rid, {TIMES} FROM idf"
         ),
         "snapshot_round_trip_csv": _with(
-            [IDF], "SELECT id, metadata_table, anonymous_id, user_id, email, rid FROM idf"
+            [IDF], f"SELECT id, metadata_table, anonymous_id, user_id, email, rid, {TIMES} FROM idf"
         ),
         "latest_snapshot": _with([IDF], "SELECT id, user_id FROM idf WHERE user_id IS NOT NULL"),
         "load_or_compute": _with(
@@ -436,20 +440,58 @@ def oracle_sql() -> dict[str, str]:
             "SELECT segment_table, metadata_table, array_to_string(columns, '-') AS columns FROM descriptor",
         ),
         "existing_tables": _with(
-            [IDF], "SELECT DISTINCT metadata_table AS name, true AS found, true AS written FROM idf"
+            [IDF],
+            """SELECT metadata_table AS name, true AS found, true AS written, count(*) AS n_rows FROM idf
+            GROUP BY metadata_table""",
         ),
         "table_descriptions": _with(
             [IDF],
-            """SELECT table_name, column_name, true AS nullable FROM (SELECT metadata_table AS table_name,
-                unnest(['id', 'anonymous_id', 'user_id', 'email', 'rid', 'received_at', 'sent_at']) AS column_name,
-                count(rid) AS rids FROM idf GROUP BY metadata_table)
-            WHERE column_name <> 'rid' OR rids > 0""",
+            f"""SELECT table_name, column_name, CASE WHEN column_name LIKE '%\\_at' ESCAPE '\\' THEN 'timestamp_ntz'
+                WHEN column_name = 'user_id' AND table_name LIKE '%CLICK%' THEN 'bigint' ELSE 'string' END AS type,
+              true AS nullable, n_rows
+            FROM (SELECT *, unnest(['id', 'anonymous_id', 'user_id', 'email', 'rid', 'received_at', 'sent_at', 'page'])
+                AS column_name
+              FROM (SELECT metadata_table AS table_name, count(*) AS n_rows FROM idf GROUP BY metadata_table
+                UNION ALL SELECT '{NO_ROWS}', 0))
+            WHERE column_name <> 'rid' OR table_name NOT LIKE '%ERROR%'""",
+        ),
+        "run_of_tables": _with(
+            VALIDATED,
+            """SELECT metadata_table, id, user_id, '/p/' || id AS page, user_id_uuid, username_uuid, persona_uuid,
+              rid_uuid, valid_uuid FROM valid""",
+        ),
+        "rerun_of_tables": _with(
+            [*RESOLVED[:-1], PREVIOUS],
+            """SELECT i.metadata_table, i.id, i.user_id, '/p/' || i.id AS page,
+              CASE WHEN i.user_id IS NULL THEN i.o_user_id ELSE a.user_id_uuid END AS user_id_uuid,
+              CASE WHEN i.user_id IS NULL THEN i.o_username ELSE b.username_uuid END AS username_uuid,
+              CASE WHEN c.user_id IS NULL THEN i.o_persona ELSE c.persona_uuid END AS persona_uuid,
+              CASE WHEN d.user_id IS NULL THEN i.o_rid ELSE d.rid_uuid END AS rid_uuid
+            FROM prev i
+            LEFT JOIN m_user_id a ON a.metadata_table = i.metadata_table AND a.user_id = i.user_id
+            LEFT JOIN m_username b ON b.metadata_table = i.metadata_table AND b.user_id = i.user_id
+            LEFT JOIN m_persona c ON c.metadata_table = i.metadata_table AND c.user_id = i.user_id
+            LEFT JOIN m_rid d ON d.metadata_table = i.metadata_table AND d.user_id = i.user_id""",
         ),
         "uuid_counts_of_tables": _with(
             RESOLVED,
-            """SELECT metadata_table, count(*) AS total, count(user_id_uuid) AS user_id_uuid,
-              count(username_uuid) AS username_uuid, count(persona_uuid) AS persona_uuid, count(rid_uuid) AS rid_uuid
-            FROM res GROUP BY metadata_table""",
+            f"""SELECT metadata_table, count(*) AS total, count(user_id_uuid) AS user_id_uuid,
+              count(username_uuid) AS username_uuid, count(persona_uuid) AS persona_uuid,
+              CASE WHEN metadata_table NOT LIKE '%ERROR%' THEN count(rid_uuid) END AS rid_uuid
+            FROM res GROUP BY metadata_table UNION ALL SELECT '{NO_ROWS}', 0, 0, 0, 0, 0""",
+        ),
+        "reports_of_tables": _with(
+            VALIDATED,
+            f"""SELECT *, CASE WHEN total > 0 THEN CAST(all_4_equal_count AS DOUBLE) * 100 / total ELSE 0.0 END
+              AS all_4_equal_percent
+            FROM (SELECT metadata_table, count(*) AS total, count(*) AS total_count, count(*) FILTER (WHERE
+                user_id = user_id_uuid AND user_id_uuid = username_uuid AND username_uuid = persona_uuid)
+                AS all_4_equal_count, count(valid_uuid) AS valid_uuid, count(*) - count(valid_uuid) AS unresolved
+              FROM valid GROUP BY metadata_table UNION ALL SELECT '{NO_ROWS}', 0, 0, 0, 0, 0)""",
+        ),
+        "clone_tables": _with(
+            [IDF],
+            """SELECT id, anonymous_id, user_id, email, rid, '/p/' || id AS page, CAST(NULL AS VARCHAR) AS user_id_uuid,
+              'first' AS run_name FROM idf WHERE metadata_table LIKE '%VIEW%'""",
         ),
-        "clone_tables": _with([IDF], "SELECT id, user_id, email, CAST(NULL AS VARCHAR) AS user_id_uuid FROM idf"),
     }

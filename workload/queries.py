@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import UTC, datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from uidloom.functions import fixed, frames, names, values
 from uidloom.operators import coverage, match, resolve, sets, skew, valid_uuid
 from uidloom.plans import resolution
 from uidloom.sources import catalog, session, snapshots, tables
 from workload import views
-from workload.oracle import BASE_TABLES, BOOL_WORDS
+from workload.oracle import BASE_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = ["metadata_table", "id", "user_id"]
@@ -100,15 +101,14 @@ def resolve_three_phase(spark: SparkSession, sf: str) -> DataFrame:
 def match_rates(spark: SparkSession, sf: str) -> DataFrame:
     rows, masters, _, watched = views.identity_inputs(spark, sf)
 
-    def rate(column: str, others: DataFrame, view: str, other: str) -> DataFrame:
-        found = match.match_rate(rows, column, others, other)
-        return found.withColumn("column_name", F.lit(column)).withColumn("matched_to", F.lit(f"{view}.{other}"))
+    known = {"user_id": (masters, "uuid"), "email": (masters, "username"), "rid": (watched, "rid")}
+    return match.match_rates(rows, known)
 
-    return (
-        rate("user_id", masters, "ei", "uuid")
-        .unionByName(rate("email", masters, "ei", "username"))
-        .unionByName(rate("rid", watched, "wt", "rid"))
-    )
+
+@query
+def match_rate_of_emails(spark: SparkSession, sf: str) -> DataFrame:
+    rows, masters, _, _ = views.identity_inputs(spark, sf)
+    return match.match_rate(rows, "email", masters, "username")
 
 
 # aggregations
@@ -203,7 +203,7 @@ def valid_uuid_rows(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def valid_uuid_given_choice(spark: SparkSession, sf: str) -> DataFrame:
     rows, masters, personas, watched = views.identity_inputs(spark, sf)
-    found = [f"SEGMENT__{kind}_APP__IDENTIFIES" for kind in ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")]
+    found = APPS
     chosen = valid_uuid.choices_from(
         rows,
         {name: "USER_ID_UUID-PERSONA_UUID" for name in found},
@@ -245,18 +245,19 @@ def fillable_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def column_catalog(spark: SparkSession, sf: str) -> DataFrame:
-    prefix = f"uidloom_{uuid.uuid4().hex}_"
-    for name in BASE_TABLES:
-        views.table(spark, sf, name).createOrReplaceTempView(prefix + name)
-    listed = catalog.column_catalog(spark).where(F.startswith(F.col("table_name"), F.lit(prefix)))
-    for name in BASE_TABLES:
-        spark.catalog.dropTempView(prefix + name)
-    return listed.select(F.replace("table_name", F.lit(prefix), F.lit("")).alias("table_name"), "column_name")
-
-
-@query
-def catalog_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return views.column_catalog(spark, sf)
+    """The catalog of all given tables, with the rows that each of them has."""
+    database = f"uidloom_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        counted = []
+        for name in BASE_TABLES:
+            spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{sf}/{name}.parquet'")
+            rows = views.table(spark, sf, name)
+            counted.append(rows.agg(F.lit(name.upper()).alias("table_name"), F.count("*").alias("n_rows")))
+        listed = catalog.column_catalog(spark, database).select("table_name", "column_name")
+        return listed.join(reduce(DataFrame.unionByName, counted), "table_name")
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
 @query
@@ -398,9 +399,10 @@ def first_n(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def union_tables(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.identifies(spark, sf)
-    click = rows.where(names.contains_any(F.col("metadata_table"), ["CLICK"])).drop("metadata_table")
-    error = rows.where(names.contains_any(F.col("metadata_table"), ["ERROR"])).drop("metadata_table", "rid")
-    return sets.union_tables({"CLICK": click, "ERROR": error}, ["ID", "USER_ID", "RID"])
+    kinds = {name.split("_")[2]: rows.where(F.col("metadata_table") == name).drop("metadata_table") for name in APPS}
+    kinds["ERROR"] = kinds["ERROR"].drop("rid")
+    kinds["CLICK"] = kinds["CLICK"].withColumn("USER_ID", F.col("user_id").cast("bigint"))
+    return sets.union_tables(kinds, ["ID", "USER_ID", "RID"], {"user_id": "string"})
 
 
 @query
@@ -434,27 +436,35 @@ def normalize_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def to_bool(spark: SparkSession, sf: str) -> DataFrame:
-    words = F.array(*[F.lit(word) for word in BOOL_WORDS])
-    word = F.get(words, (F.col("event_id") % len(BOOL_WORDS)).cast("int"))
-    found = views.table(spark, sf, "events").select("event_id", word.alias("word"))
+    """Flags as texts of the given labels, some of them upper case or spelled out."""
+    label, n = F.col("quality"), F.col("doc_id")
+    word = F.when(n % 3 == 0, label.cast("string")).when(n % 3 == 1, (label == 1).cast("string"))
+    word = F.coalesce(word, F.when(label == 1, F.lit("YES")).when(label == 0, F.lit("No")))
+    found = views.table(spark, sf, "labels").select("doc_id", word.alias("word"))
     return found.withColumn("flag", values.to_bool(F.col("word")))
 
 
 # snapshots and tables
 
 
+def _times() -> list[Column]:
+    """Both times, with microseconds that differ by row."""
+    step = F.make_dt_interval(secs=(F.col("id").cast("bigint") % 1_000_000 / 1_000_000).cast("decimal(18,6)"))
+    return [(F.col(c) + step).alias(c) for c in ("received_at", "sent_at")]
+
+
 @query
 def snapshot_round_trip(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.identifies(spark, sf).select(*TEXT_COLUMNS)
+    rows = views.identifies(spark, sf).select(*TEXT_COLUMNS, *_times())
     return snapshots.save_and_verify(rows, _new_folder(spark, "snapshots"), "rows", RUN_AT)[1]
 
 
 @query
 def snapshot_round_trip_csv(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.identifies(spark, sf).select(*TEXT_COLUMNS)
+    rows = views.identifies(spark, sf).select(*TEXT_COLUMNS, *_times())
     root = _new_folder(spark, "snapshots")
     path = snapshots.save_snapshot(rows, root, "rows", snapshots.CSV, RUN_AT)
-    schema = rows.select("id", *[c for c in TEXT_COLUMNS if c != "id"]).schema
+    schema = rows.select("id", *[c for c in rows.columns if c != "id"]).schema
     return snapshots.load_snapshot(spark, path, schema)
 
 
@@ -479,50 +489,127 @@ def load_or_compute(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def clone_tables(spark: SparkSession, sf: str) -> DataFrame:
-    folder = _new_folder(spark, "warehouse")
-    name = f"uidloom_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}'")
-    rows = views.identifies(spark, sf).select("id", "user_id", "email")
-    rows.write.format("parquet").saveAsTable(f"{name}.source")
-    if not tables.clone_table(spark, f"{name}.source", f"{name}.APP__IDENTIFIES"):
-        raise RuntimeError("the copy has another row count than its source")
-    tables.add_column_if_absent(spark, f"{name}.APP__IDENTIFIES", "user_id_uuid")
-    return spark.table(f"{name}.APP__IDENTIFIES")
-
-
-def _split_into_tables(spark: SparkSession, sf: str) -> tuple[str, dict[str, str]]:
-    """The identifies rows as one catalog table per app; a table without rids lacks that column."""
-    database = f"uidloom_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{_new_folder(spark, 'warehouse')}'")
-    rows = views.identifies(spark, sf)
-    found = [row[0] for row in rows.select("metadata_table").distinct().orderBy("metadata_table").collect()]
-    for name in found:
-        own = rows.where(F.col("metadata_table") == name).drop("metadata_table")
-        own = own.drop("rid") if "ERROR" in name else own
-        own.write.format("parquet").saveAsTable(f"{database}.{name}")
-    return database, {name: f"{database}.{name}" for name in found}
+    with _app_tables(spark, sf) as (database, written):
+        copy = f"{database}.COPY_OF_VIEWS"
+        if not tables.clone_table(spark, written[APPS[4]], copy):
+            raise RuntimeError("the copy has another row count than its source")
+        tables.add_column_if_absent(spark, copy, "user_id_uuid")
+        tables.add_column_if_absent(spark, copy, "run name", default="'first'")
+        wanted = spark.table(copy).select("*", F.col("`run name`").alias("run_name")).drop("run name")
+        return session.materialize(wanted, "copy").drop("received_at", "sent_at")
+
+
+APPS = [f"SEGMENT__{kind}_APP__IDENTIFIES" for kind in ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")]
+NO_ROWS = "SEGMENT__EMPTY_APP__IDENTIFIES"
+
+
+@contextmanager
+def _app_tables(spark: SparkSession, sf: str, earlier: bool = False) -> Iterator[tuple[str, dict[str, str]]]:
+    """The identifies rows as one catalog table per app, written at once, in a database that is dropped afterwards.
+
+    One table lacks the rid, one keeps its user ids as numbers, one has no rows; all have an untracked column, and
+    ``earlier`` adds UUID columns of an earlier run.
+    """
+    database, folder = f"uidloom_{uuid.uuid4().hex}", _new_folder(spark, "apps")
+    rows = views.identifies(spark, sf).withColumn("page", F.concat(F.lit("/p/"), F.col("id")))
+    if earlier:
+        rows = rows.withColumns({c.upper(): F.concat(F.lit("old-"), F.col("id")) for c in fixed.UUID_COLUMNS})
+    app = F.col("metadata_table")
+    number = F.when(app == APPS[0], F.col("user_id")).cast("bigint")
+    rows.withColumn("user_number", number).write.partitionBy("metadata_table").parquet(folder)
+    empty = f"{folder}/metadata_table={NO_ROWS}"
+    rows.drop("metadata_table").limit(0).write.parquet(empty)
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        for name in [*APPS, NO_ROWS]:
+            own = [f for f in rows.schema.fields if f.name != "metadata_table" and not (f.name == "rid" and name == APPS[1])]
+            columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own)
+            place = f"USING parquet LOCATION '{folder}/metadata_table={name}'"
+            if name == APPS[0]:  # the numbers, under the name of the key
+                cells = ", ".join("user_number AS user_id" if f.name == "user_id" else f.name for f in own)
+                spark.sql(f"CREATE TABLE {database}.numbers ({columns}, user_number bigint) {place}")
+                spark.sql(f"CREATE VIEW {database}.{name} AS SELECT {cells} FROM {database}.numbers")
+            else:
+                spark.sql(f"CREATE TABLE {database}.{name} ({columns}) {place}")
+        yield database, {name: f"{database}.{name}" for name in [*APPS, NO_ROWS]}
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def _run(spark: SparkSession, sf: str, database: str) -> tuple[resolution.Run, DataFrame]:
+    root = _new_folder(spark, "run")
+    found = resolution.discover(spark, database, root, RUN_AT)
+    return resolution.run_tables(spark, found, *views.identity_inputs(spark, sf)[1:], root, RUN_AT), found
+
+
+def _saved(spark: SparkSession, run: resolution.Run) -> DataFrame:
+    user = F.col("user_id").cast("string")
+    columns = ["id", user.alias("user_id"), "page", *fixed.UUID_COLUMNS, "valid_uuid"]
+    saved = [
+        resolution.resolved_table(spark, run, name).select(F.lit(name).alias("metadata_table"), *columns)
+        for name in [*APPS, NO_ROWS]
+    ]
+    return reduce(DataFrame.unionByName, saved)
+
+
+@query
+def run_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Discover the tables of a database, resolve them, and read what was saved."""
+    with _app_tables(spark, sf) as (database, _):
+        return _saved(spark, _run(spark, sf, database)[0])
+
+
+@query
+def rerun_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    with _app_tables(spark, sf, earlier=True) as (database, _):
+        return _saved(spark, _run(spark, sf, database)[0]).drop("valid_uuid")
 
 
 @query
-def existing_tables(spark: SparkSession, sf: str) -> DataFrame:
-    database, written = _split_into_tables(spark, sf)
-    listed = tables.existing_metadata_tables(spark, database)
-    rows = [(n.upper(), tables.metadata_table_exists(spark, n, database), n.upper() in written) for n in listed]
-    return spark.createDataFrame(rows, "name string, found boolean, written boolean")
+def uuid_counts_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    with _app_tables(spark, sf) as (database, _):
+        return _run(spark, sf, database)[0].counts
 
 
 @query
-def table_descriptions(spark: SparkSession, sf: str) -> DataFrame:
-    _, written = _split_into_tables(spark, sf)
-    described = [tables.describe_table(spark, name).withColumn("table_name", F.lit(key)) for key, name in written.items()]
-    return reduce(DataFrame.unionByName, described).select("table_name", F.col("name").alias("column_name"), "nullable")
+def reports_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Every report by table, with the table that has no rows."""
+    with _app_tables(spark, sf) as (database, _):
+        described = catalog.discover_tables(catalog.column_catalog(spark, database))
+        users = _valid_users(spark, sf)
+        reports = [
+            coverage.row_count(users, "n_rows"),
+            coverage.all_equal_summary(users, "n_rows"),
+            coverage.valid_uuid_counts(users, "n_rows"),
+            coverage.null_valid_uuid_counts(users, "n_rows"),
+        ]
+        filled = [coverage.for_tables(report, described) for report in reports]
+        return reduce(lambda a, b: a.join(b, "metadata_table"), filled)
 
 
 @query
-def uuid_counts_of_tables(spark: SparkSession, sf: str) -> DataFrame:
-    _, written = _split_into_tables(spark, sf)
-    rows = tables.read_identifies(spark, written.items())
-    return coverage.uuid_counts(resolve.user_map(rows, *views.identity_inputs(spark, sf)[1:]), "n_rows")
+def existing_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """The listed tables that hold rows, and whether they were written and are found by name."""
+    with _app_tables(spark, sf) as (database, written):
+        listed = [name for name in tables.existing_metadata_tables(spark, database) if name.upper() != NO_ROWS]
+        rows = [(n.upper(), tables.metadata_table_exists(spark, n, database), n.upper() in written) for n in listed]
+        counted = [spark.table(f"{database}.{n}").agg(F.lit(n.upper()).alias("name"), F.count("*").alias("n_rows")) for n in listed]
+        described = spark.createDataFrame(rows, "name string, found boolean, written boolean")
+        return described.join(reduce(DataFrame.unionByName, counted), "name")
+
+
+@query
+def table_descriptions(spark: SparkSession, sf: str) -> DataFrame:
+    """The columns and types of each table, beside the rows it has."""
+    with _app_tables(spark, sf) as (_, written):
+        described = [
+            tables.describe_table(spark, name)
+            .withColumn("table_name", F.lit(key))
+            .crossJoin(F.broadcast(spark.table(name).agg(F.count("*").alias("n_rows"))))
+            for key, name in written.items()
+        ]
+        found = reduce(DataFrame.unionByName, described)
+        return found.select("table_name", F.col("name").alias("column_name"), "type", "nullable", "n_rows")
 
 
 QUERIES["valid_uuid"] = QUERIES.pop("valid_uuid_rows")
