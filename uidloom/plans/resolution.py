@@ -15,7 +15,7 @@ from uidloom.operators.resolve import measure_hot_keys, user_map, users_after, w
 from uidloom.operators.skew import HotKeys
 from uidloom.operators.valid_uuid import choices, set_valid_uuid
 from uidloom.sources.catalog import column_catalog, discover_tables, preview_counts
-from uidloom.sources.session import materialize
+from uidloom.sources.session import materialize, scratch
 from uidloom.sources.snapshots import DESCRIPTORS, PARQUET, save_and_verify, save_snapshot, snapshot_path
 from uidloom.sources.tables import read_identifies
 
@@ -143,15 +143,17 @@ def run_tables(
     names = located(descriptors, locate)
     narrow = read_identifies(spark, names, UUID_COLUMNS)
     hot = measure_hot_keys(narrow, watched)
-    users = materialize(user_map(narrow, masters, personas, watched, hot), "user_map")
-    after = materialize(users_after(narrow, users, hot["user_id"]), "users_after")
-    chosen = materialize(choices(after, "n_rows"), "choices")
     rows_path = snapshot_path(root, RESOLVED, PARQUET, at)
-    for metadata, name in names:
-        table = resolve_table(spark.table(name), metadata, users, hot["user_id"]).withColumn("metadata_table", F.lit(metadata))
-        set_valid_uuid(table, chosen).drop("metadata_table").write.parquet(f"{rows_path}/metadata_table={metadata}")
-    counts = coverage.for_tables(coverage.uuid_counts(after, "n_rows"), descriptors)
-    counts_path = save_snapshot(counts, root, COUNTS, PARQUET, at)
+    with scratch(spark, "run") as folder:
+        users = materialize(user_map(narrow, masters, personas, watched, hot), "user_map", folder)
+        after = materialize(users_after(narrow, users, hot["user_id"]), "users_after", folder)
+        chosen = materialize(choices(after, "n_rows"), "choices", folder)
+        for metadata, name in names:
+            table = resolve_table(spark.table(name), metadata, users, hot["user_id"])
+            table = set_valid_uuid(table.withColumn("metadata_table", F.lit(metadata)), chosen).drop("metadata_table")
+            table.write.parquet(f"{rows_path}/metadata_table={metadata}")
+        counts = coverage.for_tables(coverage.uuid_counts(after, "n_rows"), descriptors)
+        counts_path = save_snapshot(counts, root, COUNTS, PARQUET, at)
     return Run(rows_path, counts_path, spark.read.parquet(counts_path))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,12 +44,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder below the shared one, for frames that only one flow reads; removed at the end of the flow."""
+    path = f"{shared_folder(spark)}/uidloom/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     """Write a frame to a new parquet folder and read it back.
 
     Ends the lineage, so a lost executor costs one task and not the upstream joins, and gives the planner
-    the true size of the data.
+    the true size of the data. What is written outside a ``scratch`` folder stays, as its readers are lazy.
     """
-    path = f"{shared_folder(df.sparkSession)}/uidloom/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or f'{shared_folder(df.sparkSession)}/uidloom'}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
