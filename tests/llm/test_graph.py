@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from uidloom.llm import graph
 from uidloom.llm.graph import components
 
 
@@ -30,7 +31,9 @@ def expected(edges):
         [(-5, 7), (7, -5), (3, 3), (9, 7)],
     ],
 )
-def test_components(spark, edges):
+@pytest.mark.parametrize("small", [0, 5, 10**6])
+def test_components(spark, monkeypatch, small, edges):
+    monkeypatch.setattr(graph, "SMALL", small)
     found = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     real = expected([e for e in edges if e[0] != e[1]])
     assert {r["node"]: r["component"] for r in found} == real
