@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from uidloom.llm import textops
 
-STATE = "bucket int, z double, n double"
+STATE = "bucket int, weight double"
+BIAS = -1
 
 
 class Ftrl:
@@ -42,35 +43,31 @@ Features = Callable[[textops.Texts], Iterator[tuple[np.ndarray, np.ndarray]]]
 """Per text its distinct buckets and their values."""
 
 
-def fit(sample: DataFrame, features: Features, model: Callable[[], Ftrl], epochs: int = 2) -> tuple[np.ndarray, float]:
-    """Weights and bias from a bounded sample with columns (text, target, turn), learned in the order of ``turn``.
+def fit(sample: DataFrame, features: Features, model: Callable[[], Ftrl], epochs: int = 2) -> tuple[np.ndarray, np.ndarray, float]:
+    """Buckets with a weight, their weights, and the bias, from a bounded sample (text, target, turn).
 
-    One task reads the sample as a stream for each epoch; the driver holds the state, as large as the buckets.
+    One task reads the sample as a stream, as often as there are epochs, each time in the order of ``turn``. Only
+    the weights that the penalty leaves reach the driver.
     """
-    ordered = sample.select("text", "target", "turn").repartition(1).sortWithinPartitions("turn", "text")
-    state: tuple[np.ndarray, ...] | None = None
-    for _ in range(epochs):
-        held = sample.sparkSession.sparkContext.broadcast(state)
-
-        def learn(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            ftrl = model()
-            if held.value is not None:
-                at, ftrl.z[at], ftrl.n[at] = held.value[0], held.value[1], held.value[2]
-            for batch in batches:
-                targets = batch.column(1).to_pylist()
-                for texts in textops.chunks(batch.column(0)):
-                    for k, (at, values) in enumerate(features(texts)):
-                        ftrl.learn(at, values, targets[texts.first + k])
-            at = np.flatnonzero(ftrl.n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(at, pa.int32()), pa.array(ftrl.z[at]), pa.array(ftrl.n[at])], names=["bucket", "z", "n"]
-            )
-
-        found = ordered.mapInArrow(learn, STATE).toArrow()
-        state = tuple(found.column(k).to_numpy() for k in range(3))
-    ftrl = model()
-    at, ftrl.z[at], ftrl.n[at] = state[0], state[1], state[2]
-    return ftrl.weights()[:-1], ftrl.bias()
+    repeated = sample.select("text", "target", "turn", F.explode(F.sequence(F.lit(1), F.lit(epochs))).alias("epoch"))
+    ordered = repeated.repartition(1).sortWithinPartitions("epoch", "turn", "text").select("text", "target")
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ftrl = model()
+        for batch in batches:
+            targets = batch.column(1).to_pylist()
+            for texts in textops.chunks(batch.column(0)):
+                for k, (at, values) in enumerate(features(texts)):
+                    ftrl.learn(at, values, targets[texts.first + k])
+        weights = ftrl.weights()[:-1]
+        at = np.flatnonzero(weights)
+        buckets, values = np.append(at, BIAS), np.append(weights[at], ftrl.bias())
+        yield pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(values)], names=["bucket", "weight"])
+
+    found = ordered.mapInArrow(learn, STATE).toArrow()
+    buckets, values = found.column("bucket").to_numpy(), found.column("weight").to_numpy()
+    real = buckets != BIAS
+    return buckets[real], values[real], float(values[~real].sum())
 
 
 def crc_of_id(doc_id: Column) -> Column:

@@ -92,12 +92,15 @@ def train(
     """``allowed`` says of a label row whether it may be learned from."""
     picked = labelled_sample(labels, label, F.lit(True) if allowed is None else allowed, per_class)
     rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    return QualityModel(*fit(rows, features, lambda: Ftrl(1 << BUCKET_BITS, alpha=0.3, l1=0.02, l2=0.05)))
+    buckets, values, bias = fit(rows, features, lambda: Ftrl(1 << BUCKET_BITS, alpha=0.3, l1=0.02, l2=0.05))
+    weights = np.zeros(1 << BUCKET_BITS, np.float32)
+    weights[buckets] = values
+    return QualityModel(weights, bias)
 
 
 def scorer(spark: SparkSession, model: QualityModel):
     """A function of a text column that gives scores from 0 to 1; the model has a fixed size."""
-    held = spark.sparkContext.broadcast((model.weights[:-1].astype(np.float32), model.bias))
+    held = spark.sparkContext.broadcast((model.weights[:-1], model.bias))
 
     @arrow_udf("double")
     def score(text: pa.Array) -> pa.Array:

@@ -235,9 +235,8 @@ def train(
     ids = picks[0].unionByName(picks[1]).dropDuplicates(["doc_id"]).select("doc_id", "target", "turn")
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
     model = lambda: Ftrl((1 << BUCKET_BITS) + 64, alpha=0.3, l1=1.0, l2=0.1)
-    weights, bias = fit(rows, features_of(lists), model, epochs=3)
-    buckets = np.flatnonzero(weights)
-    return ToxicityModel(buckets, weights[buckets].astype(np.float32), bias, lists)
+    buckets, weights, bias = fit(rows, features_of(lists), model, epochs=3)
+    return ToxicityModel(buckets, weights.astype(np.float32), bias, lists)
 
 
 def scorer(spark: SparkSession, model: ToxicityModel):
