@@ -39,7 +39,7 @@ MANY = 4096
 _LAST_ID = (1 << 63) - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD2 = np.uint64(0xC2B2AE3D27D4EB4F)
-_ANCHORS = "gram bigint, stretch bigint, doc bigint, at bigint, reach int"
+_ANCHORS = "again boolean, gram bigint, stretch bigint, doc bigint, at bigint, reach int"
 _PASSED = "open boolean, gram bigint, doc bigint, at bigint, reach int"
 _STRETCHES = "gram bigint, doc bigint, at bigint, reach int, stretch binary"
 _SPANS = "doc bigint, dup bigint, low bigint, high bigint"
@@ -85,18 +85,29 @@ def anchors(texts: textops.Texts) -> tuple[np.ndarray, ...]:
 
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the first pass from (doc, dup, text)."""
+    """Rows of the first pass from (doc, dup, text).
+
+    ``again`` marks rows with the gram and stretch of an earlier row of the batch. These are repeats already and are
+    not shuffled, so a passage that very many documents share sends few rows to the task of its gram.
+    """
     for batch in batches:
         docs, dups = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+        parts = []
         for texts in textops.chunks(batch.column(2)):
             text, gram, at, first, last, stretch = anchors(texts)
             row = text + texts.first
             reach = ((at - last) << 16 | (at - first)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), pa.array(stretch.view(np.int64)), pa.array(docs[row]),
-                 pa.array(dups[row] << 32 | at), pa.array(reach)],
-                names=["gram", "stretch", "doc", "at", "reach"],
-            )
+            parts.append((gram.view(np.int64), stretch.view(np.int64), docs[row], dups[row] << 32 | at, reach))
+        if not parts:
+            continue
+        gram, stretch, doc, at, reach = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((at, doc, stretch, gram))
+        same = (gram[order][1:] == gram[order][:-1]) & (stretch[order][1:] == stretch[order][:-1])
+        again = np.zeros(len(order), bool)
+        again[order[1:][same]] = True
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (again, gram, stretch, doc, at, reach)], names=["again", "gram", "stretch", "doc", "at", "reach"]
+        )
 
 
 def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +277,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     fresh = texts.join(copies, "doc", "left").where("copies IS NULL OR NOT array_contains(copies, dup)")
     sort = ["gram", "stretch", "doc", "at"]
-    passed = fresh.select("doc", "dup", "text").mapInArrow(_first_pass, _ANCHORS).repartition("gram").sortWithinPartitions(*sort)
+    found = materialize(fresh.select("doc", "dup", "text").mapInArrow(_first_pass, _ANCHORS), "anchors")
+    passed = found.where("NOT again").drop("again").repartition("gram").sortWithinPartitions(*sort)
     passed = materialize(passed.mapInArrow(_second_pass, _PASSED), "passed")
 
     left = passed.where("open").select("gram", "doc", "at", "reach")
@@ -276,7 +288,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     stretches = texts.join(by_doc, "doc").select("doc", "dup", "text", "rows").mapInArrow(_stretches, _STRETCHES)
     spans = stretches.repartition("gram").sortWithinPartitions("gram", "doc", "at").mapInArrow(_last_pass, _SPANS)
     place, reach = F.col("at").bitwiseAND(0xFFFFFFFF), F.col("reach").cast("bigint")
-    known = passed.where("NOT open").select(
+    repeated = found.where("again").select("doc", "at", "reach").unionByName(passed.where("NOT open").select("doc", "at", "reach"))
+    known = repeated.select(
         "doc",
         F.shiftright("at", 32).alias("dup"),
         (place - reach.bitwiseAND(0xFFFF)).alias("low"),
