@@ -23,6 +23,7 @@ from uidloom.llm.learning import crc_of_id
 
 PER_LANGUAGE = 2000
 """Bound of the training sample: expected rows of each language, chosen by hash of their id."""
+BROADCAST_ROWS = 100_000
 LONGEST = 5
 LEAST_COUNT = 2
 UNKNOWN = "und"
@@ -140,9 +141,11 @@ def train(docs: DataFrame, allowed: Column | None = None, per_language: int = PE
     rows = rows.where(allowed) if allowed is not None else rows
     sizes = rows.groupBy("lang").agg(F.count("*").alias("_rows"))
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.select("text", "lang", place.alias("_place")).join(sizes, "lang")
-    picked = picked.where(F.col("_place") * F.col("_rows") < per_language).select("text", "lang")
-    counts = count_words_and_grams(picked)
+    chosen = rows.select("doc_id", "lang", place.alias("_place")).join(sizes, "lang")
+    chosen = chosen.where(F.col("_place") * F.col("_rows") < per_language).select("doc_id").distinct()
+    if len(chosen.take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    counts = count_words_and_grams(rows.select("doc_id", "text", "lang").join(chosen, "doc_id").select("text", "lang"))
     totals = counts.groupBy("key", "size").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     kept = totals.where(F.col("all") >= LEAST_COUNT).drop("all").toArrow()
     size = kept.column("size").to_numpy()
