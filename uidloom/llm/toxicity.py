@@ -29,6 +29,7 @@ from uidloom.llm.learning import Ftrl, crc_of_id, fit, labelled_sample
 from uidloom.sources.session import materialize
 
 BUCKET_BITS = 22
+BROADCAST_ROWS = 100_000
 PER_CLASS = 3000
 """Bound of both training samples: rows of each class, those with the smallest hash of their id."""
 LEARNED_WORDS = 256
@@ -89,7 +90,8 @@ class Voters:
 def learned_lists(sample: DataFrame) -> list[np.ndarray]:
     """Words of a labelled sample that are far more frequent in class 1, dealt out to a few lists.
 
-    The counts are of texts; the two sums of the sample's classes and the top words come to the driver.
+    A word counts once for each different word before it, not once for each text: words of a passage that copies share
+    always follow the same word, while a word with a meaning of its own turns up after many.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,19 +100,19 @@ def learned_lists(sample: DataFrame) -> list[np.ndarray]:
             for texts in textops.chunks(batch.column(0)):
                 tokens = textops.Tokens(texts)
                 words = np.flatnonzero(tokens.is_word)
-                pairs = np.unique(np.stack([tokens.hash[words], tokens.of_text()[words].astype(np.uint64)]), axis=1)
-                y = target[texts.first + pairs[1].astype(np.int64)]
-                keys, where = np.unique(pairs[0], return_inverse=True)
-                yes = np.bincount(where, y, len(keys)).astype(np.int64)
+                h, owner = tokens.hash[words], tokens.of_text()[words]
+                before = np.zeros(len(h), np.uint64)
+                before[1:] = np.where(owner[1:] == owner[:-1], h[:-1], np.uint64(0))
+                yes = target[texts.first + owner] > 0.5
+                triples = np.unique(np.stack([h, before, yes.astype(np.uint64)]), axis=1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(yes), pa.array(np.bincount(where, minlength=len(keys)) - yes)],
-                    names=["key", "yes", "no"],
-                )
+                    [pa.array(x.view(np.int64)) for x in np.ascontiguousarray(triples)], names=["key", "before", "yes"]
+                )
 
     sizes = sample.agg(F.sum("target").alias("yes"), F.sum(1 - F.col("target")).alias("no")).first()
     n_yes, n_no = (sizes["yes"] or 0) + 1, (sizes["no"] or 0) + 1
-    counts = sample.select("text", "target").mapInArrow(count, "key bigint, yes bigint, no bigint")
-    counts = counts.groupBy("key").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    places = sample.select("text", "target").mapInArrow(count, "key bigint, before bigint, yes bigint").distinct()
+    counts = places.groupBy("key").agg(F.sum("yes").alias("yes"), F.sum(1 - F.col("yes")).alias("no"))
     lift = F.log((F.col("yes") + 0.5) / n_yes) - F.log((F.col("no") + 0.5) / n_no)
     clear = (F.col("yes") >= F.greatest(F.lit(3.0), F.lit(n_yes / 200))) & (lift > 3.0)
     top = counts.where(clear).orderBy(F.col("yes").desc(), "key").limit(LEARNED_WORDS).toArrow()
@@ -229,6 +231,8 @@ def train(
     posteriors = spark.createDataFrame(
         list(zip(patterns.tolist(), labels_known.tolist(), map(float, target))), "pattern bigint, known int, target double"
     )
+    if len(patterns) <= BROADCAST_ROWS:
+        posteriors = F.broadcast(posteriors)
     rated = votes.join(posteriors, ["pattern", "known"]).withColumn("turn", F.xxhash64("doc_id"))
     likely = F.col("target") >= 0.5
     picks = [rated.where(side).orderBy("turn", "doc_id").limit(per_class) for side in (likely, ~likely)]
