@@ -41,7 +41,7 @@ def main() -> None:
     folder = Path(tempfile.mkdtemp(prefix="skew-"))
     (folder / "events").mkdir()
     builder = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder.master("local[8]"))
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -52,7 +52,7 @@ def main() -> None:
         .config("spark.eventLog.compress", "false")
         .config("spark.eventLog.dir", f"file://{folder}/events")
     )
-    spark = configure(builder).getOrCreate()
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     key = F.xxhash64("id") % (n // 10)
 

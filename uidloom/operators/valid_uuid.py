@@ -88,8 +88,9 @@ def _value_of(name: Column) -> Column:
 
 def _with_choices(df: DataFrame, chosen: DataFrame) -> DataFrame:
     single = chosen.groupBy("metadata_table").agg(F.min(F.struct("combo", "fallback")).alias(CHOICE))
-    if len(single.select("metadata_table").take(BROADCAST_ROWS + 1)) <= BROADCAST_ROWS:
-        single = F.broadcast(single)
+    few = single.take(BROADCAST_ROWS + 1)
+    if len(few) <= BROADCAST_ROWS:  # computed once: the rows that were counted are those that are broadcast
+        single = F.broadcast(df.sparkSession.createDataFrame(few, single.schema))
     return df.join(single, "metadata_table", "left")
 
 
