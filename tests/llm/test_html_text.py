@@ -70,3 +70,22 @@ def test_odd_rows(spark):
 def test_hosts():
     assert host_of("https://WWW.Example.com:80/x") == "www.example.com"
     assert host_of(None) is host_of("") is host_of("no host") is host_of("http://[bad") is None
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        ('<html class="no-banner"><body class="has-sidebar"><p>story</p><div class="sidebar">s</div>', "story"),
+        ('<body class="right-sidebar ad"><p>story</p></body>', "story"),
+        ('<article class="post category-social"><p>story</p></article>', "story"),
+        ('<main id="menu-main" class="widget"><p>story</p></main>', "story"),
+        ('<div class="content with-sidebar"><p>story</p><div class="sidebar">s</div></div>', "story"),
+        ('<div class="content-sidebar"><p>a long story</p></div><div class="right-sidebar">s</div>', "a long story"),
+        ('<div class="left-sidebar"><main><p>story</p></main></div><p>text outside of it', "story"),
+        ('<article><p>story</p></article><div class="related-posts"><article>next</article></div>', "story"),
+        ('<div data-id="ad" data-role=banner data-class="menu" title="x class=ad">story</div>', "story"),
+        ('<p>story</p><div class="top"id="ad">ad</div><p CLASS=promo>b</p>', "story"),
+    ],
+)
+def test_names_do_not_drop_the_content(html, expected):
+    assert text(html) == expected

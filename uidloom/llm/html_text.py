@@ -3,7 +3,8 @@
 Each page is parsed into elements, and every element outside the main content gets a hash of its subtree: tag,
 texts and the hashes of its children. Spark counts on how many pages of its host each subtree occurs; subtrees
 that recur on many pages are the site's template and are deleted. Elements whose tag, role or class says that they
-are menus, headers, footers, sidebars, notices, adverts, forms or comments go as well, on pages of any host.
+are menus, headers, footers, sidebars, notices, adverts, forms or comments go as well, on pages of any host. A compound
+class such as ``right-sidebar`` drops an element only if it does not stand around the content.
 If a page marks its content as ``article``, or else as ``main``, only that is kept and no part of it is deleted for
 being frequent, as sites do repeat paragraphs.
 
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
 from urllib.parse import urlsplit
@@ -33,7 +35,7 @@ _TOKEN = re.compile(
     r"""|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<[!?/][^>]*>|<[A-Za-z!?/][^>]*\Z""",
     re.S,
 )
-_NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTES = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _RAW = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style", "textarea", "title", "xmp", "iframe", "noscript")}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -51,39 +53,54 @@ _DROPPED_NAMES = frozenset(
     "navigation breadcrumb breadcrumbs footer cookie cookies consent notice newsletter subscribe popup modal overlay "
     "share sharing social comment comments disqus related recommended widget toolbar pagination pager".split()
 )
+#: A name after one of these says what stands beside an element or what it is about, not what it is.
+_BESIDE = frozenset("has no not with without hide category tag".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _FENCES = frozenset("ul ol dl table select article main body".split())
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "content", "parts", "hash")
+    __slots__ = ("tag", "dropped", "content", "outer", "weak", "parts", "hash")
 
-    def __init__(self, tag: str, dropped: bool, content: str):
+    def __init__(self, tag: str, dropped: bool, content: str, outer: tuple[str, ...] = (), weak: tuple[str, ...] = ()):
         self.tag, self.dropped, self.content = tag, dropped, content
+        self.outer, self.weak = outer, weak  # compound names around the content, and from the content on
         self.parts: list[str] = []
         self.hash = 0
 
 
-def _is_dropped(tag: str, attributes: str, content: str) -> bool:
+def _judge(tag: str, attributes: str, content: str) -> tuple[bool, tuple[str, ...]]:
+    """Whether tag, role or a whole class or id drop an element, and its compound names that hold a dropped name."""
     if tag in _DROPPED_TAGS or tag == "header" and not content:
-        return True
-    if attributes and "=" in attributes:
-        for name, *values in _NAMES.findall(attributes):
-            words = re.split(r"[\s_-]+", "".join(values).lower())
-            if name.lower() == "role":
+        return True, ()
+    weak: list[str] = []
+    if attributes and "=" in attributes and tag not in ("html", "body"):
+        named = tag != "main" and (tag != "article" or content == "article")
+        for name, *values in _ATTRIBUTES.findall(attributes):
+            name = name.lower()
+            if name == "role":
+                words = re.split(r"[\s_-]+", "".join(values).lower())
                 if not _DROPPED_ROLES.isdisjoint(words) or "header" in words and not content:
-                    return True
-            elif not _DROPPED_NAMES.isdisjoint(words) or "header" in words and not content:
-                return True
-    return False
+                    return True, ()
+            elif named and name in ("class", "id"):
+                for compound in "".join(values).lower().split():
+                    words = re.split(r"[_-]+", compound)
+                    for before, word in zip(("", *words), words):
+                        if word in _DROPPED_NAMES or word == "header" and not content:
+                            if len(words) == 1:
+                                return True, ()
+                            if before not in _BESIDE:
+                                weak.append(compound)
+                                break
+    return False, tuple(weak)
 
 
 class Page:
     """Blocks of kept text with the elements around them, and the hashes of the subtrees outside the content."""
 
     def __init__(self, page: str):
-        self.blocks: list[tuple[str, str, list[_Element]]] = []
+        self.blocks: list[tuple[str, _Element, list[_Element]]] = []
         self.subtrees: set[int] = set()
         self._stack: list[_Element] = [_Element("", False, "")]
         self._text: list[str] = []
@@ -124,7 +141,7 @@ class Page:
             self._text.clear()
             if text:
                 top = self._stack[-1]
-                self.blocks.append((text, top.content, [] if top.content else self._stack[1:]))
+                self.blocks.append((text, top, [] if top.content else self._stack[1:]))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in _BLOCK:
@@ -135,11 +152,13 @@ class Page:
         if tag in _VOID:
             return
         top = self._stack[-1]
-        dropped = top.dropped or _is_dropped(tag, attributes, top.content)
-        content = top.content
+        dropped, names = (True, ()) if top.dropped else _judge(tag, attributes, top.content)
+        content, outer, weak = top.content, top.outer, top.weak + names
         if not dropped and (tag == "article" or tag == "main" and not content):
+            if content != "article":
+                outer, weak = outer + weak if tag == "article" else (), ()
             content = tag
-        self._stack.append(_Element(tag, dropped, content))
+        self._stack.append(_Element(tag, dropped, content, outer, weak))
 
     def _close_implied(self, tag: str) -> None:
         closes = _CLOSES.get(tag, ())
@@ -171,11 +190,30 @@ class Page:
             self.subtrees.add(element.hash)
             self._stack[-1].parts.append(f"<{element.hash}>")
 
+    def _without_named(self) -> list[tuple[str, _Element, list[_Element]]]:
+        """Blocks without those that a compound class or id drops.
+
+        A name that covers more than half of the text of the page stands around its content and drops nothing. Names
+        around all the marked content drop nothing either.
+        """
+        if not any(top.outer or top.weak for _, top, _ in self.blocks):
+            return self.blocks
+        covered: Counter[str] = Counter()
+        for text, top, _ in self.blocks:
+            for name in {*top.outer, *top.weak}:
+                covered[name] += len(text)
+        whole = sum(len(text) for text, _, _ in self.blocks)
+        drops = {name for name, n in covered.items() if 2 * n <= whole}
+        left = [b for b in self.blocks if drops.isdisjoint(b[1].weak)]
+        free = [b for b in left if drops.isdisjoint(b[1].outer)]
+        return free if any(top.content for _, top, _ in free) else [b for b in left if b[1].content or drops.isdisjoint(b[1].outer)]
+
     def kept(self) -> list[tuple[str, list[int]]]:
         """Texts in page order, each with the subtrees whose deletion would delete it."""
-        marked = {content for _, content, _ in self.blocks}
+        blocks = self._without_named()
+        marked = {top.content for _, top, _ in blocks}
         content = "article" if "article" in marked else "main" if "main" in marked else ""
-        return [(text, [e.hash for e in around if e.hash]) for text, own, around in self.blocks if own == content]
+        return [(text, [e.hash for e in around if e.hash]) for text, top, around in blocks if top.content == content]
 
 
 def host_of(url: str | None) -> str | None:
