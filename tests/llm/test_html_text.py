@@ -89,3 +89,32 @@ def test_hosts():
 )
 def test_names_do_not_drop_the_content(html, expected):
     assert text(html) == expected
+
+
+MAIN = '<main><h1>Title</h1><p>a long story of the page</p><article class="card">Read next</article></main>'
+
+
+@pytest.mark.parametrize(
+    "html, expected",
+    [
+        (MAIN, "Title\na long story of the page\nRead next"),
+        (f"<p>out</p>{MAIN}<p>out</p>", "Title\na long story of the page\nRead next"),
+        ("<main><p>note</p><h1>Title</h1><article>a long story</article></main>", "Title\na long story"),
+        ("<main><p>story</p></main><article>card</article><p>out", "story\ncard"),
+        ("<div>a long story</div><article>card 1</article><article>card 2</article>", "a long story\ncard 1\ncard 2"),
+        ("<p>short</p><article>a long story</article>", "a long story"),
+        ('<div class="left-sidebar"><article>story</article></div><p>text outside of it', "story\ntext outside of it"),
+        ("<main><p>intro</p><article>story</article><article>other</article></main>", "intro\nstory\nother"),
+    ],
+)
+def test_text_beside_articles(html, expected):
+    assert text(html) == expected
+
+
+def test_templates_go_before_the_article_is_chosen(spark):
+    row = "<div>Site name, known in town since 1999</div><article>story {}</article>"
+    rows = [(k, "http://a.example/", row.format(k)) for k in range(6)] + [(9, "http://b.example/", row.format(9)), (10, None, MAIN)]
+    found = {r["page_id"]: (r["text"], r["n_chars"]) for r in extract(pages(spark, rows)).collect()}
+    assert found[3] == ("story 3", 7)
+    assert found[9] == ("Site name, known in town since 1999\nstory 9", 43)
+    assert found[10] == ("Title\na long story of the page\nRead next", 40)

@@ -5,8 +5,9 @@ texts and the hashes of its children. Spark counts on how many pages of its host
 that recur on many pages are the site's template and are deleted. Elements whose tag, role or class says that they
 are menus, headers, footers, sidebars, notices, adverts, forms or comments go as well, on pages of any host. A compound
 class such as ``right-sidebar`` drops an element only if it does not stand around the content.
-If a page marks its content as ``article``, or else as ``main``, only that is kept and no part of it is deleted for
-being frequent, as sites do repeat paragraphs.
+If a page marks its content as ``article`` or ``main``, no part of it is deleted for being frequent, as sites do repeat
+paragraphs. Of what is left, ``main`` is kept with the articles, or else the whole page; if one article has more than
+half of that text, only the articles and the main titles beside them are kept.
 
 Defined results: a null or empty page gives an empty text; a null or odd url has no host, so nothing of it
 counts as a template; repeated rows count as pages and each gets its own result; very long pages are read whole;
@@ -18,8 +19,9 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from hashlib import blake2b
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -27,6 +29,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from uidloom.sources.session import materialize
 
+_BLOCKS = pa.list_(pa.struct([
+    ("text", pa.string()), ("around", pa.list_(pa.int64())), ("main", pa.bool_()), ("article", pa.int32()), ("title", pa.bool_()),
+]))
+
 LEAST_PAGES = 5
 LEAST_SHARE = 0.2
 
@@ -61,15 +67,39 @@ _FENCES = frozenset("ul ol dl table select article main body".split())
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "content", "outer", "weak", "parts", "hash")
+    __slots__ = ("tag", "dropped", "content", "outer", "weak", "main", "article", "parts", "hash")
 
     def __init__(self, tag: str, dropped: bool, content: str, outer: tuple[str, ...] = (), weak: tuple[str, ...] = ()):
         self.tag, self.dropped, self.content = tag, dropped, content
         self.outer, self.weak = outer, weak  # compound names around the content, and from the content on
+        self.main, self.article = False, 0  # whether it is in main, and in which outer article of the page
         self.parts: list[str] = []
         self.hash = 0
 
 
+class Block(NamedTuple):
+    """A text, the subtrees whose deletion would delete it, and its place: in main, in which article, in a main title."""
+
+    text: str
+    around: list[int]
+    main: bool
+    article: int
+    title: bool
+
+
+def chosen(blocks: list[Block], deleted: Set[int] = frozenset()) -> list[Block]:
+    """The blocks to keep, in page order, once the subtrees ``deleted`` are gone."""
+    left = [b for b in blocks if deleted.isdisjoint(b.around)]
+    if any(b.main for b in left):
+        left = [b for b in left if b.main or b.article]
+    sizes: Counter[int] = Counter()
+    for b in left:
+        sizes[b.article] += len(b.text)
+    if 2 * max((n for article, n in sizes.items() if article), default=0) > sum(sizes.values()):
+        return [b for b in left if b.article or b.title]
+    return left
+
+
 def _judge(tag: str, attributes: str, content: str) -> tuple[bool, tuple[str, ...]]:
     """Whether tag, role or a whole class or id drop an element, and its compound names that hold a dropped name."""
     if tag in _DROPPED_TAGS or tag == "header" and not content:
@@ -100,8 +130,9 @@ class Page:
     """Blocks of kept text with the elements around them, and the hashes of the subtrees outside the content."""
 
     def __init__(self, page: str):
-        self.blocks: list[tuple[str, _Element, list[_Element]]] = []
+        self.blocks: list[tuple[str, _Element, list[_Element], bool]] = []
         self.subtrees: set[int] = set()
+        self._articles = 0
         self._stack: list[_Element] = [_Element("", False, "")]
         self._text: list[str] = []
         at, end = 0, len(page)
@@ -141,7 +172,8 @@ class Page:
             self._text.clear()
             if text:
                 top = self._stack[-1]
-                self.blocks.append((text, top, [] if top.content else self._stack[1:]))
+                title = top.main and not top.article and any(e.tag == "h1" for e in self._stack)
+                self.blocks.append((text, top, [] if top.content else self._stack[1:], title))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in _BLOCK:
@@ -158,7 +190,12 @@ class Page:
             if content != "article":
                 outer, weak = outer + weak if tag == "article" else (), ()
             content = tag
-        self._stack.append(_Element(tag, dropped, content, outer, weak))
+        element = _Element(tag, dropped, content, outer, weak)
+        element.main, element.article = top.main or content == "main", top.article
+        if content == "article" and not top.article:
+            self._articles += 1
+            element.article = self._articles
+        self._stack.append(element)
 
     def _close_implied(self, tag: str) -> None:
         closes = _CLOSES.get(tag, ())
@@ -190,30 +227,34 @@ class Page:
             self.subtrees.add(element.hash)
             self._stack[-1].parts.append(f"<{element.hash}>")
 
-    def _without_named(self) -> list[tuple[str, _Element, list[_Element]]]:
+    def _without_named(self) -> list[tuple[str, _Element, list[_Element], bool]]:
         """Blocks without those that a compound class or id drops.
 
         A name that covers more than half of the text of the page stands around its content and drops nothing. Names
         around all the marked content drop nothing either.
         """
-        if not any(top.outer or top.weak for _, top, _ in self.blocks):
+        if not any(top.outer or top.weak for _, top, *_ in self.blocks):
             return self.blocks
         covered: Counter[str] = Counter()
-        for text, top, _ in self.blocks:
+        for text, top, *_ in self.blocks:
             for name in {*top.outer, *top.weak}:
                 covered[name] += len(text)
-        whole = sum(len(text) for text, _, _ in self.blocks)
+        whole = sum(len(text) for text, *_ in self.blocks)
         drops = {name for name, n in covered.items() if 2 * n <= whole}
         left = [b for b in self.blocks if drops.isdisjoint(b[1].weak)]
         free = [b for b in left if drops.isdisjoint(b[1].outer)]
-        return free if any(top.content for _, top, _ in free) else [b for b in left if b[1].content or drops.isdisjoint(b[1].outer)]
+        return free if any(top.content for _, top, *_ in free) else [b for b in left if b[1].content or drops.isdisjoint(b[1].outer)]
+
+    def found(self) -> list[Block]:
+        """Blocks in page order without those that tags, roles, classes and ids drop."""
+        return [
+            Block(text, [e.hash for e in around if e.hash], top.main, top.article, title)
+            for text, top, around, title in self._without_named()
+        ]
 
     def kept(self) -> list[tuple[str, list[int]]]:
-        """Texts in page order, each with the subtrees whose deletion would delete it."""
-        blocks = self._without_named()
-        marked = {top.content for _, top, _ in blocks}
-        content = "article" if "article" in marked else "main" if "main" in marked else ""
-        return [(text, [e.hash for e in around if e.hash]) for text, top, around in blocks if top.content == content]
+        """Texts to keep if no subtree is deleted, each with the subtrees whose deletion would delete it."""
+        return [(b.text, b.around) for b in chosen(self.found())]
 
 
 def host_of(url: str | None) -> str | None:
@@ -262,22 +303,31 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
         for batch in batches:
-            blocks = [
-                [{"text": text, "around": around} for text, around in Page(page or "").kept()]
-                for page in batch.column(3).to_pylist()
-            ]
+            blocks = []
+            for page in batch.column(3).to_pylist():
+                found = Page(page or "").found()
+                if not any(b.around for b in found):  # no deletion can change the choice
+                    found = [Block("\n".join(b.text for b in chosen(found)), [], False, 0, False)]
+                blocks.append([b._asdict() for b in found])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in range(3)), pa.array(blocks, _BLOCKS)], names=["page_id", "url", "key", "blocks"]
+            )
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for blocks, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                left = chosen([Block(**b) for b in blocks], frozenset(gone or ()))
+                texts.append("\n".join(b.text for b in left))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(3)), pa.array(blocks, kind)], names=["page_id", "url", "key", "blocks"]
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
+                names=["page_id", "url", "text", "n_chars"],
             )
 
+    block = "struct<text string, around array<bigint>, main boolean, article int, title boolean>"
     parsed = pages.select("page_id", "url", "key", "html").mapInArrow(
-        parse, "page_id bigint, url string, key bigint, blocks array<struct<text string, around array<bigint>>>"
-    )
-    gone = F.coalesce("deleted", F.array().cast("array<bigint>"))
-    blocks = F.filter("blocks", lambda block: ~F.arrays_overlap(block["around"], gone))
-    text = F.array_join(F.transform(blocks, lambda block: block["text"]), "\n")
-    return parsed.join(deleted, "key", "left").select(
-        "page_id", "url", text.alias("text"), F.char_length(text).cast("bigint").alias("n_chars")
+        parse, f"page_id bigint, url string, key bigint, blocks array<{block}>"
     )
+    joined = parsed.join(deleted, "key", "left").select("page_id", "url", "blocks", "deleted")
+    return joined.mapInArrow(choose, "page_id bigint, url string, text string, n_chars bigint")
