@@ -118,3 +118,30 @@ def test_templates_go_before_the_article_is_chosen(spark):
     assert found[3] == ("story 3", 7)
     assert found[9] == ("Site name, known in town since 1999\nstory 9", 43)
     assert found[10] == ("Title\na long story of the page\nRead next", 40)
+
+
+def test_counts_decide_inside_the_content_too(spark):
+    offer = '<section><p>Offer of the week</p></section>'
+    row = "<article><p>a rather long story, number {}</p><p>again</p>{}<div id=post-{}>Read {} too</div></article>"
+    rows = [(k, "http://a.example/", row.format(k, offer, k, "ABC"[k % 3])) for k in range(30)]
+    rows += [(50 + k, "http://b.example/", row.format(k, offer, k, k)) for k in range(4)]
+    rows += [(60 + k, "http://c.example/", f"<article><div id=x>the same {'long ' * 9}story</div></article>") for k in range(30)]
+    found = {r["page_id"]: r["text"] for r in extract(pages(spark, rows)).collect()}
+    for k in range(30):
+        assert found[k] == f"a rather long story, number {k}\nagain"
+        assert found[60 + k] == f"the same {'long ' * 9}story"  # copies of a page keep their text
+    for k in range(4):  # too few pages to know
+        assert found[50 + k] == f"a rather long story, number {k}\nagain\nOffer of the week\nRead {k} too"
+
+
+def test_shapes_and_many_pages(spark):
+    rows = []
+    for k in range(300):
+        turn = f"<div class=turn-{k}><b>Menu</b> {k % 50}</div>"  # each text is on 6 of 300 pages
+        story = f"<div class=text><p>the whole story of this page has number {k}</p></div>"
+        few = "<div class=note>In the north</div>" if k < 55 else "<p>In the north</p>" if k > 240 else ""
+        rows.append((k, "http://a.example/", turn + story + few))
+    found = {r["page_id"]: r["text"] for r in extract(pages(spark, rows)).collect()}
+    for k in range(300):
+        rest = "\nIn the north" if k > 240 else ""  # a plain paragraph needs the share, 60 pages
+        assert found[k] == f"the whole story of this page has number {k}" + rest

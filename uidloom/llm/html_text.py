@@ -1,13 +1,16 @@
 """Main text of web pages by removal of site templates.
 
-Each page is parsed into elements, and every element outside the main content gets a hash of its subtree: tag,
-texts and the hashes of its children. Spark counts on how many pages of its host each subtree occurs; subtrees
-that recur on many pages are the site's template and are deleted. Elements whose tag, role or class says that they
-are menus, headers, footers, sidebars, notices, adverts, forms or comments go as well, on pages of any host. A compound
-class such as ``right-sidebar`` drops an element only if it does not stand around the content.
-If a page marks its content as ``article`` or ``main``, no part of it is deleted for being frequent, as sites do repeat
-paragraphs. Of what is left, ``main`` is kept with the articles, or else the whole page; if one article has more than
-half of that text, only the articles and the main titles beside them are kept.
+Each page is parsed into elements, and every element, those of the main content included, gets two hashes of its
+subtree: one of tag, class, id, texts and the hashes of its children, and one of its shape, which leaves out the texts.
+Spark counts on how many pages of its host each subtree occurs. Subtrees that recur are the site's template and are
+deleted (see ``extract`` for how often). Plain paragraphs, titles and other text without class, id or role count as
+templates outside marked content only, and only by their exact text: sites repeat paragraphs, and these are content.
+
+What the counts leave goes through rules that need no other page. Elements whose tag, role or class says that they are
+menus, headers, footers, sidebars, notices, adverts, forms or comments go on pages of any host. A compound
+class such as ``right-sidebar`` drops an element only if it does not stand around the content. ``main`` is kept with
+the articles, or else the whole page; if one article has more than half of that text, only the articles and the main
+titles beside them are kept.
 
 Defined results: a null or empty page gives an empty text; a null or odd url has no host, so nothing of it
 counts as a template; repeated rows count as pages and each gets its own result; very long pages are read whole;
@@ -35,6 +38,7 @@ _BLOCKS = pa.list_(pa.struct([
 
 LEAST_PAGES = 5
 LEAST_SHARE = 0.2
+MANY_PAGES = 50
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>"""
@@ -42,6 +46,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTES = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_HAS_NAMES = re.compile(r"(?:class|id|role)\s*=", re.I)
 _RAW = {t: re.compile(rf"</{t}\b", re.I) for t in ("script", "style", "textarea", "title", "xmp", "iframe", "noscript")}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
@@ -63,18 +68,28 @@ _DROPPED_NAMES = frozenset(
 _BESIDE = frozenset("has no not with without hide category tag".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
+_PLAIN = frozenset(
+    "p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption figcaption blockquote pre a abbr b bdi bdo cite code data del dfn em "
+    "font i ins kbd label mark q s samp small span strong sub sup time tt u var".split()
+)
 _FENCES = frozenset("ul ol dl table select article main body".split())
 
 
 class _Element:
-    __slots__ = ("tag", "dropped", "content", "outer", "weak", "main", "article", "parts", "hash")
+    __slots__ = (
+        "tag", "dropped", "content", "outer", "weak", "main", "article", "depth", "names", "parts", "shapes", "hash", "counts"
+    )
 
     def __init__(self, tag: str, dropped: bool, content: str, outer: tuple[str, ...] = (), weak: tuple[str, ...] = ()):
         self.tag, self.dropped, self.content = tag, dropped, content
         self.outer, self.weak = outer, weak  # compound names around the content, and from the content on
         self.main, self.article = False, 0  # whether it is in main, and in which outer article of the page
+        self.depth = 0  # elements of the stack up to the article or main it is in
+        self.names = ""
         self.parts: list[str] = []
+        self.shapes: list[str] = []
         self.hash = 0
+        self.counts = False
 
 
 class Block(NamedTuple):
@@ -87,15 +102,33 @@ class Block(NamedTuple):
     title: bool
 
 
-def chosen(blocks: list[Block], deleted: Set[int] = frozenset()) -> list[Block]:
-    """The blocks to keep, in page order, once the subtrees ``deleted`` are gone."""
-    left = [b for b in blocks if deleted.isdisjoint(b.around)]
+def chosen(blocks: list[Block], often: Set[int] = frozenset(), pooled: Set[int] = frozenset()) -> list[Block]:
+    """The blocks to keep, in page order, once the recurring subtrees are gone.
+
+    A subtree with more than half of the text of the marked content, or of a page without, is no template of that page,
+    but a page that has copies. Outside marked content this holds for the ``pooled`` subtrees only.
+    """
+    if often or pooled:
+        deleted = set()
+        for marked in (False, True):
+            own = [b for b in blocks if bool(b.main or b.article) == marked]
+            whole = sum(len(b.text) for b in (own if marked else blocks))
+            sizes: Counter[int] = Counter()
+            for b in own:
+                for subtree in {*b.around}:
+                    sizes[subtree] += len(b.text)
+            deleted |= {
+                (marked, h) for h, n in sizes.items()
+                if h in often and not marked or (h in often or h in pooled) and 2 * n <= whole
+            }
+        blocks = [b for b in blocks if deleted.isdisjoint((bool(b.main or b.article), h) for h in b.around)]
+    left = blocks
     if any(b.main for b in left):
         left = [b for b in left if b.main or b.article]
-    sizes: Counter[int] = Counter()
+    articles: Counter[int] = Counter()
     for b in left:
-        sizes[b.article] += len(b.text)
-    if 2 * max((n for article, n in sizes.items() if article), default=0) > sum(sizes.values()):
+        articles[b.article] += len(b.text)
+    if 2 * max((n for article, n in articles.items() if article), default=0) > sum(articles.values()):
         return [b for b in left if b.article or b.title]
     return left
 
@@ -105,7 +138,7 @@ def _judge(tag: str, attributes: str, content: str) -> tuple[bool, tuple[str, ..
     if tag in _DROPPED_TAGS or tag == "header" and not content:
         return True, ()
     weak: list[str] = []
-    if attributes and "=" in attributes and tag not in ("html", "body"):
+    if attributes and tag not in ("html", "body") and _HAS_NAMES.search(attributes):
         named = tag != "main" and (tag != "article" or content == "article")
         for name, *values in _ATTRIBUTES.findall(attributes):
             name = name.lower()
@@ -126,12 +159,26 @@ def _judge(tag: str, attributes: str, content: str) -> tuple[bool, tuple[str, ..
     return False, tuple(weak)
 
 
+def _names(attributes: str) -> str:
+    """Class, id and role without digits, as these often number the page."""
+    found = [(name.lower(), "".join(values)) for name, *values in _ATTRIBUTES.findall(attributes)]
+    return " ".join(f"{name}={re.sub('[0-9]+', '', value)}" for name, value in found if name in ("class", "id", "role"))
+
+
+def _hash(tag: str, names: str, parts: list[str]) -> int:
+    inside = f"{tag}\0{names}\0" + "\0".join(parts)
+    return int.from_bytes(blake2b(inside.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) or 1
+
+
 class Page:
-    """Blocks of kept text with the elements around them, and the hashes of the subtrees outside the content."""
+    """Blocks of kept text with the elements around them, and the counted subtrees with their shapes, 0 for plain ones.
+
+    Of elements that rules drop only the outermost count; what they hold goes with them.
+    """
 
     def __init__(self, page: str):
         self.blocks: list[tuple[str, _Element, list[_Element], bool]] = []
-        self.subtrees: set[int] = set()
+        self.subtrees: dict[int, int] = {}
         self._articles = 0
         self._stack: list[_Element] = [_Element("", False, "")]
         self._text: list[str] = []
@@ -161,8 +208,7 @@ class Page:
 
     def _add_text(self, raw: str) -> None:
         top = self._stack[-1]
-        if not top.content:
-            top.parts.append(" ".join(raw.split()))
+        top.parts.append(" ".join(raw.split()))
         if not top.dropped:
             self._text.append(entities.unescape(raw) if "&" in raw else raw)
 
@@ -173,7 +219,7 @@ class Page:
             if text:
                 top = self._stack[-1]
                 title = top.main and not top.article and any(e.tag == "h1" for e in self._stack)
-                self.blocks.append((text, top, [] if top.content else self._stack[1:], title))
+                self.blocks.append((text, top, self._stack[max(top.depth, 1):], title))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in _BLOCK:
@@ -195,6 +241,9 @@ class Page:
         if content == "article" and not top.article:
             self._articles += 1
             element.article = self._articles
+        element.depth = len(self._stack) + 1 if element.article != top.article or element.main != top.main else top.depth
+        if attributes and _HAS_NAMES.search(attributes):
+            element.names = _names(attributes)
         self._stack.append(element)
 
     def _close_implied(self, tag: str) -> None:
@@ -221,11 +270,18 @@ class Page:
         element = self._stack.pop()
         if element.content and element.tag in ("article", "main"):
             return
-        if not element.content and element.tag not in ("html", "body", "head"):
-            inside = f"{element.tag}\0" + "\0".join(element.parts)
-            element.hash = int.from_bytes(blake2b(inside.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True) or 1
-            self.subtrees.add(element.hash)
-            self._stack[-1].parts.append(f"<{element.hash}>")
+        if element.tag in ("html", "body", "head"):
+            return
+        above = self._stack[-1]
+        element.hash = _hash(element.tag, element.names, element.parts)
+        shape = _hash(element.tag, element.names, element.shapes)
+        above.parts.append(f"<{element.hash}>")
+        if not above.shapes or above.shapes[-1] != f"{shape}":
+            above.shapes.append(f"{shape}")
+        plain = not element.names and (element.tag in _PLAIN or not element.shapes)
+        element.counts = not above.dropped and not (element.content and not element.names and element.tag in _PLAIN)
+        if element.counts:
+            self.subtrees[element.hash] = 0 if plain and not element.dropped else shape
 
     def _without_named(self) -> list[tuple[str, _Element, list[_Element], bool]]:
         """Blocks without those that a compound class or id drops.
@@ -248,7 +304,7 @@ class Page:
     def found(self) -> list[Block]:
         """Blocks in page order without those that tags, roles, classes and ids drop."""
         return [
-            Block(text, [e.hash for e in around if e.hash], top.main, top.article, title)
+            Block(text, [e.hash for e in around if e.counts], top.main, top.article, title)
             for text, top, around, title in self._without_named()
         ]
 
@@ -265,42 +321,78 @@ def host_of(url: str | None) -> str | None:
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """(host, key, subtree) of every page with a host; subtree 0 stands for the page itself."""
+    """(host, key, subtree, shape, first) of every page with a host; subtree 0 stands for the page itself.
+
+    ``first`` marks one subtree of each shape of a page.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, keys, subtrees = [], [], []
+            hosts, keys, subtrees, shapes, first = [], [], [], [], []
             for key, url, page in zip(*(batch.column(c).to_pylist() for c in ("key", "url", "html"))):
                 host = host_of(url)
                 if host is not None:
-                    found = [0, *sorted(Page(page or "").subtrees)]
+                    found = [(0, 0), *sorted(Page(page or "").subtrees.items())]
                     hosts += [host] * len(found)
                     keys += [key] * len(found)
-                    subtrees += found
+                    seen: set[int] = set()
+                    for subtree, shape in found:
+                        subtrees.append(subtree)
+                        shapes.append(shape)
+                        first.append(shape not in seen)
+                        seen.add(shape)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(subtrees, pa.int64())],
-                names=["host", "key", "subtree"],
+                [pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (keys, subtrees, shapes)), pa.array(first, pa.bool_())],
+                names=["host", "key", "subtree", "shape", "first"],
             )
 
-    return pages.mapInArrow(parse, "host string, key bigint, subtree bigint")
+    return pages.mapInArrow(parse, "host string, key bigint, subtree bigint, shape bigint, first boolean")
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
+def templates_of(
+    found: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, many_pages: int = MANY_PAGES
+) -> DataFrame:
+    """(host, subtree, often) of the templates; ``often`` if the share of the pages alone makes it one."""
+    counts = found.groupBy("host", "shape", "subtree").agg(
+        F.count("*").alias("n"), F.sum(F.col("first").cast("bigint")).alias("n_first")
+    )
+    hosts = counts.where("subtree = 0").select("host", "n").withColumnRenamed("n", "of_host")
+    least = F.greatest(F.lit(least_pages), F.col("of_host") * least_share)
+    shapes = (
+        counts.where("shape <> 0").groupBy("host", "shape").agg(F.sum("n_first").alias("pages"), F.count("*").alias("texts"))
+        .where(F.col("pages") >= F.col("texts") * least_pages)
+        .join(hosts, "host").where(F.col("pages") >= least)
+        .select("host", "shape", F.lit(True).alias("pooled"))
+    )
+    again = counts.where("subtree <> 0").where(F.col("n") >= min(2, least_pages))
+    return (
+        again.join(hosts, "host").join(shapes, ["host", "shape"], "left")
+        .withColumn("often", F.col("n") >= least)
+        .where(F.col("often") | F.col("pooled") | (F.col("shape") != 0) & (F.col("n") >= many_pages))
+        .select("host", "subtree", "often")
+    )
+
+
+def extract(
+    pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE, many_pages: int = MANY_PAGES
+) -> DataFrame:
     """Per row of ``pages`` (page_id, url, html) its main text.
 
-    A subtree is a template if at least ``least_pages`` pages and ``least_share`` of the pages of its host hold it.
+    A subtree is a template if at least ``least_pages`` pages and ``least_share`` of the pages of its host hold it, or
+    ``many_pages`` pages however large the host is. It is one as well if it recurs and its shape is on that share of
+    the pages with few texts, each on ``least_pages`` pages on average, as menus and adverts that take turns are.
     """
     pages = pages.select(
         "page_id", "url", "html", F.xxhash64("page_id", "url", F.coalesce("html", F.lit(""))).alias("key")
     )
     found = materialize(subtree_counts(pages), "subtrees")
-    counts = found.groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    hosts = counts.where("subtree = 0").select("host", F.col("n").alias("of_host"))
-    often = F.col("n") >= F.greatest(F.lit(least_pages), F.col("of_host") * least_share)
-    templates = counts.where("subtree <> 0").join(hosts, "host").where(often).select("host", "subtree")
+    templates = templates_of(found, least_pages, least_share, many_pages)
     deleted = (
-        found.join(templates, ["host", "subtree"]).groupBy("key").agg(F.collect_set("subtree").alias("deleted"))
-    )
+        found.select("host", "key", "subtree").join(templates, ["host", "subtree"]).groupBy("key").agg(
+            F.collect_set(F.when(F.col("often"), F.col("subtree"))).alias("often"),
+            F.collect_set(F.when(~F.col("often"), F.col("subtree"))).alias("pooled"),
+        )
+    )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -317,8 +409,8 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for blocks, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                left = chosen([Block(**b) for b in blocks], frozenset(gone or ()))
+            for blocks, often, pooled in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+                left = chosen([Block(**b) for b in blocks], frozenset(often or ()), frozenset(pooled or ()))
                 texts.append("\n".join(b.text for b in left))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
@@ -329,5 +421,5 @@ def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float
     parsed = pages.select("page_id", "url", "key", "html").mapInArrow(
         parse, f"page_id bigint, url string, key bigint, blocks array<{block}>"
     )
-    joined = parsed.join(deleted, "key", "left").select("page_id", "url", "blocks", "deleted")
+    joined = parsed.join(deleted, "key", "left").select("page_id", "url", "blocks", "often", "pooled")
     return joined.mapInArrow(choose, "page_id bigint, url string, text string, n_chars bigint")
