@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import public_tokenizers
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
 from tests.llm.data import frame, odd_rows
 from uidloom.llm import textops, token_output
@@ -54,3 +54,42 @@ def test_no_rows(spark, tmp_path):
     path = str(tmp_path / "tokens")
     token_output.write_tokens(frame(spark, [(1, "a")]).where("doc_id = 2"), path, PATH)
     assert token_output.read_tokens(spark, path).collect() == []
+
+
+MARK = "<|endoftext|>"
+
+
+def same_ids(tokenizer, texts, most):
+    encoder = token_output.Encoder(tokenizer.to_str(), encode_special_tokens=False)
+    for chunk in textops.chunks(pa.array(texts, pa.string()), most):
+        ids, counts = encoder.encode(chunk)
+        for k, own in enumerate(np.split(ids, np.cumsum(counts)[:-1])):
+            text = texts[chunk.first + k] or ""
+            assert own.tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("flags", [None, {}, {"lstrip": True}, {"rstrip": True}, {"single_word": True}])
+def test_strings_of_added_tokens(flags):
+    plain = Tokenizer.from_file(PATH)
+    if flags is not None:
+        plain.add_tokens([AddedToken("<|end", normalized=False, **flags), AddedToken("word", normalized=False)])
+    rng = random.Random(5)
+    parts = ["a", "é", "1", "'", "'s", ".", " ", "  ", "\n", "\n\n", "\t", "日", "🙂", "word", " the", MARK, MARK, "<|end", "oftext|>", "|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 20))) for _ in range(3000)]
+    texts += ["x<|endof", "text|>y", "", None, "<|end", "oftext|>", MARK, MARK * 3]
+    same_ids(plain, texts, 1 << 12)
+
+
+def test_files_hold_the_ids_of_the_plain_call(spark, tmp_path):
+    plain = Tokenizer.from_file(PATH)
+    rows = [(1, f"a word {MARK} next"), (2, "two"), (3, MARK), (4, f"end{MARK}"), (5, "<|endof"), (6, "text|>")]
+    path = str(tmp_path / "tokens")
+    token_output.write_tokens(frame(spark, rows), path, PATH)
+    found = sorted(map(tuple, token_output.read_tokens(spark, path).collect()))
+    assert plain.encode(rows[0][1], add_special_tokens=False).ids == [64, 1573, 220, 50256, 1306]
+    start, expected = 0, []
+    for doc_id, text in rows:
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 0]
+        expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert found == expected

@@ -1,7 +1,8 @@
 """Token ids of documents, packed into files in ascending order of their ids, and read back.
 
 A text is cut into pieces at places where every pre-token ends, whatever stands around them; the library encodes
-each distinct piece once, and equal pieces share its ids. The files are Parquet rows, written by Spark to any
+each distinct piece once, and equal pieces share its ids. The strings of added tokens, such as an end mark, are found
+as the library finds them, each as a piece of its own. The files are Parquet rows, written by Spark to any
 store it knows: a row is a page of whole documents with their ids in word-aligned packed blocks (``packing``),
 the word offset of each block, and the id and length of each document. Pages are ordered by (shard, page).
 
@@ -12,7 +13,9 @@ text columns are read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -77,14 +80,22 @@ def piece_starts(texts: textops.Texts) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes texts with a tokenizer given as its JSON text; remembers the ids of pieces."""
+    """Encodes texts with a tokenizer given as its JSON text; remembers the ids of pieces.
 
-    def __init__(self, tokenizer_json: str):
+    With ``encode_special_tokens`` the strings of special tokens are ordinary text, as with the library's own setting.
+    """
+
+    def __init__(self, tokenizer_json: str, encode_special_tokens: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = encode_special_tokens
+        added = [t for t in json.loads(tokenizer_json).get("added_tokens") or () if not (encode_special_tokens and t["special"])]
+        found = sorted({t["content"].encode() for t in added if t["content"]}, key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, found))) if found else None
+        #: What stands around such a token decides as well, so texts that hold one are not cut.
+        self.whole = any(t[flag] for t in added for flag in ("single_word", "lstrip", "rstrip", "normalized"))
         self.forget()
 
     def forget(self) -> None:
@@ -104,13 +115,39 @@ class Encoder:
         self.count = np.insert(self.count, at, count)
         self.pool = np.concatenate((self.pool, flat))
 
+    def _uncut(self, texts: textops.Texts) -> np.ndarray:
+        """Start and end of each stretch that stays one piece: added tokens, the longest where several start."""
+        raw, at, spans = texts.data.tobytes(), 0, []
+        while self.added and (found := self.added.search(raw, at)):
+            at = found.start()
+            k = int(np.searchsorted(texts.ends, at, side="right"))
+            end = int(texts.ends[k])
+            found = self.added.match(raw, at, end)  # not across two texts
+            if not found:
+                at += 1
+            elif self.whole:
+                spans.append((int(texts.ends[k - 1]), end))
+                at = end
+            else:
+                spans.append(found.span())
+                at = found.end()
+        return np.array(spans, np.int64).reshape(-1, 2)
+
+    def _starts(self, texts: textops.Texts) -> np.ndarray:
+        uncut = self._uncut(texts)
+        if not len(uncut):
+            return piece_starts(texts)
+        start = piece_starts(textops.Texts(texts.first, texts.data, np.union1d(texts.ends, uncut)))
+        low, high = uncut[np.maximum(np.searchsorted(uncut[:, 0], start, side="right") - 1, 0)].T
+        return start[(start <= low) | (start >= high)]
+
     def encode(self, texts: textops.Texts) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each text has."""
         if not len(texts.data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         if len(self.keys) > CACHED_PIECES:
             self.forget()
-        start = piece_starts(texts)
+        start = self._starts(texts)
         end = np.append(start[1:], len(texts.data))
         hashes = textops.stretch_hashes(textops.prefix_hashes(texts.data), start, end)
         distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
@@ -139,7 +176,7 @@ def encoder_of(tokenizer_json: str) -> Encoder:
     key = hash(tokenizer_json)
     if key not in _encoders:
         _encoders.clear()
-        _encoders[key] = Encoder(tokenizer_json)
+        _encoders[key] = Encoder(tokenizer_json, encode_special_tokens=False)
     return _encoders[key]
 
 
