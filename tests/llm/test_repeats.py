@@ -86,3 +86,25 @@ def test_neighbours_share_their_gram():
         own = (text == k) & (first <= start + 30) & (last >= start)
         found.append({(int(g), int(a) - start) for g, a in zip(gram[own], at[own])})
     assert all(f == found[0] for f in found)
+
+
+def test_rows_without_an_id_are_not_gathered(spark, monkeypatch):
+    kept, write = {}, repeats.materialize
+
+    def spy(df, name):
+        kept[name] = write(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(repeats, "materialize", spy)
+    rng = random.Random(7)
+    passage = " ".join(sentence(rng, 60))
+    rows = [(None if k % 3 else 5, f"{' '.join(sentence(rng, 20))} {passage} {k}") for k in range(120)]
+    rows += [(None, passage)] * 40 + [(None, None), (5, None), (6, passage), ((1 << 63) - 1, passage)]
+    check(spark, rows)
+    assert kept["copies"].count() == 41  # a row for each copy, not a list for each id
+    keyed = repeats._keyed(frame(spark, rows)).repartition(8, "doc", "dup")
+    found = keyed.selectExpr("spark_partition_id() AS p", "doc_id", "doc", "dup", "text").where("doc_id IS NULL").collect()
+    assert len({r["p"] for r in found}) == 8
+    found.sort(key=lambda r: r["dup"])
+    assert [r["text"] or "" for r in found] == sorted(r["text"] or "" for r in found)
+    assert [r["dup"] for r in found] == list(range(1, len(found) + 1))  # after the row with the largest id

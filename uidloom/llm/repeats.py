@@ -148,20 +148,16 @@ def _second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of the open rows, from (doc, dup, text, rows); a row of a large group becomes one row per suffix."""
+    """Bytes of the open rows of each text, from (doc, dup, text, rows); one of a large group becomes one row per suffix."""
     for batch in batches:
         docs, dups = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         texts = batch.column(2).fill_null("")
         for k, rows in enumerate(batch.column(3)):
             values = rows.values
-            at = values.field("at").to_numpy()
-            own = np.flatnonzero(at >> 32 == dups[k])
-            if not len(own):
-                continue
             raw = texts[k].as_buffer()
             data = memoryview(raw) if raw is not None else memoryview(b"")
-            at, gram, reach = at[own], values.field("gram").to_numpy()[own], values.field("reach").to_numpy()[own]
-            large = values.field("large").to_numpy(zero_copy_only=False)[own]
+            at, gram, reach = (values.field(c).to_numpy() for c in ("at", "gram", "reach"))
+            large = values.field("large").to_numpy(zero_copy_only=False)
             grams, places, reaches, pieces = [], [], [], []
             for a, g, r, split in zip((at & 0xFFFFFFFF).tolist(), gram.tolist(), reach.tolist(), large.tolist()):
                 low, high = r >> 16, r & 0xFFFF
@@ -223,22 +219,20 @@ def _last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The result from (doc_id, dup, text, copies, spans)."""
+    """The result from (doc_id, text, copy, spans)."""
     for batch in batches:
-        dups = batch.column(1).to_numpy()
-        texts = batch.column(2).fill_null("")
+        texts = batch.column(1).fill_null("")
         out: list[list] = [[], [], [], []]
         for k in range(batch.num_rows):
             raw = texts[k].as_buffer()
             data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
-            copies, spans = batch.column(3)[k], batch.column(4)[k]
+            copy, spans = batch.column(2)[k], batch.column(3)[k]
             change = np.zeros(len(data) + 1, np.int32)
-            if copies.is_valid and len(data) >= LENGTH and int(dups[k]) in copies.as_py():
+            if copy.is_valid:
                 change[0], change[-1] = 1, -1
             elif spans.is_valid:
-                own = spans.values.field("dup").to_numpy() == dups[k]
-                np.add.at(change, spans.values.field("low").to_numpy()[own], 1)
-                np.add.at(change, spans.values.field("high").to_numpy()[own], -1)
+                np.add.at(change, spans.values.field("low").to_numpy(), 1)
+                np.add.at(change, spans.values.field("high").to_numpy(), -1)
             gone = np.cumsum(change)[:-1] > 0
             starts = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + int(gone[:1].sum())
             for column, value in zip(out, (len(data), int(gone.sum()), starts, hashlib.sha256(data[~gone].tobytes()).hexdigest())):
@@ -249,33 +243,52 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, doc, dup): a key of each row in the order of rows.
+
+    ``dup`` counts the rows without an id, and those of a repeated id. Only these are sorted, over the whole cluster.
+    """
+    rows = docs.select(
+        F.col("doc_id").cast("bigint"), "text", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST_ID)).alias("doc")
+    )
+    repeated = materialize(rows.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc"), "repeated_ids")
+    if repeated.isEmpty():
+        return rows.withColumn("dup", F.lit(0).cast("bigint"))
+    order = [F.col("doc"), F.col("doc_id").isNull()]
+    several = rows.join(repeated, "doc", "left_semi").repartitionByRange(*order, F.substring("text", 1, 64))
+    several = several.sortWithinPartitions(*order, "text").withColumn("place", F.monotonically_increasing_id())
+    several = materialize(several, "repeated_rows").withColumn("part", F.shiftright("place", 33))
+    parts = several.groupBy("doc", "part").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    earlier = Window.partitionBy("doc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    dup = (F.col("before") + F.col("place") - F.col("first")).alias("dup")
+    several = several.join(parts, ["doc", "part"]).select("doc_id", "text", "doc", dup)
+    return rows.join(repeated, "doc", "left_anti").select("doc_id", "text", "doc", F.lit(0).cast("bigint").alias("dup")).unionByName(several)
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per document what is left when all repeated strings are removed.
 
-    The texts are written once, bucketed by document, so that every later pass reads them without a shuffle.
+    The texts are written once, bucketed by row, so that every later pass reads them without a shuffle.
     """
     spark = docs.sparkSession
     table = f"repeat_texts_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(
-        F.col("doc_id").cast("bigint"), "text", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST_ID)).alias("doc")
-    )
-    order = Window.partitionBy("doc").orderBy(F.col("doc_id").isNull(), "text")
+    row = ["doc", "dup"]
     (
-        rows.repartition(buckets, "doc")
-        .withColumn("dup", F.row_number().over(order).cast("bigint") - 1)
+        _keyed(docs).repartition(buckets, *row)
         .withColumn("digest", F.when(F.octet_length("text") >= LENGTH, F.sha2("text", 256)))
         .write.format("parquet").option("compression", "zstd")
-        .bucketBy(buckets, "doc").sortBy("doc").saveAsTable(table)
+        .bucketBy(buckets, *row).sortBy(*row).saveAsTable(table)
     )
     texts = spark.table(table)
 
     digests = texts.where("digest IS NOT NULL").select("doc", "dup", "digest")
     first = digests.groupBy("digest").agg(F.min(F.struct("doc", "dup")).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = digests.join(first, "digest").where(F.struct("doc", "dup") != F.col("first"))
-    copies = materialize(later.groupBy("doc").agg(F.collect_list("dup").alias("copies")), "copies")
+    copies = materialize(later.select(*row, F.lit(True).alias("copy")), "copies")
 
-    fresh = texts.join(copies, "doc", "left").where("copies IS NULL OR NOT array_contains(copies, dup)")
+    fresh = texts.join(copies, row, "left_anti")
     sort = ["gram", "stretch", "doc", "at"]
     found = materialize(fresh.select("doc", "dup", "text").mapInArrow(_first_pass, _ANCHORS), "anchors")
     passed = found.where("NOT again").drop("again").repartition("gram").sortWithinPartitions(*sort)
@@ -284,21 +297,22 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     left = passed.where("open").select("gram", "doc", "at", "reach")
     large = left.groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > MANY).select("gram", F.lit(True).alias("large"))
     left = left.join(large, "gram", "left").withColumn("large", F.coalesce("large", F.lit(False)))
-    by_doc = left.groupBy("doc").agg(F.collect_list(F.struct("gram", "at", "reach", "large")).alias("rows"))
-    stretches = texts.join(by_doc, "doc").select("doc", "dup", "text", "rows").mapInArrow(_stretches, _STRETCHES)
+    dup = F.shiftright("at", 32).alias("dup")
+    by_row = left.groupBy("doc", dup).agg(F.collect_list(F.struct("gram", "at", "reach", "large")).alias("rows"))
+    stretches = texts.join(by_row, row).select("doc", "dup", "text", "rows").mapInArrow(_stretches, _STRETCHES)
     spans = stretches.repartition("gram").sortWithinPartitions("gram", "doc", "at").mapInArrow(_last_pass, _SPANS)
     place, reach = F.col("at").bitwiseAND(0xFFFFFFFF), F.col("reach").cast("bigint")
     repeated = found.where("again").select("doc", "at", "reach").unionByName(passed.where("NOT open").select("doc", "at", "reach"))
     known = repeated.select(
         "doc",
-        F.shiftright("at", 32).alias("dup"),
+        dup,
         (place - reach.bitwiseAND(0xFFFF)).alias("low"),
         (place - F.shiftright(reach, 16) + LENGTH).alias("high"),
     )
-    gone = known.unionByName(spans).groupBy("doc").agg(F.collect_list(F.struct("dup", "low", "high")).alias("spans"))
+    gone = known.unionByName(spans).groupBy(*row).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     answer = (
-        texts.join(copies, "doc", "left").join(gone, "doc", "left")
-        .select("doc_id", "dup", "text", "copies", "spans")
+        texts.join(copies, row, "left").join(gone, row, "left")
+        .select("doc_id", "text", "copy", "spans")
         .mapInArrow(_remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
     )
     answer = materialize(answer, "repeats")
