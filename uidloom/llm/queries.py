@@ -8,7 +8,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from uidloom.llm import decontaminate, html_text, language, mixing, near_dedup, quality, repeats, token_output, toxicity
+from uidloom.llm import (
+    decontaminate,
+    html_text,
+    language,
+    mixing,
+    near_dedup,
+    prefix_trie,
+    quality,
+    repeats,
+    spelling,
+    token_count,
+    token_output,
+    toxicity,
+)
 from uidloom.llm.exact_dedup import DigestIndex
 from uidloom.sources.session import materialize
 
@@ -74,6 +87,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answer
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations start with turns of the first of their twenty, as many as the checksum of their id says."""
+    return prefix_trie.conversation_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations"), group=20, most=4))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, path = table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    return token_count.count_tokens(docs, path, limit=1024)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_mixing": op2_mixing,
@@ -85,4 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_counts": op12_token_counts,
+    "op13_spelling": op13_spelling,
 }
