@@ -106,7 +106,8 @@ class Trie:
     """The tables of one compressed trie over ``words`` (wid, word, n), in ``folder``.
 
     ``states``: (word, n, pos, node), the states without an edit from the middle of each word on.
-    ``edges``: (parent, child, label, first). ``ends``: (node, near, near_n), the word that ends at a node.
+    ``edges``: (parent, child, label, first, ends, nexts), with the label's first code point, whether a word ends at the
+    child, and the first code points of the edges that leave it. ``ends``: (node, near, near_n), the word of a node.
     """
 
     def __init__(self, words: DataFrame, lowest: int, folder: str):
@@ -128,8 +129,12 @@ class Trie:
             F.col("s.a.node").alias("parent"),
             F.col("s.b.node").alias("child"),
             _after("word", F.col("s.a.depth"), F.col("s.b.depth") - F.col("s.a.depth")).alias("label"),
+            (F.char_length("word") == F.col("s.b.depth")).alias("ends"),
         )
-        self.edges = materialize(step.distinct().withColumn("first", F.ascii(F.col("label"))), "edges", folder)
+        step = step.groupBy("parent", "child", "label").agg(F.max("ends").alias("ends"))
+        step = materialize(step.withColumn("first", F.ascii(F.col("label"))), "steps", folder)
+        below = step.groupBy(F.col("parent").alias("child")).agg(F.collect_set("first").alias("nexts"))
+        self.edges = materialize(step.join(below, "child", "left"), "edges", folder)
         half = F.floor(F.char_length("word") / 2)
         self.states = paths.select("word", "n", F.explode("path").alias("p")).select(
             "word", "n", F.col("p.depth").alias("pos"), F.col("p.node").alias("node")
@@ -146,32 +151,44 @@ def _arrived(states: DataFrame, ends: DataFrame) -> DataFrame:
     return found.select("word", "n", "near", "near_n")
 
 
+def _code(word: str, at: Column) -> Column:
+    """The code point after the first ``at``; 0 behind the end. ascii() gives it also beyond ASCII."""
+    return F.ascii(_after(word, at, F.lit(1)))
+
+
+def _goes_on(pos: Column) -> Column:
+    """Whether the child has an edge for the next code point, or a word's end where the word ends."""
+    at_end = pos == F.char_length("word")
+    return (at_end & F.col("ends")) | F.coalesce(~at_end & F.array_contains("nexts", _code("word", pos)), F.lit(False))
+
+
 def one_edit_pairs(trie: Trie, folder: str) -> DataFrame:
     """(word, n, near, near_n): words and those that come of one replaced or deleted code point after the middle.
 
-    A pair that differs by a replaced code point comes once, from the word that has the smaller one.
+    A pair that differs by a replaced code point comes once, from the word that has the smaller one. Of deletions that
+    give the same word, the last one counts: there the code point behind is another one.
     """
-    edges = trie.edges
-    length = F.char_length("label")
-    here = F.ascii(_after("word", "pos", F.lit(1)))
-    open_states = trie.states.where(F.col("pos") < F.char_length("word"))
-    # ascii() gives the code point of the first character, also beyond ASCII.
-    replaced = (
-        open_states.join(edges, F.col("node") == F.col("parent"))
-        .where((here < F.col("first")) & (F.col("pos") + length <= F.char_length("word")))
-        .where(_after("word", F.col("pos") + 1, length - 1) == _after("label", F.lit(1), length - 1))
-        .select("word", "n", (F.col("pos") + length).alias("pos"), F.col("child").alias("node"))
+    pos, length = F.col("pos"), F.char_length("label")
+    here, behind, size = _code("word", pos), _code("word", pos + 1), F.char_length("word")
+    replaced = (here < F.col("first")) & (_after("word", pos + 1, length - 1) == _after("label", F.lit(1), length - 1))
+    deleted = (here != behind) & (behind == F.col("first")) & (_after("word", pos + 1, length) == F.col("label"))
+    open_states = trie.states.where(pos < size)
+    stepped = (
+        open_states.join(trie.edges, F.col("node") == F.col("parent"))
+        .where(replaced | deleted)
+        .select("*", F.explode(F.array_compact(F.array(F.when(replaced, pos + length), F.when(deleted, pos + 1 + length)))).alias("to"))
     )
-    deleted = open_states.withColumn("pos", F.col("pos") + 1)
-    frontier = materialize(replaced.unionByName(deleted), "frontier", folder)
-    pairs = [_arrived(frontier, trie.ends)]
+    moved = stepped.where((F.col("to") <= size) & _goes_on(F.col("to")))
+    frontier = materialize(moved.select("word", "n", F.col("to").alias("pos"), F.col("child").alias("node")), "frontier", folder)
+    shortened = trie.states.where(pos == size - 1).withColumn("pos", size)
+    pairs = [_arrived(shortened, trie.ends), _arrived(frontier, trie.ends)]
+    edges = trie.edges.withColumnRenamed("parent", "node").select("node", "child", "label", "first", "ends", "nexts")
     while True:
-        walking = frontier.where(F.col("pos") < F.char_length("word"))
+        walking = frontier.where(pos < size).withColumn("first", here)
         moved = (
-            walking.withColumn("first", F.ascii(_after("word", "pos", F.lit(1))))
-            .join(edges.withColumnRenamed("parent", "node"), ["node", "first"])
-            .where(_after("word", "pos", length) == F.col("label"))
-            .select("word", "n", (F.col("pos") + length).alias("pos"), F.col("child").alias("node"))
+            walking.join(edges, ["node", "first"])
+            .where((_after("word", pos, length) == F.col("label")) & _goes_on(pos + length))
+            .select("word", "n", (pos + length).alias("pos"), F.col("child").alias("node"))
         )
         frontier = materialize(moved, "frontier", folder)
         if frontier.isEmpty():
