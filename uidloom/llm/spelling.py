@@ -106,7 +106,7 @@ class Trie:
     """The tables of one compressed trie over ``words`` (wid, word, n), in ``folder``.
 
     ``states``: (word, n, pos, node), the states without an edit from the middle of each word on.
-    ``edges``: (parent, child, label, first, ends, nexts), with the label's first code point, whether a word ends at the
+    ``edges``: (parent, child, label, length, first, ends, nexts), with the label's first code point, whether a word ends at the
     child, and the first code points of the edges that leave it. ``ends``: (node, near, near_n), the word of a node.
     """
 
@@ -134,7 +134,8 @@ class Trie:
         step = step.groupBy("parent", "child", "label").agg(F.max("ends").alias("ends"))
         step = materialize(step.withColumn("first", F.ascii(F.col("label"))), "steps", folder)
         below = step.groupBy(F.col("parent").alias("child")).agg(F.collect_set("first").alias("nexts"))
-        self.edges = materialize(step.join(below, "child", "left"), "edges", folder)
+        edges = step.join(below, "child", "left").withColumn("length", F.char_length("label"))
+        self.edges = materialize(edges, "edges", folder)
         half = F.floor(F.char_length("word") / 2)
         self.states = paths.select("word", "n", F.explode("path").alias("p")).select(
             "word", "n", F.col("p.depth").alias("pos"), F.col("p.node").alias("node")
@@ -158,7 +159,7 @@ def _code(word: str, at: Column) -> Column:
 
 def _goes_on(pos: Column) -> Column:
     """Whether the child has an edge for the next code point, or a word's end where the word ends."""
-    at_end = pos == F.char_length("word")
+    at_end = pos == F.col("size")
     return (at_end & F.col("ends")) | F.coalesce(~at_end & F.array_contains("nexts", _code("word", pos)), F.lit(False))
 
 
@@ -168,27 +169,27 @@ def one_edit_pairs(trie: Trie, folder: str) -> DataFrame:
     A pair that differs by a replaced code point comes once, from the word that has the smaller one. Of deletions that
     give the same word, the last one counts: there the code point behind is another one.
     """
-    pos, length = F.col("pos"), F.char_length("label")
-    here, behind, size = _code("word", pos), _code("word", pos + 1), F.char_length("word")
+    pos, length, size, here, behind = map(F.col, ("pos", "length", "size", "here", "behind"))
     replaced = (here < F.col("first")) & (_after("word", pos + 1, length - 1) == _after("label", F.lit(1), length - 1))
     deleted = (here != behind) & (behind == F.col("first")) & (_after("word", pos + 1, length) == F.col("label"))
-    open_states = trie.states.where(pos < size)
+    states = trie.states.withColumn("size", F.char_length("word"))
+    open_states = states.where(pos < size).withColumns({"here": _code("word", pos), "behind": _code("word", pos + 1)})
     stepped = (
         open_states.join(trie.edges, F.col("node") == F.col("parent"))
         .where(replaced | deleted)
         .select("*", F.explode(F.array_compact(F.array(F.when(replaced, pos + length), F.when(deleted, pos + 1 + length)))).alias("to"))
     )
     moved = stepped.where((F.col("to") <= size) & _goes_on(F.col("to")))
-    frontier = materialize(moved.select("word", "n", F.col("to").alias("pos"), F.col("child").alias("node")), "frontier", folder)
-    shortened = trie.states.where(pos == size - 1).withColumn("pos", size)
+    frontier = materialize(moved.select("word", "n", "size", F.col("to").alias("pos"), F.col("child").alias("node")), "frontier", folder)
+    shortened = states.where(pos == size - 1).withColumn("pos", size)
     pairs = [_arrived(shortened, trie.ends), _arrived(frontier, trie.ends)]
-    edges = trie.edges.withColumnRenamed("parent", "node").select("node", "child", "label", "first", "ends", "nexts")
+    edges = trie.edges.withColumnRenamed("parent", "node")
     while True:
-        walking = frontier.where(pos < size).withColumn("first", here)
+        walking = frontier.where(pos < size).withColumn("first", _code("word", pos))
         moved = (
             walking.join(edges, ["node", "first"])
             .where((_after("word", pos, length) == F.col("label")) & _goes_on(pos + length))
-            .select("word", "n", (pos + length).alias("pos"), F.col("child").alias("node"))
+            .select("word", "n", "size", (pos + length).alias("pos"), F.col("child").alias("node"))
         )
         frontier = materialize(moved, "frontier", folder)
         if frontier.isEmpty():
