@@ -56,3 +56,28 @@ def test_new_digests_are_found_without_moving_the_index(spark, index):
 
 def test_no_rows(spark, index):
     assert index.add(frame(spark, [(1, "a")]).where("doc_id = 2")).collect() == []
+
+
+def test_group_size_counts_all_batches(spark, index):
+    for k in range(1, 5):
+        rows = index.add(frame(spark, [(10 * k, "a b"), (10 * k + 1, "ab"), (10 * k + 2, f"own {k}")])).collect()
+        assert sorted(r["group_size"] for r in rows) == [1, 2 * k, 2 * k]
+        assert {r["keep_id"] for r in rows if r["group_size"] > 1} == {10}
+    assert {r["n_rows"] for r in index.entries().collect()} == {1, 8}
+
+
+def test_a_batch_added_again_is_judged_as_the_first_time(spark, index):
+    index.add(frame(spark, [(1, "old")]), batch="a").collect()
+    rows = [(2, "old"), (3, "new"), (4, "n ew")]
+    first = sorted(map(tuple, index.add(frame(spark, rows), batch="b").collect()))
+    held = sorted(map(tuple, index.entries().collect()))
+    assert sorted(map(tuple, index.add(frame(spark, rows), batch="b").collect())) == first
+    assert sorted(map(tuple, index.entries().collect())) == held
+
+
+def test_one_text_in_half_of_the_rows(spark, index):
+    rows = [(k, "the same" if k % 2 else f"text {k}") for k in range(4000)]
+    found = index.add(frame(spark, rows))
+    assert "Broadcast" in found._jdf.queryExecution().executedPlan().toString()
+    groups = expected(rows)
+    assert all((r["keep_id"], r["group_size"]) == groups[r["text_sha256"]] for r in found.collect())

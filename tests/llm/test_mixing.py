@@ -88,3 +88,13 @@ def test_odd_rows_and_repeats(spark):
 def test_no_rows(spark):
     empty = frame(spark, [(1, "a")]).where("doc_id = 2")
     assert mixing.mix(empty).collect() == []
+
+
+def test_rows_that_differ_in_other_columns_only_get_the_copies_of_the_mix(spark):
+    same = [(7, "one two three", lang, "s", k) for k, lang in enumerate(["en", "en", "de", "fr", "es", "it", None, "nl"])]
+    other = [(8, "four five", "en", "t", 1)] * 3 + [(9, "six seven eight nine", "en", "t", 1)]
+    df = spark.createDataFrame(same + other, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    taken = mixing.mix(df)
+    rows = mixing.repeat_rows(df, taken, ("doc_id", "text", "lang", "source", "n_chars")).collect()
+    copies = {d: sum(r["copies"] for r in taken.where(f"doc_id = {d}").collect()) for d in (7, 8, 9)}
+    assert {d: sum(r["doc_id"] == d for r in rows) for d in (7, 8, 9)} == copies

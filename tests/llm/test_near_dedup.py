@@ -98,3 +98,12 @@ def test_pairs_within_the_radius_share_a_key():
         b[at] ^= np.uint16(1)
         batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([a.tobytes(), b.tobytes()])], names=["doc_id", "signature"])
         assert not near_dedup._keys_of(batch)[2].all()
+
+
+def test_words_that_cancel_out_modulo_powers_of_two_are_not_linked(spark):
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = near_dedup.near_duplicates(frame(spark, [(1, word), (2, other), (3, other)])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {1: 1, 2: 2, 3: 2}

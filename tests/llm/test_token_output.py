@@ -93,3 +93,25 @@ def test_files_hold_the_ids_of_the_plain_call(spark, tmp_path):
         expected.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert found == expected
+
+
+def alternating(turns):
+    word = "a"
+    for _ in range(turns):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_patterns_that_cancel_out_modulo_powers_of_two(spark, tmp_path):
+    one = alternating(10)
+    two = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, two), (3, two), (4, one + " " + two)]
+    path = str(tmp_path / "tokens")
+    token_output.write_tokens(frame(spark, rows), path, PATH)
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(PATH)
+    found = {r["doc_id"]: r["ids_crc32"] for r in token_output.read_tokens(spark, path).collect()}
+    for doc, text in rows:
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        assert found[doc] == zlib.crc32(ids.tobytes())

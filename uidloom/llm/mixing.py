@@ -171,19 +171,31 @@ def row_key(id_column: str = "doc_id", text_column: str = "text", source_column:
 
 
 def repeat_rows(docs: DataFrame, taken: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mix`` takes it; fully equal rows pool their copies."""
+    """The rows of ``docs``, each as often as ``mix`` takes it.
+
+    Rows of one key, which ``mix`` can't tell apart, pool their copies; these are dealt to the distinct rows in a fixed
+    order, in proportion to how often each occurs and with no copy more or less in all.
+    """
     per_key = taken.groupBy("doc_id", "key").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
     per_key = per_key.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "_copies", "_rows")
-    rows = docs.select(*columns, row_key().alias("_key"))
+    rows = docs.select(*columns, row_key().alias("_row_key"))
     found = rows.join(
-        per_key, rows["_key"].eqNullSafe(per_key["_key"]) & rows["doc_id"].cast("bigint").eqNullSafe(per_key["_id"])
+        per_key, rows["_row_key"].eqNullSafe(per_key["_key"]) & rows["doc_id"].cast("bigint").eqNullSafe(per_key["_id"])
     )
     single = found.where("_rows = 1").select(*columns, "_copies")
-    pooled = (
-        found.where("_rows > 1")
-        .groupBy(*columns)
-        .agg(F.first("_copies").alias("_pool"), F.first("_rows").alias("_all"), F.count("*").alias("_here"))
-        .select(*columns, F.ceil(F.col("_pool") * F.col("_here") / F.col("_all")).cast("bigint").alias("_copies"))
+    pooled = found.where("_rows > 1").groupBy(*columns, "_key", "_id").agg(
+        F.first("_copies").alias("_pool"), F.first("_rows").alias("_all"), F.count("*").alias("_here")
+    )
+    # A row takes what falls between its first and its last place among all rows of the key.
+    order = Window.partitionBy("_id", "_key").orderBy(*[c for c in columns if c != "text"])
+    before = F.sum("_here").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_here")
+    dealt = pooled.withColumn("_first", before).select(
+        *columns, (_share("_first + _here") - _share("_first")).cast("bigint").alias("_copies")
     )
-    repeated = single.unionByName(pooled).where("_copies > 0")
+    repeated = single.unionByName(dealt).where("_copies > 0")
     return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies"))).select(*columns)
+
+
+def _share(places: str) -> Column:
+    """How many of a pool's copies fall on its first places."""
+    return F.expr(f"(_pool * ({places})) div _all")

@@ -1,7 +1,7 @@
 """The stages of the corpus pipeline. Each takes all documents that the stage before it kept.
 
-All but the last return the columns of documents. Rows without an id are kept where ids decide, as nothing tells
-them apart; of rows that repeat an id, one stays when near duplicates are removed.
+All but the last return the columns of documents. Ids may be null or repeated: where near duplicates are removed
+documents are told apart by id and text.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from uidloom.llm import decontaminate, mixing, near_dedup, quality, token_output
+from uidloom.sources.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 QUALITY = 0.7
@@ -24,21 +25,27 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
+    """One document of each group of near duplicates: the one with the smallest id, null last, then by text.
+
+    Documents are told apart by id and text, not by the id alone: each distinct pair gets a number of its own, in the
+    order of ids, and the groups are found among the numbers. Of fully equal pairs one row stays. Documents without
+    words are near to nothing, so all their rows stay.
+    """
     docs = docs.select(*COLUMNS)
-    found = near_dedup.near_duplicates(docs, NEAR_PERCENT)
-    by_id = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.max("kept").alias("kept"), F.count("*").alias("rows"), F.max("n_shingles").alias("words")
-    )
-    stay = near_dedup.materialize(by_id.where("kept"), "kept_ids")
-    several = (F.col("rows") > 1) & (F.col("words") > 0)
-    result = docs.join(stay.where(~several).select("doc_id"), "doc_id", "left_semi")
-    result = result.unionByName(docs.where("doc_id IS NULL"))
-    repeated = stay.where(several).select("doc_id")
-    if repeated.isEmpty():
-        return result
-    one = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS)).alias("row"))
-    return result.unionByName(one.select("row.*"))
+    numbered = materialize(_numbered(docs), "numbered")
+    has_words = F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
+    one = numbered.where(has_words).groupBy("doc_id", "text_key").agg(F.min_by("text", "n").alias("text"), F.min("n").alias("n"))
+    found = near_dedup.near_duplicates(one.select(F.col("n").alias("doc_id"), "text"), NEAR_PERCENT)
+    stay = materialize(found.where("kept").select(F.col("doc_id").alias("n")), "kept")
+    kept = numbered.join(stay, "n", "left_semi")
+    return kept.unionByName(numbered.where(~has_words)).select(*COLUMNS)
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """Rows with a number ``n`` each, ascending by id (null last) and text, and a digest of the text."""
+    keyed = docs.withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
+    order = [F.col("doc_id").isNull(), "doc_id", "text_key"]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("n", F.monotonically_increasing_id())
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

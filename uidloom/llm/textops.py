@@ -7,6 +7,7 @@ characters 9 to 13; a word never crosses the end of its text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +96,32 @@ def stretch_hashes(
     return mix((sums[end] - sums[start]) * powers(inverse, len(sums))[start])
 
 
+LONG_BYTES = 32
+"""Longer stretches are not told apart by ``stretch_hashes`` alone: modulo a power of two, some patterns of two
+letters cancel out whatever the base is, the more the longer they are."""
+
+
+def sure_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``stretch_hashes``, with a cryptographic hash of the bytes for long stretches."""
+    hashes = stretch_hashes(prefix_hashes(data), start, end)
+    long = np.flatnonzero(end - start > LONG_BYTES)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data)).cast("B")
+        for k, a, b in zip(long.tolist(), start[long].tolist(), end[long].tolist()):
+            hashes[k] = int.from_bytes(blake2b(raw[a:b], digest_size=8).digest(), "little")
+    return hashes
+
+
+def same_bytes(a: np.ndarray, a_start: np.ndarray, b: np.ndarray, b_start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether stretches of ``a`` and ``b`` of equal lengths above 0 hold the same bytes."""
+    if not len(length):
+        return np.zeros(0, bool)
+    stop = np.cumsum(length)
+    place = np.arange(stop[-1]) - np.repeat(stop - length, length)
+    equal = a[np.repeat(a_start, length) + place] == b[np.repeat(b_start, length) + place]
+    return np.logical_and.reduceat(equal, stop - length)
+
+
 def words(texts: Texts, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte and hash of each word, and the first word of each text (one entry more than texts)."""
     data = LOWER[texts.data] if lower else texts.data
@@ -107,7 +134,7 @@ def words(texts: Texts, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.
     start = np.flatnonzero(~space & before[:n])
     end = np.flatnonzero(~space & np.concatenate((space[1:] | before[1:n], [True]))[:n]) + 1 if n else start
     first = np.searchsorted(start, texts.ends)
-    return start, end, stretch_hashes(prefix_hashes(data), start, end), first
+    return start, end, sure_hashes(data, start, end), first
 
 
 _STEP = np.uint64(0x2545F4914F6CDD1D)

@@ -103,6 +103,9 @@ class Encoder:
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
+        self.bytes = np.zeros(0, np.uint8)  # of all pieces, so that a piece is known by more than its hash
+        self.byte_first = np.zeros(0, np.int64)
+        self.byte_count = np.zeros(0, np.int64)
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
@@ -114,6 +117,19 @@ class Encoder:
         self.first = np.insert(self.first, at, first)
         self.count = np.insert(self.count, at, count)
         self.pool = np.concatenate((self.pool, flat))
+        raw = [p.encode() for p in pieces]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        self.byte_first = np.insert(self.byte_first, at, len(self.bytes) + np.cumsum(size) - size)
+        self.byte_count = np.insert(self.byte_count, at, size)
+        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(raw), np.uint8)))
+
+    def _told_apart(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The pieces that are not the remembered piece of their hash at place ``at``."""
+        length = end - start
+        differs = self.byte_count[at] != length
+        alike = np.flatnonzero(~differs)
+        differs[alike] = ~textops.same_bytes(data, start[alike], self.bytes, self.byte_first[at[alike]], length[alike])
+        return np.flatnonzero(differs)
 
     def _uncut(self, texts: textops.Texts) -> np.ndarray:
         """Start and end of each stretch that stays one piece: added tokens, the longest where several start."""
@@ -160,12 +176,20 @@ class Encoder:
             bounds = zip(start[sample[new]].tolist(), end[sample[new]].tolist())
             self._learn(distinct[new], [raw[a:b].decode() for a, b in bounds])
             at = np.searchsorted(self.keys, distinct)
-        first, count = self.first[at][which], self.count[at][which]
+        first, count, pool = self.first[at][which], self.count[at][which], self.pool
+        other = self._told_apart(texts.data, start, end, at[which])
+        if len(other):
+            raw = texts.data.tobytes()
+            bounds = zip(start[other].tolist(), end[other].tolist())
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in bounds], add_special_tokens=False)]
+            count[other] = [len(ids) for ids in found]
+            first[other] = len(pool) + np.cumsum(count[other]) - count[other]
+            pool = np.concatenate((pool, np.fromiter((i for ids in found for i in ids), np.uint32)))
         stop = np.cumsum(count)
         take = np.repeat(first - stop + count, count)
         take += np.arange(len(take))
         at_text = np.append(stop, 0)[np.searchsorted(start, texts.ends) - 1]
-        return self.pool[take], np.diff(at_text, prepend=0)[1:]
+        return pool[take], np.diff(at_text, prepend=0)[1:]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -229,7 +253,7 @@ def write_tokens(
             yield pa.RecordBatch.from_pylist([_page(shard, page, held)], _PAGE_TYPE)
 
     ordered = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = ordered.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(encode, PAGES).write.option("compression", "zstd").parquet(path)
 
 
