@@ -103,7 +103,7 @@ MAIN = '<main><h1>Title</h1><p>a long story of the page</p><article class="card"
         ("<main><p>story</p></main><article>card</article><p>out", "story\ncard"),
         ("<div>a long story</div><article>card 1</article><article>card 2</article>", "a long story\ncard 1\ncard 2"),
         ("<p>short</p><article>a long story</article>", "a long story"),
-        ('<div class="left-sidebar"><article>story</article></div><p>text outside of it', "story\ntext outside of it"),
+        ('<div class="left-sidebar"><article>story</article></div><p>text outside of it', "story"),
         ("<main><p>intro</p><article>story</article><article>other</article></main>", "intro\nstory\nother"),
     ],
 )
@@ -116,7 +116,7 @@ def test_templates_go_before_the_article_is_chosen(spark):
     rows = [(k, "http://a.example/", row.format(k)) for k in range(6)] + [(9, "http://b.example/", row.format(9)), (10, None, MAIN)]
     found = {r["page_id"]: (r["text"], r["n_chars"]) for r in extract(pages(spark, rows)).collect()}
     assert found[3] == ("story 3", 7)
-    assert found[9] == ("Site name, known in town since 1999\nstory 9", 43)
+    assert found[9] == ("story 9", 7)  # its only article
     assert found[10] == ("Title\na long story of the page\nRead next", 40)
 
 
@@ -145,3 +145,28 @@ def test_shapes_and_many_pages(spark):
     for k in range(300):
         rest = "\nIn the north" if k > 240 else ""  # a plain paragraph needs the share, 60 pages
         assert found[k] == f"the whole story of this page has number {k}" + rest
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<article><p>Short story</p><div class="comment-list"><p>%s</p></div></article>' % ("long " * 200), "Short story"),
+    ('<body><div class="cookie-banner"><p>%s</p></div><article><p>Short story</p></article></body>' % ("long " * 200), "Short story"),
+    ('<body><div><p>%s</p></div><article><p>Short story</p></article></body>' % ("long " * 200), "Short story"),
+    ('<div class="user-comments"><p>%s</p></div><p>Story</p>' % ("long " * 99), "Story"),
+    ('<article><h1>Title</h1><div class="content-sidebar-wrap"><p>Story</p></div></article>', "Title\nStory"),
+    ('<article><h1>Title</h1><div class="reader-comments"><p>Nice</p></div></article>', "Title"),
+    ('<article><p>Story</p><div class="newsletter-box"><p>%s</p></div></article>' % ("join " * 99), "Story"),
+    ('<div class="layout-sidebar"><article><p>Story</p></article><p>beside</p></div>', "Story"),
+])
+def test_names_decide_by_place_and_not_by_length(page, text):
+    assert "\n".join(t for t, _ in Page(page).kept()) == text
+
+
+def test_a_long_template_goes_and_the_content_of_copies_stays(spark):
+    notice = "<div class='box'><p>%s</p></div>" % ("fixed words of every page " * 20)
+    rows = [(k, f"http://a.org/{k}", f"<article><p>Story {k}</p>{notice}</article>") for k in range(60)]
+    copy = "<article><h1>Same</h1><section>One</section><section class='x'>Two</section></article>"
+    rows += [(100 + k, f"http://b.org/{k}", copy) for k in range(60)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r["page_id"]: r["text"] for r in extract(df).collect()}
+    assert all(found[k] == f"Story {k}" for k in range(60))
+    assert all(found[100 + k] == "Same\nOne\nTwo" for k in range(60))

@@ -9,8 +9,8 @@ templates outside marked content only, and only by their exact text: sites repea
 What the counts leave goes through rules that need no other page. Elements whose tag, role or class says that they are
 menus, headers, footers, sidebars, notices, adverts, forms or comments go on pages of any host. A compound
 class such as ``right-sidebar`` drops an element only if it does not stand around the content. ``main`` is kept with
-the articles, or else the whole page; if one article has more than half of that text, only the articles and the main
-titles beside them are kept.
+the articles, or else the page's only article, or else the whole page; if one of several articles, or one in main, has
+more than half of that text, only the articles and the main titles beside them are kept.
 
 Defined results: a null or empty page gives an empty text; a null or odd url has no host, so nothing of it
 counts as a template; repeated rows count as pages and each gets its own result; very long pages are read whole;
@@ -34,6 +34,7 @@ from uidloom.sources.session import materialize
 
 _BLOCKS = pa.list_(pa.struct([
     ("text", pa.string()), ("around", pa.list_(pa.int64())), ("main", pa.bool_()), ("article", pa.int32()), ("title", pa.bool_()),
+    ("heading", pa.bool_()),
 ]))
 
 LEAST_PAGES = 5
@@ -64,6 +65,8 @@ _DROPPED_NAMES = frozenset(
     "navigation breadcrumb breadcrumbs footer cookie cookies consent notice newsletter subscribe popup modal overlay "
     "share sharing social comment comments disqus related recommended widget toolbar pagination pager".split()
 )
+#: Names of what stands beside the content only, never around it.
+_NEVER_AROUND = frozenset("comment comments disqus cookie cookies consent".split())
 #: A name after one of these says what stands beside an element or what it is about, not what it is.
 _BESIDE = frozenset("has no not with without hide category tag".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -72,6 +75,7 @@ _PLAIN = frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption figcaption blockquote pre a abbr b bdi bdo cite code data del dfn em "
     "font i ins kbd label mark q s samp small span strong sub sup time tt u var".split()
 )
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 _FENCES = frozenset("ul ol dl table select article main body".split())
 
 
@@ -93,44 +97,48 @@ class _Element:
 
 
 class Block(NamedTuple):
-    """A text, the subtrees whose deletion would delete it, and its place: in main, in which article, in a main title."""
+    """A text, the subtrees whose deletion would delete it, and its place: in main, in which article, in a main title, in
+    any heading."""
 
     text: str
     around: list[int]
     main: bool
     article: int
     title: bool
+    heading: bool = False
+
+
+def _has_body(blocks: list[Block]) -> bool:
+    """Whether there is text besides headings."""
+    return any(not b.heading for b in blocks)
 
 
 def chosen(blocks: list[Block], often: Set[int] = frozenset(), pooled: Set[int] = frozenset()) -> list[Block]:
     """The blocks to keep, in page order, once the recurring subtrees are gone.
 
-    A subtree with more than half of the text of the marked content, or of a page without, is no template of that page,
-    but a page that has copies. Outside marked content this holds for the ``pooled`` subtrees only.
+    If nothing but headings would be left of the marked content, the page has copies, and its content is no template.
+    Outside marked content this holds for the ``pooled`` subtrees only. How long a template is does not matter.
     """
     if often or pooled:
-        deleted = set()
-        for marked in (False, True):
-            own = [b for b in blocks if bool(b.main or b.article) == marked]
-            whole = sum(len(b.text) for b in (own if marked else blocks))
-            sizes: Counter[int] = Counter()
-            for b in own:
-                for subtree in {*b.around}:
-                    sizes[subtree] += len(b.text)
-            deleted |= {
-                (marked, h) for h, n in sizes.items()
-                if h in often and not marked or (h in often or h in pooled) and 2 * n <= whole
-            }
-        blocks = [b for b in blocks if deleted.isdisjoint((bool(b.main or b.article), h) for h in b.around)]
-    left = blocks
-    if any(b.main for b in left):
-        left = [b for b in left if b.main or b.article]
-    articles: Counter[int] = Counter()
-    for b in left:
-        articles[b.article] += len(b.text)
-    if 2 * max((n for article, n in articles.items() if article), default=0) > sum(articles.values()):
-        return [b for b in left if b.article or b.title]
-    return left
+        marked = [b for b in blocks if b.main or b.article]
+        free = [b for b in blocks if not (b.main or b.article)]
+        stay = [b for b in marked if often.isdisjoint(b.around) and pooled.isdisjoint(b.around)]
+        free = [b for b in free if often.isdisjoint(b.around)]
+        free_stay = [b for b in free if pooled.isdisjoint(b.around)]
+        keep = {id(b) for b in (stay if _has_body(stay) else marked)}
+        keep |= {id(b) for b in (free_stay if _has_body(free_stay) or marked else free)}
+        blocks = [b for b in blocks if id(b) in keep]
+    if any(b.main for b in blocks):
+        blocks = [b for b in blocks if b.main or b.article]
+    of_article: Counter[int] = Counter()
+    for b in blocks:
+        of_article[b.article] += len(b.text)
+    articles = {article: n for article, n in of_article.items() if article}
+    # A page's only article is its content. Several, or one inside main, may be teasers of other pages.
+    only = len(articles) == 1 and not any(b.main for b in blocks)
+    if only or 2 * max(articles.values(), default=0) > sum(of_article.values()):
+        return [b for b in blocks if b.article or b.title]
+    return blocks
 
 
 def _judge(tag: str, attributes: str, content: str) -> tuple[bool, tuple[str, ...]]:
@@ -177,7 +185,7 @@ class Page:
     """
 
     def __init__(self, page: str):
-        self.blocks: list[tuple[str, _Element, list[_Element], bool]] = []
+        self.blocks: list[tuple[str, _Element, list[_Element], bool, bool]] = []
         self.subtrees: dict[int, int] = {}
         self._articles = 0
         self._stack: list[_Element] = [_Element("", False, "")]
@@ -218,8 +226,9 @@ class Page:
             self._text.clear()
             if text:
                 top = self._stack[-1]
-                title = top.main and not top.article and any(e.tag == "h1" for e in self._stack)
-                self.blocks.append((text, top, self._stack[max(top.depth, 1):], title))
+                headings = {e.tag for e in self._stack} & _HEADINGS
+                title = top.main and not top.article and "h1" in headings
+                self.blocks.append((text, top, self._stack[max(top.depth, 1):], title, bool(headings)))
 
     def _open(self, tag: str, attributes: str) -> None:
         if tag in _BLOCK:
@@ -283,29 +292,34 @@ class Page:
         if element.counts:
             self.subtrees[element.hash] = 0 if plain and not element.dropped else shape
 
-    def _without_named(self) -> list[tuple[str, _Element, list[_Element], bool]]:
+    def _without_named(self) -> list[tuple]:
         """Blocks without those that a compound class or id drops.
 
-        A name that covers more than half of the text of the page stands around its content and drops nothing. Names
-        around all the marked content drop nothing either.
+        Names on elements around marked content drop what stands beside it in them, and whole articles only if others
+        are left. Names inside marked content, or of a page without, drop their elements, whatever their length; but a
+        name without which only headings would be left belongs to a wrapper of the content and drops nothing, unless it
+        speaks of what readers write or are asked to accept. On pages that mark no content nothing but its share of the
+        text tells a wrapper: there a name around more than half of it drops nothing either.
         """
         if not any(top.outer or top.weak for _, top, *_ in self.blocks):
             return self.blocks
-        covered: Counter[str] = Counter()
-        for text, top, *_ in self.blocks:
-            for name in {*top.outer, *top.weak}:
-                covered[name] += len(text)
-        whole = sum(len(text) for text, *_ in self.blocks)
-        drops = {name for name, n in covered.items() if 2 * n <= whole}
-        left = [b for b in self.blocks if drops.isdisjoint(b[1].weak)]
-        free = [b for b in left if drops.isdisjoint(b[1].outer)]
-        return free if any(top.content for _, top, *_ in free) else [b for b in left if b[1].content or drops.isdisjoint(b[1].outer)]
+        left, marked = self.blocks, any(top.content for _, top, *_ in self.blocks)
+        whole = sum(len(text) for text, *_ in left)
+        for name in dict.fromkeys(n for _, top, *_ in self.blocks for n in top.weak):
+            without = [b for b in left if name not in b[1].weak]
+            beside = any(not heading for *_, heading in without)
+            if not marked:
+                beside = 2 * sum(len(text) for text, *_ in without) >= whole
+            if beside or not _NEVER_AROUND.isdisjoint(re.split(r"[_-]+", name)):
+                left = without
+        free = [b for b in left if not b[1].outer]
+        return free if any(top.content for _, top, *_ in free) else [b for b in left if b[1].content or not b[1].outer]
 
     def found(self) -> list[Block]:
         """Blocks in page order without those that tags, roles, classes and ids drop."""
         return [
-            Block(text, [e.hash for e in around if e.counts], top.main, top.article, title)
-            for text, top, around, title in self._without_named()
+            Block(text, [e.hash for e in around if e.counts], top.main, top.article, title, heading)
+            for text, top, around, title, heading in self._without_named()
         ]
 
     def kept(self) -> list[tuple[str, list[int]]]:
@@ -400,7 +414,7 @@ def extract(
             for page in batch.column(3).to_pylist():
                 found = Page(page or "").found()
                 if not any(b.around for b in found):  # no deletion can change the choice
-                    found = [Block("\n".join(b.text for b in chosen(found)), [], False, 0, False)]
+                    found = [Block("\n".join(b.text for b in chosen(found)), [], False, 0, False, False)]
                 blocks.append([b._asdict() for b in found])
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in range(3)), pa.array(blocks, _BLOCKS)], names=["page_id", "url", "key", "blocks"]
@@ -417,7 +431,7 @@ def extract(
                 names=["page_id", "url", "text", "n_chars"],
             )
 
-    block = "struct<text string, around array<bigint>, main boolean, article int, title boolean>"
+    block = "struct<text string, around array<bigint>, main boolean, article int, title boolean, heading boolean>"
     parsed = pages.select("page_id", "url", "key", "html").mapInArrow(
         parse, f"page_id bigint, url string, key bigint, blocks array<{block}>"
     )
