@@ -71,8 +71,8 @@ def test_labels(spark):
 @pytest.mark.parametrize(
     ("flag", "words"),
     [
-        (True, ["1", "true", "TRUE", "TrUe", "yes", "Yes", "t", "T"]),
-        (False, ["", "apple", "0", "y", "Y", "f", "F", "false", "False", "FALSE"]),
+        (True, ["yEs", "tRUE", "yES", "truE", *fixed.TRUE_WORDS]),
+        (False, ["tt", "01", " yes", "true ", "ye", "tru", "11", "no", "-1", "on", "1.0", "yes!"]),
         (None, [None]),
     ],
 )

@@ -115,3 +115,16 @@ def test_counts_read_no_wide_columns(spark, inputs, tmp_path):
     text = coverage.uuid_counts(resolve.user_map(stored, masters, personas, watched, hot), "n_rows")._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in text.splitlines() if "ReadSchema" in line]
     assert len(scans) == 1 and "anonymous_id" not in scans[0].split("ReadSchema")[1]
+
+
+def test_the_three_phases_move_the_records_once_to_the_lookup_and_once_to_their_groups(spark, inputs):
+    frames = inputs([("A", "1", "a", "r")], [("1", "a")], ["1"], [("r", "1")])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = match.three_phase(*frames, {name: {} for name in ("user_id", "email", "rid", "watched")})
+        text = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    exchanges = [part for part in text.split("\n\n") if re.match(r"\(\d+\) Exchange\n", part)]
+    assert len(exchanges) <= 8, text

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +200,75 @@ def test_hot_keys_are_bounded_by_the_partitions(spark):
     rows = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     assert list(skew.hot_keys(rows, ["k"])["k"]) == ["hot"]
     assert re.match(r"\d+$", str(skew.MAX_HOT_KEYS))
+
+
+def many_tables(spark, database, n):
+    """Tables of three schemas, one row each."""
+    kinds = ["id string, anonymous_id string, user_id string, email string", "id string, anonymous_id string, user_id bigint, email string, rid string"]
+    kinds.append("id string, anonymous_id string, user_id string, email string, `own column` double")
+    names = []
+    for k in range(n):
+        name = f"{database}.T{k}_APP__IDENTIFIES"
+        spark.sql(f"CREATE TABLE {name} ({kinds[k % 3]}) USING parquet")
+        spark.sql(f"INSERT INTO {name} (id, anonymous_id, user_id, email) VALUES ('i{k}', 'a', {k if k % 3 == 1 else repr(str(k))}, 'x@y')")
+        names.append((f"T{k}", name))
+    return names
+
+
+def test_tables_of_one_schema_are_one_scan(spark, database):
+    names = many_tables(spark, database, 12)
+    rows = tables.read_identifies(spark, names)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3
+    assert sorted((r["metadata_table"], r["id"], r["user_id"]) for r in rows.collect()) == sorted(
+        (key, f"i{k}", str(k)) for k, (key, _) in enumerate(names)
+    )
+
+
+def test_a_table_with_a_default_a_view_and_partitions_are_read_on_their_own(spark, database):
+    names = many_tables(spark, database, 4)
+    tables.add_column_if_absent(spark, names[0][1], "rid", default="'old rows'")
+    spark.sql(f"CREATE VIEW {database}.V AS SELECT * FROM {names[1][1]}")
+    spark.sql(f"CREATE TABLE {database}.P PARTITIONED BY (email) AS SELECT * FROM {names[2][1]}")
+    rows = tables.read_identifies(spark, [*names, ("V", f"{database}.V"), ("P", f"{database}.P")]).collect()
+    found = {r["metadata_table"]: (r["id"], r["email"], r["rid"]) for r in rows}
+    assert found["T0"] == ("i0", "x@y", "old rows") and found["V"] == ("i1", "x@y", None) and found["P"] == ("i2", "x@y", None)
+    assert len(rows) == 6
+
+
+def test_a_run_is_found_as_a_whole_or_not_at_all(spark, database, tmp_path, inputs, monkeypatch):
+    names, root = many_tables(spark, database, 6), str(tmp_path / "runs")
+    spark.sql(f"CREATE TABLE {database}.NONE_APP__IDENTIFIES (id string, anonymous_id string, user_id string, email string) USING parquet")
+    others = inputs(masters=[("1", "x@y"), ("2", "b")], personas=["2"], watched=[])[1:]
+    found = resolution.discover(spark, database, root, AT)
+    run = resolution.run_tables(spark, found, *others, root, AT)
+    path, rows = snapshots.load_latest(spark, root, resolution.RESOLVED)
+    assert path.rstrip("/").endswith(run.rows_path.rsplit("/", 1)[-1])
+    assert rows.count() == 6 and dict(rows.dtypes)["user_id"] == "string" and "own column" in rows.columns
+    assert {r["username_uuid"] for r in rows.collect()} == {"1"}
+    assert dict(resolution.resolved_table(spark, run, "T1_APP__IDENTIFIES").dtypes)["user_id"] == "bigint"
+    assert resolution.resolved_table(spark, run, "NONE_APP__IDENTIFIES").isEmpty()
+
+    written = resolution._write_group
+    done = []
+
+    def breaks(rows, path, n):
+        if len(done) == 2:
+            raise OSError("lost")
+        done.append(written(rows, path, n))
+        return done[-1]
+
+    monkeypatch.setattr(resolution, "_write_group", breaks)
+    monkeypatch.setattr(resolution, "WRITERS", 1)
+    with pytest.raises(OSError):
+        resolution.run_tables(spark, found, *others, root, AT + timedelta(days=1))
+    assert len(done) == 2
+    assert snapshots.load_latest(spark, root, resolution.RESOLVED)[0] == path
+
+
+def test_the_catalog_is_listed_like_table_by_table(spark, database):
+    many_tables(spark, database, 3)
+    spark.sql(f"CREATE TABLE {database}.odd (a decimal(10,2) NOT NULL, b varchar(5), c array<struct<x: int>>, `d e` timestamp_ntz) USING parquet")
+    spark.sql(f"CREATE VIEW {database}.seen AS SELECT a, 1 AS one FROM {database}.odd")
+    listed = sorted(map(tuple, catalog.column_catalog(spark, database).collect()))
+    assert listed == sorted(catalog._columns_one_by_one(spark, database)) and len(listed) > 15

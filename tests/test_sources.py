@@ -160,3 +160,27 @@ def test_a_cluster_must_name_its_shared_folder():
     assert session.shared_folder(named) == "hdfs://x/shared"
     local = fake_session("local[2]")
     assert session.shared_folder(local) == session.shared_folder(local)
+
+
+def test_a_large_csv_file_is_read_in_many_tasks(spark, tmp_path):
+    texts = ["a\nb", "a\r\nb", "\\n", "\\", "\\s\\z", "\0", "\\\0", '"', '",\n"', "", None, " x ", " ", "\x85"]
+    rows = [(k, texts[k % len(texts)]) for k in range(4000)]
+    df = spark.createDataFrame(rows, "k long, v string").coalesce(1)
+    path = snapshots.save_snapshot(df, str(tmp_path), "csv")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        loaded = snapshots.load_snapshot(spark, path, df.schema)
+        assert loaded.rdd.getNumPartitions() > 3
+        assert sorted(map(tuple, loaded.collect()), key=lambda r: r[0]) == rows
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_changed_cell_with_equal_counts_is_found(spark, database):
+    rows = [("1", "u", 1.5), ("2", "v", None), ("3", None, 2.5)]
+    df = spark.createDataFrame(rows, "id string, user_id string, x double")
+    expected = df.agg(*[c.alias(n) for n, c in tables.content_sums(df).items()]).first().asDict()
+    assert tables.matches_content(df.repartition(3), expected)
+    for changed in ([("1", "u", 1.5), ("2", "v", None), ("3", "", 2.5)], [("1", "v", 1.5), ("2", "u", None), ("3", None, 2.5)]):
+        assert not tables.matches_content(spark.createDataFrame(changed, df.schema), expected)

@@ -59,3 +59,8 @@ def is_empty(df: DataFrame | None) -> bool:
 
 def frame_length(df: DataFrame | None) -> int:
     return 0 if df is None else df.count()
+
+
+def hashable(df: DataFrame) -> list[str]:
+    """The quoted names of the columns that a hash can take."""
+    return [f"`{name}`" for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind]

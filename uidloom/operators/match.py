@@ -8,9 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from uidloom.functions.values import percent
-from uidloom.operators.resolve import master_ids, master_names, measure_hot_keys, watched_masters
+from uidloom.operators.resolve import master_names, measure_hot_keys
 from uidloom.operators.skew import HotKeys, spread_join
 
+KINDS = {1: "u", 2: "r", 3: "e"}
+"""What marks the keys of each phase, so that all of them meet in one join."""
 RECORD = ["metadata_table", "id", "user_id", "rid", "email"]
 
 
@@ -50,6 +52,33 @@ def match_rates(rows: DataFrame, known: Mapping[str, tuple[DataFrame, str]]) ->
     return filled.withColumn("match_percent", percent(F.col("n_matched"), F.col("n_values")))
 
 
+def phase_lookup(masters: DataFrame, personas: DataFrame, watched: DataFrame, hot_watched: Mapping[str, int]) -> DataFrame:
+    """(key, phase, uuid): what user ids, rids and emails lead to, keys marked by their kind; unique by key.
+
+    Masters and personas come down to one row per id at once, and the watch log meets that row where it stands.
+    """
+    ids = (
+        masters.where("uuid IS NOT NULL").select(F.col("uuid").alias("user_id"), F.lit(True).alias("is_master"), F.lit(None).cast("boolean").alias("is_persona"))
+        .unionByName(personas.where("id IS NOT NULL").select(F.col("id").alias("user_id"), F.lit(None).cast("boolean").alias("is_master"), F.lit(True).alias("is_persona")))
+        .groupBy("user_id").agg(F.max("is_master").alias("is_master"), F.max("is_persona").alias("is_persona"))
+        .where("is_master")
+    )
+    pairs = watched.where("rid IS NOT NULL AND user_id IS NOT NULL").select("rid", "user_id")
+    people = ids.where("is_persona").select("user_id", F.col("user_id").alias("uuid"))
+    # Without hot users the ids stay where they were grouped, and only the log moves to them.
+    met = spread_join(pairs, people, "user_id", hot_watched, "inner") if hot_watched else pairs.join(people, "user_id")
+    by_rid = met.groupBy("rid").agg(F.min("uuid").alias("uuid"))
+
+    def keyed(frame: DataFrame, phase: int, key: str, uuid: str) -> DataFrame:
+        return frame.select(F.concat(F.lit(KINDS[phase]), F.col(key)).alias("key"), F.lit(phase).alias("phase"), F.col(uuid).alias("uuid"))
+
+    return (
+        keyed(ids, 1, "user_id", "user_id")
+        .unionByName(keyed(by_rid, 2, "rid", "uuid"))
+        .unionByName(keyed(master_names(masters), 3, "username", "uuid"))
+    )
+
+
 def three_phase(
     rows: DataFrame,
     masters: DataFrame,
@@ -59,27 +88,16 @@ def three_phase(
 ) -> DataFrame:
     """The master id of each distinct record and the phase that found it (1, 2, 3 or null).
 
-    Phase 1 takes the user id, phase 2 the rid through the watch log and the persona users, phase 3 the
-    email. Only the narrow record keys move; a key that is not needed any more is set to null first.
+    Phase 1 takes the user id, phase 2 the rid through the watch log and the persona users, phase 3 the email. A
+    record's three keys are its candidates and meet one lookup in one join; the smallest phase that found something
+    decides, in the same grouping that makes records distinct.
     """
     hot = measure_hot_keys(rows, watched) if hot is None else hot
-    records = rows.select(*RECORD).distinct()
-
-    ids = master_ids(masters).select(F.col("uuid").alias("key"), F.col("uuid").alias("p1"))
-    found = spread_join(records.withColumn("key", F.col("user_id")), ids, "key", hot["user_id"]).drop("key")
-
-    persona_masters = master_ids(masters).join(
-        personas.select(F.col("id").alias("uuid")).distinct(), "uuid", "left_semi"
-    )
-    by_rid = watched_masters(watched, persona_masters, hot["watched"]).select(
-        F.col("rid").alias("key"), F.col("rid_uuid").alias("p2")
-    )
-    open_rid = F.when(F.col("p1").isNull(), F.col("rid"))
-    found = spread_join(found.withColumn("key", open_rid), by_rid, "key", hot["rid"]).drop("key")
-
-    names = master_names(masters).select(F.col("username").alias("key"), F.col("uuid").alias("p3"))
-    open_email = F.when(F.coalesce("p1", "p2").isNull(), F.col("email"))
-    found = spread_join(found.withColumn("key", open_email), names, "key", hot["email"]).drop("key")
-
-    phase = F.when(F.col("p1").isNotNull(), 1).when(F.col("p2").isNotNull(), 2).when(F.col("p3").isNotNull(), 3)
-    return found.select(*RECORD, F.coalesce("p1", "p2", "p3").alias("uuid"), phase.alias("phase"))
+    columns = {1: "user_id", 2: "rid", 3: "email"}
+    keys = F.array_compact(F.array(*[F.concat(F.lit(KINDS[p]), F.col(c)) for p, c in columns.items()]))
+    # A record without any key stays as one candidate without a key.
+    candidates = rows.select(*RECORD, F.explode_outer(keys).alias("key"))
+    shares = {KINDS[p] + value: n for p, c in columns.items() for value, n in hot[c].items()}
+    found = spread_join(candidates, phase_lookup(masters, personas, watched, hot["watched"]), "key", shares)
+    best = found.groupBy(*RECORD).agg(F.min(F.when(F.col("phase").isNotNull(), F.struct("phase", "uuid"))).alias("best"))
+    return best.select(*RECORD, "best.uuid", "best.phase")

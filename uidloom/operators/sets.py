@@ -19,9 +19,9 @@ def first_n(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 
 
 def union_tables(
-    frames: Mapping[str, DataFrame], columns: Sequence[str], types: Mapping[str, str] | None = None
+    frames: Mapping[str, DataFrame], columns: Sequence[str], types: Mapping[str, str] | None = None, keyed: bool = False
 ) -> DataFrame:
-    """Many tables as one frame with the table's name as a key column.
+    """Many tables as one frame with the table's name as a key column; ``keyed`` frames hold it in ``metadata_table``.
 
     ``types`` gives the type of a column in the result; any other column has the type of the first table with it.
     A column that a table lacks is null. No tables give a frame without rows. The union is built as a
@@ -33,7 +33,7 @@ def union_tables(
     def shaped(name: str, df: DataFrame) -> DataFrame:
         own = {c.lower(): F.col(f"`{c}`") for c in df.columns}
         cells = [own.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in kinds.items()]
-        return df.select(F.lit(name).alias("metadata_table"), *cells)
+        return df.select("metadata_table" if keyed else F.lit(name).alias("metadata_table"), *cells)
 
     parts = [shaped(name, df) for name, df in frames.items()]
     if not parts:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Collection
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from uidloom.functions.fixed import UUID_COLUMNS, VALID_UUID
 from uidloom.functions.frames import present
@@ -16,8 +19,16 @@ from uidloom.operators.skew import HotKeys
 from uidloom.operators.valid_uuid import choices, set_valid_uuid
 from uidloom.sources.catalog import column_catalog, discover_tables, preview_counts
 from uidloom.sources.session import materialize, scratch
-from uidloom.sources.snapshots import DESCRIPTORS, PARQUET, save_and_verify, save_snapshot, snapshot_path
-from uidloom.sources.tables import read_identifies
+from uidloom.sources.snapshots import (
+    DESCRIPTORS,
+    PARQUET,
+    commit_tables,
+    load_table,
+    save_and_verify,
+    save_snapshot,
+    snapshot_path,
+)
+from uidloom.sources.tables import SchemaGroup, read_identifies, schema_groups, tracked_rows
 
 RESOLVED = "resolved_rows"
 COUNTS = "uuid_counts"
@@ -117,11 +128,39 @@ def resolve_table(
     table: DataFrame, metadata_table: str, users: DataFrame, hot_users: Collection[str]
 ) -> DataFrame:
     """One source table with all of its own columns, whatever they are, and the values of the user map."""
-    kinds = {f.name: f.dataType for f in table.schema.fields if f.name.lower() == "user_id"}
-    as_text = table.withColumns({name: F.col(f"`{name}`").cast("string") for name in kinds})
+    tagged = table.withColumn("metadata_table", F.lit(metadata_table))
     mine = users.where(F.col("metadata_table") == metadata_table)
-    written = write_back(as_text.withColumn("metadata_table", F.lit(metadata_table)), mine, hot_users)
-    return written.withColumns({name: F.col(f"`{name}`").cast(kind) for name, kind in kinds.items()}).drop("metadata_table")
+    return _written_back(tagged, mine, hot_users).drop("metadata_table")
+
+
+def _written_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) -> DataFrame:
+    """``write_back`` for rows whose user id may be of any type, which it keeps."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields if f.name.lower() == "user_id"}
+    as_text = rows.withColumns({name: F.col(f"`{name}`").cast("string") for name in kinds})
+    written = write_back(as_text, users, hot_users)
+    return written.withColumns({name: F.col(f"`{name}`").cast(kind) for name, kind in kinds.items()})
+
+
+def resolve_group(group: SchemaGroup, users: DataFrame, hot_users: Collection[str], chosen: DataFrame) -> DataFrame:
+    """The tables of one schema with all of their own columns, and the values of the user map and the valid id."""
+    return set_valid_uuid(_written_back(group.rows, users, hot_users), chosen)
+
+
+WRITERS = 4
+"""Groups that are written at a time; each is a job of its own, and the cluster shares its cores among them."""
+
+
+def _write_group(rows: DataFrame, path: str, n_tables: int) -> int:
+    """Write the tables of a group below a folder of their own, and return the number of rows.
+
+    Jobs that write at the same time must not share a folder, as each clears its temporary files there.
+    Where a group has several tables its rows are gathered by table, so that a task does not open a file of each;
+    adaptive execution splits the large ones and joins the small ones.
+    """
+    written = Observation(f"rows_{uuid.uuid4().hex}")
+    rows = rows.hint("rebalance", "metadata_table") if n_tables > 1 else rows
+    rows.observe(written, F.count(F.lit(1)).alias("rows")).write.partitionBy("metadata_table").parquet(path)
+    return written.get["rows"]
 
 
 def run_tables(
@@ -136,30 +175,42 @@ def run_tables(
 ) -> Run:
     """Resolve all discovered tables and save each with all of its columns and its earlier values.
 
-    Users and choices come from the narrow columns of all tables at once; then each table is read once, and
-    written below ``rows_path`` in a folder of its own, ``metadata_table=<name>``. A table without rows is
-    written as well. The counts come from the narrow columns and the descriptors.
+    Users and choices come from the narrow columns of all tables at once. Then tables of one schema are read by one
+    scan, joined once and written together, ``WRITERS`` schemas at a time. The snapshot becomes visible as a whole:
+    the manifest and the success marker come last, after the rows written are compared with the counts. A table
+    without rows has its schema in the manifest. The counts come from the narrow columns and the descriptors.
     """
-    names = located(descriptors, locate)
-    narrow = read_identifies(spark, names, UUID_COLUMNS)
+    groups = schema_groups(spark, located(descriptors, locate))
+    narrow = tracked_rows(groups, UUID_COLUMNS)
     hot = measure_hot_keys(narrow, watched)
     rows_path = snapshot_path(root, RESOLVED, PARQUET, at)
     with scratch(spark, "run") as folder:
         users = materialize(user_map(narrow, masters, personas, watched, hot), "user_map", folder)
         after = materialize(users_after(narrow, users, hot["user_id"]), "users_after", folder)
         chosen = materialize(choices(after, "n_rows"), "choices", folder)
-        for metadata, name in names:
-            table = resolve_table(spark.table(name), metadata, users, hot["user_id"])
-            table = set_valid_uuid(table.withColumn("metadata_table", F.lit(metadata)), chosen).drop("metadata_table")
-            table.write.parquet(f"{rows_path}/metadata_table={metadata}")
+        resolved = [resolve_group(group, users, hot["user_id"], chosen) for group in groups]
+        with ThreadPoolExecutor(WRITERS) as writers:
+            parts = [f"{rows_path}/part={k}" for k in range(len(groups))]
+            jobs = [writers.submit(_write_group, rows, at, len(g.tables)) for g, rows, at in zip(groups, resolved, parts)]
+            written = [job.result() for job in jobs]
         counts = coverage.for_tables(coverage.uuid_counts(after, "n_rows"), descriptors)
         counts_path = save_snapshot(counts, root, COUNTS, PARQUET, at)
-    return Run(rows_path, counts_path, spark.read.parquet(counts_path))
+    saved = spark.read.parquet(counts_path)
+    totals = {r["metadata_table"]: r["total"] or 0 for r in saved.select("metadata_table", "total").collect()}
+    for group, n in zip(groups, written):
+        if n != sum(totals[key] for key, _ in group.tables):
+            raise RuntimeError(f"{n} rows written of {[key for key, _ in group.tables]}, other than counted")
+    commit_tables(spark, rows_path, [
+        (key, StructType([f for f in rows.schema.fields if f.name != "metadata_table"]), part, totals[key])
+        for group, rows, part in zip(groups, resolved, parts)
+        for key, _ in group.tables
+    ])
+    return Run(rows_path, counts_path, saved)
 
 
 def resolved_table(spark: SparkSession, run: Run, metadata_table: str) -> DataFrame:
     """What a run over tables saved of one of them."""
-    return spark.read.parquet(f"{run.rows_path}/metadata_table={metadata_table}")
+    return load_table(spark, run.rows_path, metadata_table)
 
 
 def unresolved(resolved: DataFrame) -> DataFrame:

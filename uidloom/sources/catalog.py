@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from uidloom.functions.fixed import (
     IGNORED_NAME_PARTS,
@@ -19,26 +25,108 @@ from uidloom.operators.coverage import COMBOS, combo_name
 
 CATALOG_SCHEMA = "table_name string, column_name string, data_type string, is_nullable string, source_name string"
 SOURCE = "source_name"
+SESSION_CATALOG = "spark_catalog"
 
 
 def quoted(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
+@dataclass(frozen=True)
+class CatalogTable:
+    """What the session catalog knows of a table or view."""
+
+    name: str
+    is_view: bool
+    provider: str | None
+    location: str | None
+    schema: StructType
+    is_split: bool  # partitioned or bucketed
+
+
+def _catalog_table(found) -> CatalogTable:
+    storage, provider = found.storage().locationUri(), found.provider()
+    return CatalogTable(
+        found.identifier().table(),
+        found.tableType().name() == "VIEW",
+        provider.get().lower() if provider.isDefined() else None,
+        storage.get().toString() if storage.isDefined() else None,
+        StructType.fromJson(json.loads(found.schema().json())),
+        found.partitionColumnNames().nonEmpty() or found.bucketSpec().isDefined(),
+    )
+
+
+def _each(sequence) -> Iterator:
+    items = sequence.iterator()
+    while items.hasNext():
+        yield items.next()
+
+
+def tables_of(spark: SparkSession, names: Iterable[str]) -> dict[str, CatalogTable]:
+    """The session catalog's entries of tables given by their quoted names; one call to the metastore per database.
+
+    Names that are not tables or views of the session catalog are left out.
+    """
+    state, wanted = spark._jsparkSession.sessionState(), {}
+    for name in names:
+        try:
+            at = state.catalog().qualifyIdentifier(state.sqlParser().parseTableIdentifier(name))
+        except Py4JJavaError:  # a name of another catalog has more parts
+            continue
+        wanted[(at.database().get().lower(), at.table().lower())] = (name, at)
+    by_database: dict[str, list] = {}
+    for (database, _), (_, at) in wanted.items():
+        by_database.setdefault(database, []).append(at)
+    found = {}
+    for database, identifiers in by_database.items():
+        for entry in _each(state.catalog().getTablesByName(_scala_list(spark, identifiers))):
+            name, _ = wanted[(database, entry.identifier().table().lower())]
+            found[name] = _catalog_table(entry)
+    return found
+
+
+def _scala_list(spark: SparkSession, items: list):
+    return spark._jvm.org.apache.spark.api.python.PythonUtils.toSeq(items)
+
+
+def _listed(spark: SparkSession, database: str) -> list[CatalogTable]:
+    """All tables and views of a database of the session catalog: one listing, and one call for all entries."""
+    catalog = spark._jsparkSession.sessionState().catalog()
+    names = catalog.listTables(database, "*", False)
+    return [_catalog_table(entry) for entry in _each(catalog.getTablesByName(names))]
+
+
+def _columns_one_by_one(spark: SparkSession, database: str) -> list[tuple]:
+    """For catalogs that have no call for several tables."""
+    return [
+        (table.name.upper(), column.name.upper(), column.dataType, "YES" if column.nullable else "NO", name)
+        for table in spark.catalog.listTables(database)
+        if not table.isTemporary
+        for name in [quoted(database, table.name)]
+        for column in spark.catalog.listColumns(name)
+    ]
+
+
 def column_catalog(spark: SparkSession, database: str | None = None) -> DataFrame:
     """One row per column of each table and view of a database; temporary views of the session are left out.
 
     A Spark catalog may lower the case of names, and the rules on names are written for upper case. So names
     are turned to upper case here, and ``source_name`` is the quoted name to read. Only the metastore is
-    asked: the driver holds names, and no data is read.
+    asked, for all tables of the database at once: the driver holds names and types, and no data is read.
     """
     database = database or spark.catalog.currentDatabase()
+    if spark.catalog.currentCatalog() != SESSION_CATALOG:
+        return spark.createDataFrame(_columns_one_by_one(spark, database), CATALOG_SCHEMA)
     found = [
-        (table.name.upper(), column.name.upper(), column.dataType, "YES" if column.nullable else "NO", name)
-        for table in spark.catalog.listTables(database)
-        if not table.isTemporary
-        for name in [quoted(database, table.name)]
-        for column in spark.catalog.listColumns(name)
+        (
+            table.name.upper(),
+            field.name.upper(),
+            field.dataType.simpleString(),
+            "YES" if field.nullable else "NO",
+            quoted(database, table.name),
+        )
+        for table in _listed(spark, database)
+        for field in table.schema.fields
     ]
     return spark.createDataFrame(found, CATALOG_SCHEMA)
 

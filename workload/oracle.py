@@ -460,6 +460,11 @@ def oracle_sql() -> dict[str, str]:
             """SELECT metadata_table, id, user_id, '/p/' || id AS page, user_id_uuid, username_uuid, persona_uuid,
               rid_uuid, valid_uuid FROM valid""",
         ),
+        "latest_run_of_tables": _with(
+            VALIDATED,
+            """SELECT metadata_table, id, user_id, '/p/' || id AS page, user_id_uuid, username_uuid, persona_uuid,
+              rid_uuid, valid_uuid FROM valid""",
+        ),
         "rerun_of_tables": _with(
             [*RESOLVED[:-1], PREVIOUS],
             """SELECT i.metadata_table, i.id, i.user_id, '/p/' || i.id AS page,
@@ -491,7 +496,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "clone_tables": _with(
             [IDF],
-            """SELECT id, anonymous_id, user_id, email, rid, '/p/' || id AS page, CAST(NULL AS VARCHAR) AS user_id_uuid,
-              'first' AS run_name FROM idf WHERE metadata_table LIKE '%VIEW%'""",
+            """SELECT metadata_table, id, anonymous_id, user_id, email, rid, '/p/' || id AS page,
+              CAST(NULL AS VARCHAR) AS user_id_uuid, 'first' AS run_name FROM idf""",
         ),
     }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -489,14 +489,31 @@ def load_or_compute(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def clone_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """All app tables as copies that hold what their sources do, with two columns more."""
     with _app_tables(spark, sf) as (database, written):
-        copy = f"{database}.COPY_OF_VIEWS"
-        if not tables.clone_table(spark, written[APPS[4]], copy):
-            raise RuntimeError("the copy has another row count than its source")
-        tables.add_column_if_absent(spark, copy, "user_id_uuid")
-        tables.add_column_if_absent(spark, copy, "run name", default="'first'")
-        wanted = spark.table(copy).select("*", F.col("`run name`").alias("run_name")).drop("run name")
-        return session.materialize(wanted, "copy").drop("received_at", "sent_at")
+        copies = {}
+        for key in APPS:
+            copies[key] = copy = f"{database}.COPY_OF_{key}"
+            if not tables.clone_table(spark, written[key], copy):
+                raise RuntimeError(f"the copy of {key} differs from its source")
+            tables.add_column_if_absent(spark, copy, "user_id_uuid")
+            tables.add_column_if_absent(spark, copy, "run name", default="'first'")
+        columns = ["id", "anonymous_id", "user_id", "email", "rid", "page", "user_id_uuid", "run name"]
+        wanted = sets.union_tables({key: spark.table(name) for key, name in copies.items()}, columns, {"user_id": "string"})
+        return session.materialize(wanted.withColumnRenamed("run name", "run_name"), "copies")
+
+
+@query
+def latest_run_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs over the tables, of which one broke before its end; the latest complete one, read as one frame."""
+    with _app_tables(spark, sf) as (database, _):
+        root = _new_folder(spark, "run")
+        found = resolution.discover(spark, database, root, RUN_AT)
+        resolution.run_tables(spark, found, *views.identity_inputs(spark, sf)[1:], root, RUN_AT)
+        broken = snapshots.snapshot_path(root, resolution.RESOLVED, snapshots.PARQUET, RUN_AT + timedelta(days=1))
+        views.identifies(spark, sf).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(broken)
+        _, rows = snapshots.load_latest(spark, root, resolution.RESOLVED)
+        return rows.select("metadata_table", "id", "user_id", "page", *fixed.UUID_COLUMNS, "valid_uuid")
 
 
 APPS = [f"SEGMENT__{kind}_APP__IDENTIFIES" for kind in ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW")]
