@@ -107,3 +107,25 @@ def test_a_tokenizer_that_it_cannot_compile_is_refused():
     spec["pre_tokenizer"]["add_prefix_space"] = True
     with pytest.raises(ValueError):
         token_count.Counter(json.dumps(spec))
+
+
+def test_tokens_that_may_follow_each_other_are_those_that_merging_leaves_apart(counter):
+    merges = counter.transducer.merges
+    assert merges.in_order
+    rng = random.Random(6)
+    tokens = [t for t in merges.token if t is not None]
+    parts = [(a, b) for a, b in merges.rank]
+    for k in range(6000):
+        last, token = rng.choice(parts) if k % 3 == 0 else (rng.choice(tokens), rng.choice(tokens))
+        if k % 3 == 1:
+            token = rng.choice([last, last[-1:], last[:1], token[:1]])
+        if merges.encode(last) == [last]:
+            assert merges.may_follow(last, token) == (merges.encode(last + token) == [last, token])
+
+
+def test_rules_out_of_order_are_followed_by_merging():
+    merges = token_count.Merges({"a": 0, "b": 1, "ab": 2, "abab": 3, "ba": 4}, ["ab ab", "a b", "b a"])
+    assert not merges.in_order
+    for last in (b"a", b"b", b"ab", b"ba"):
+        for token in (b"a", b"b", b"ab", b"ba"):
+            assert merges.may_follow(last, token) == (merges.encode(last + token) == [last, token])

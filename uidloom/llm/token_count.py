@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from uidloom.llm import textops
 
 CHUNK_BYTES = 1 << 20
-MOST_STATES = 1 << 17
+MOST_STATES = 1 << 18
 FEW = 24
 """Pre-tokens still open below which they are read one after the other."""
 COUNTS = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
@@ -128,6 +128,13 @@ class Merges:
         raw = lambda token: bytes(letters[c] for c in token)
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
         self.rank = {(raw(a), raw(b)): k for k, (a, b) in enumerate(pairs)}
+        self.made = {a + b: (a, b) for a, b in self.rank}
+        born = {a + b: k for (a, b), k in self.rank.items()}
+        # Each token comes of one rule, which stands after the rules of its parts.
+        self.in_order = len(born) == len(self.rank) and all(
+            born.get(a, -1) < k and born.get(b, -1) < k for (a, b), k in self.rank.items()
+        )
+        self.edges: dict[tuple[bytes, int], list[tuple[bytes, int]]] = {}
         self.follows: dict[tuple[bytes, bytes], bool] = {}
         self.kids: list[dict[int, int]] = [{}]
         self.token: list[bytes | None] = [None]
@@ -153,9 +160,47 @@ class Merges:
 
     def may_follow(self, last: bytes, token: bytes) -> bool:
         key = (last, token)
-        if key not in self.follows:
-            self.follows[key] = self.encode(last + token) == ([last, token] if last else [token])
-        return self.follows[key]
+        found = self.follows.get(key)
+        if found is None:
+            if not last or not self.in_order:
+                found = self.encode(last + token) == ([last, token] if last else [token])
+            else:
+                found = self.may_follow(b"", token) and not self._meet(last, token)
+            self.follows[key] = found
+        return found
+
+    def _edge(self, token: bytes, side: int) -> list[tuple[bytes, int]]:
+        """The parts that stand at one end of a token while it is made, each with the rank of the rule that ends it."""
+        found = self.edges.get((token, side))
+        if found is None:
+            part, until, found = token, 1 << 60, []
+            while part in self.made:
+                found.append((part, until))
+                until = self.rank[self.made[part]]
+                part = self.made[part][side]
+            found.append((part, until))
+            found.reverse()
+            self.edges[token, side] = found
+        return found
+
+    def _meet(self, last: bytes, token: bytes) -> bool:
+        """Whether a rule joins the right end of one token with the left end of the next while both are made.
+
+        Of equal ranks the rule that stands first in the text is taken first.
+        """
+        left, right = self._edge(last, 1), self._edge(token, 0)
+        i = j = 0
+        while True:
+            (a, a_until), (b, b_until) = left[i], right[j]
+            rank = self.rank.get((a, b))
+            if rank is not None and rank < a_until and rank <= b_until:
+                return True
+            if i + 1 == len(left) and j + 1 == len(right):
+                return False
+            if a_until <= b_until and i + 1 < len(left):
+                i += 1
+            else:
+                j += 1
 
 
 _SHIFT = 16
@@ -166,7 +211,7 @@ class Transducer:
     """Counts the tokens of pre-tokens; compiled as far as the texts have needed.
 
     A state is a tuple of (trie node, last token, tokens there less tokens now) for each place where an unfinished
-    token may have started, the present place last. ``moves`` of a state give, by byte, the next state and the change
+    token may have started, the present place last. ``moves`` give, by state and byte, the next state and the change
     in one number. ``keys`` and ``values`` hold the same moves in a hash table that numpy reads.
     """
 
@@ -176,16 +221,16 @@ class Transducer:
 
     def forget(self) -> None:
         start = ((0, b"", 0),)
-        self.ids, self.states, self.moves = {start: 0}, [start], [{}]
+        self.ids, self.states = {start: 0}, [start]
+        self.moves: dict[int, int] = {}
         self.merges.follows.clear()
         self._table(1 << 14)
 
     def _table(self, size: int) -> None:
         self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size, np.int64)
         self.bits, self.used = 64 - int(size).bit_length() + 1, 0
-        known = [(s * 256 + b, v) for s, moves in enumerate(self.moves) for b, v in moves.items()]
-        if known:
-            self._insert(*np.array(known, np.int64).T)
+        if n := len(self.moves):
+            self._insert(np.fromiter(self.moves.keys(), np.int64, n), np.fromiter(self.moves.values(), np.int64, n))
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.bits)).astype(np.int64)
@@ -202,7 +247,7 @@ class Transducer:
 
     def move(self, state: int, byte: int) -> int:
         """The next state and the change in the number of tokens, as one number."""
-        found = self.moves[state].get(byte)
+        found = self.moves.get(state << 8 | byte)
         if found is not None:
             return found
         kids, tokens, may_follow = self.merges.kids, self.merges.token, self.merges.may_follow
@@ -217,12 +262,13 @@ class Transducer:
                 live.append((child, last, less))
         if token is None:
             raise ValueError(f"the vocabulary has no token for byte {byte}")
-        after = (*((node, last, less - change) for node, last, less in live), (0, token, 0))
-        at = self.ids.setdefault(after, len(self.states))
+        if change:
+            live = [(node, last, less - change) for node, last, less in live]
+        live.append((0, token, 0))
+        at = self.ids.setdefault(tuple(live), len(self.states))
         if at == len(self.states):
-            self.states.append(after)
-            self.moves.append({})
-        found = self.moves[state][byte] = at << _SHIFT | change + _ZERO
+            self.states.append(tuple(live))
+        found = self.moves[state << 8 | byte] = at << _SHIFT | change + _ZERO
         return found
 
     def _steps(self, keys: np.ndarray) -> np.ndarray:
@@ -273,7 +319,7 @@ class Transducer:
         for i in range(many):
             at, tokens = int(state[i]), 0
             for byte in data[start[i] + k : start[i] - falling[i]].tolist():
-                found = self.moves[at].get(byte) or self.move(at, byte)
+                found = self.moves.get(at << 8 | byte) or self.move(at, byte)
                 at = found >> _SHIFT
                 tokens += (found & ((1 << _SHIFT) - 1)) - _ZERO
             total[i] += tokens
