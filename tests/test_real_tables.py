@@ -71,6 +71,7 @@ def test_run_keeps_all_columns_and_earlier_values(spark, apps, tmp_path, others)
         "i2": ("/y", "2", None, "old", None, "old"),  # the persona column fills most of the rows that are left
         "i3": ("/z", None, None, "old", None, "old"),
     }
+    assert web.select(F.unix_timestamp(resolution.RESOLVED_AT)).distinct().collect() == [(int(AT.timestamp()),)]
     app = resolution.resolved_table(spark, run, APP)
     assert dict(app.dtypes)["USER_ID"] == "bigint" and app.first().user_id_uuid == "1"
     assert resolution.resolved_table(spark, run, NEW).isEmpty()
@@ -229,6 +230,9 @@ def test_a_table_with_a_default_a_view_and_partitions_are_read_on_their_own(spar
     names = many_tables(spark, database, 4)
     tables.add_column_if_absent(spark, names[0][1], "rid", default="'old rows'")
     spark.sql(f"CREATE VIEW {database}.V AS SELECT * FROM {names[1][1]}")
+    spark.sql(f"CREATE TABLE {database}.C (id char(4), anonymous_id varchar(9), user_id string, email string) USING parquet")
+    spark.sql(f"INSERT INTO {database}.C VALUES ('i', 'a', '1', 'x@y')")
+    assert tables.read_identifies(spark, [*names, ("C", f"{database}.C")]).where("metadata_table = 'C'").first()["id"] == "i   "
     spark.sql(f"CREATE TABLE {database}.P PARTITIONED BY (email) AS SELECT * FROM {names[2][1]}")
     rows = tables.read_identifies(spark, [*names, ("V", f"{database}.V"), ("P", f"{database}.P")]).collect()
     found = {r["metadata_table"]: (r["id"], r["email"], r["rid"]) for r in rows}

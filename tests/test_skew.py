@@ -100,3 +100,25 @@ def test_hot_inputs_resolve_alike_with_and_without_measured_keys(inputs):
     assert set(hot["user_id"]) == {"1"} and set(hot["watched"]) == {"4"}
     plain = Counter(map(tuple, resolve.resolve(*frames, none).collect()))
     assert Counter(map(tuple, resolve.resolve(*frames, hot).collect())) == plain
+
+
+def test_rows_are_read_once_for_the_hot_keys_and_the_user_map(spark, inputs):
+    rows, *others = inputs(*brute.random_inputs(random.Random(12), 200, n_users=40, hot=0.35))
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    users, hot = resolve.mapped_users(rows.mapInArrow(count, rows.schema), *others)
+    found = Counter(map(tuple, users.collect()))
+    assert runs.value == 200 and set(hot["user_id"]) == {"1"}
+    none = {"user_id": {}, "email": {}, "rid": {}, "watched": {}}
+    assert Counter(map(tuple, resolve.user_map(rows, *others, none).collect())) == found
+
+
+def test_heavy_keys_are_exact_and_bounded(spark):
+    counts = spark.createDataFrame([("a", 90), ("b", 40), ("c", 5), (None, 75), *[(f"x{k}", 1) for k in range(40)]], "k string, n bigint")
+    assert set(skew.heavy_keys(counts, "k", "n")) == {"a", "b"}
+    assert skew.heavy_keys(counts.limit(0), "k", "n") == {}

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from uidloom.functions.fixed import UUID_COLUMNS
 from uidloom.functions.frames import has_column, present
-from uidloom.operators.skew import HotKeys, hot_keys, split_join, spread_join
+from uidloom.operators.skew import HotKeys, heavy_keys, hot_keys, split_join, spread_join
 from uidloom.sources.session import materialize
 
 USER = ["metadata_table", "user_id"]
@@ -108,6 +108,50 @@ def rid_path(rows: DataFrame, watched: DataFrame, masters: DataFrame, hot: HotKe
     return found.groupBy(*USER).agg(F.min("rid_uuid").alias("rid_uuid"), F.max("rid_hit").alias("rid_hit"))
 
 
+def _kinds(rows: DataFrame) -> dict[str, str]:
+    return {"e": "email", "r": "rid"} if has_column(rows, "rid") else {"e": "email"}
+
+
+def user_entries(rows: DataFrame) -> DataFrame:
+    """(metadata_table, user_id, candidate, n_rows): of each user its rows, emails and rids, equal ones together.
+
+    This is all that the map of users needs of the rows, and it takes one scan of their key columns.
+    """
+    keys = F.array(F.lit(ROW), *[F.concat(F.lit(kind), F.col(column)) for kind, column in _kinds(rows).items()])
+    listed = rows.select(*USER, F.explode(F.array_compact(keys)).alias("candidate"))
+    entries = listed.groupBy(*USER, "candidate").agg(F.count(F.lit(1)).alias("n_rows"))
+    return entries.where((F.col("candidate") == ROW) | F.col("user_id").isNotNull())
+
+
+def hot_keys_of(entries: DataFrame, watched: DataFrame) -> HotKeys:
+    """As ``measure_hot_keys``, from written entries in place of the rows.
+
+    Users count by their exact rows in a table, and emails and rids by the entries that meet the lookup.
+    """
+    value, kind = F.expr("substring(candidate, 2)"), F.left("candidate", F.lit(1))
+    named = entries.where(F.col("candidate") != ROW)
+    keys = named.select(F.when(kind == "e", value).alias("email"), F.when(kind == "r", value).alias("rid")).unionByName(
+        watched.select(F.col("user_id").alias("watched")), allowMissingColumns=True
+    )
+    users = heavy_keys(entries.where(F.col("candidate") == ROW), "user_id", "n_rows")
+    return {"user_id": users} | hot_keys(keys, keys.columns)
+
+
+def mapped_users(
+    rows: DataFrame,
+    masters: DataFrame,
+    personas: DataFrame,
+    watched: DataFrame,
+    hot: HotKeys | None = None,
+) -> tuple[DataFrame, HotKeys]:
+    """The user map, and the hot keys: those given, or else measured on the entries, which are written for that."""
+    entries = user_entries(rows)
+    if hot is None:
+        entries = materialize(entries, "entries")
+        hot = hot_keys_of(entries, watched)
+    return _users_of(entries, masters, personas, watched, hot, _kinds(rows)), hot
+
+
 def user_map(
     rows: DataFrame,
     masters: DataFrame,
@@ -121,12 +165,17 @@ def user_map(
     ones fall together before the shuffle. Emails and rids meet their two lookups in one join. Where the
     rows have no rid, that path does not run and its column is null.
     """
-    hot = measure_hot_keys(rows, watched) if hot is None else hot
-    kinds = {"e": "email", "r": "rid"} if has_column(rows, "rid") else {"e": "email"}
-    keys = F.array(F.lit(ROW), *[F.concat(F.lit(kind), F.col(column)) for kind, column in kinds.items()])
-    listed = rows.select(*USER, F.explode(F.array_compact(keys)).alias("candidate"))
-    entries = listed.groupBy(*USER, "candidate").agg(F.count(F.lit(1)).alias("n_rows"))
+    return mapped_users(rows, masters, personas, watched, hot)[0]
 
+
+def _users_of(
+    entries: DataFrame,
+    masters: DataFrame,
+    personas: DataFrame,
+    watched: DataFrame,
+    hot: HotKeys,
+    kinds: Mapping[str, str],
+) -> DataFrame:
     def lookup(kind: str, frame: DataFrame, key: str, value: str) -> DataFrame:
         return frame.select(F.concat(F.lit(kind), key).alias("candidate"), F.col(value).alias("uuid"), F.lit(True).alias("hit"))
 
@@ -134,8 +183,7 @@ def user_map(
     if "r" in kinds:
         known = known.unionByName(lookup("r", watched_masters(watched, masters, hot["watched"]), "rid", "rid_uuid"))
     shares = {kind + value: n for kind, column in kinds.items() for value, n in hot[column].items()}
-    is_row = F.col("candidate") == ROW
-    entries = entries.where(is_row | F.col("user_id").isNotNull()).withColumn("candidate", F.when(~is_row, F.col("candidate")))
+    entries = entries.withColumn("candidate", F.when(F.col("candidate") != ROW, F.col("candidate")))
     matched = spread_join(entries, known, "candidate", shares)  # the rows' own entries have no key, and are spread
     by_rid = F.startswith("candidate", F.lit("r"))
     users = matched.groupBy(*USER).agg(
@@ -197,8 +245,7 @@ def resolve(
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """The rows of all tables with their four UUID columns."""
-    hot = measure_hot_keys(rows, watched) if hot is None else hot
-    users = user_map(rows, masters, personas, watched, hot)
+    users, hot = mapped_users(rows, masters, personas, watched, hot)
     if hot["user_id"]:
         users = materialize(users, "user_map")  # read for the hot and for all other users
     return write_back(rows, users, hot["user_id"])

@@ -65,6 +65,18 @@ def hot_keys(rows: DataFrame, columns: Sequence[str]) -> HotKeys:
     }
 
 
+def heavy_keys(counts: DataFrame, key: str, n: str) -> dict[str, int]:
+    """The values of a key that hold more rows than an average shuffle partition, from written exact counts.
+
+    No more of them exist than partitions; the driver gets ``MAX_HOT_KEYS`` at most.
+    """
+    partitions = partition_count(counts)
+    total = counts.agg(F.sum(n)).first()[0] or 0
+    large = counts.where((F.col(n) * partitions > total) & F.col(key).isNotNull()).groupBy(key).agg(F.max(n).alias(n))
+    top = large.orderBy(F.col(n).desc(), key).limit(min(MAX_HOT_KEYS, partitions)).collect()
+    return {row[key]: _shares_for(row[n] / total, partitions) for row in top}
+
+
 def _shares_of(key: str, hot: Mapping[str, int]) -> Column:
     shares = F.lit(1)
     for size in sorted(set(hot.values())):

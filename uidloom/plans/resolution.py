@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from uidloom.functions.fixed import UUID_COLUMNS, VALID_UUID
-from uidloom.functions.frames import present
+from uidloom.functions.frames import present, stamp
 from uidloom.operators import coverage
-from uidloom.operators.resolve import measure_hot_keys, user_map, users_after, write_back
+from uidloom.operators.resolve import mapped_users, users_after, write_back
 from uidloom.operators.skew import HotKeys
 from uidloom.operators.valid_uuid import choices, set_valid_uuid
 from uidloom.sources.catalog import column_catalog, discover_tables, preview_counts
@@ -48,8 +48,7 @@ def resolve_valid(
     carry values of an earlier run may differ within a user, so there the choice is made on one row for each
     user and set of earlier values. Either way the wide rows are read once, and written nowhere in between.
     """
-    hot = measure_hot_keys(rows, watched) if hot is None else hot
-    users = user_map(rows, masters, personas, watched, hot)
+    users, hot = mapped_users(rows, masters, personas, watched, hot)
     if chosen is not None and hot["user_id"]:
         users = materialize(users, "user_map")
     if present(rows, UUID_COLUMNS):
@@ -141,9 +140,14 @@ def _written_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str])
     return written.withColumns({name: F.col(f"`{name}`").cast(kind) for name, kind in kinds.items()})
 
 
-def resolve_group(group: SchemaGroup, users: DataFrame, hot_users: Collection[str], chosen: DataFrame) -> DataFrame:
-    """The tables of one schema with all of their own columns, and the values of the user map and the valid id."""
-    return set_valid_uuid(_written_back(group.rows, users, hot_users), chosen)
+RESOLVED_AT = "resolved_at"
+
+
+def resolve_group(
+    group: SchemaGroup, users: DataFrame, hot_users: Collection[str], chosen: DataFrame, at: datetime
+) -> DataFrame:
+    """The tables of one schema with all of their own columns, the values of the user map, the valid id, and the time."""
+    return stamp(set_valid_uuid(_written_back(group.rows, users, hot_users), chosen), RESOLVED_AT, at)
 
 
 WRITERS = 4
@@ -175,23 +179,23 @@ def run_tables(
 ) -> Run:
     """Resolve all discovered tables and save each with all of its columns and its earlier values.
 
-    Users and choices come from the narrow columns of all tables at once. Then tables of one schema are read by one
+    Rows carry the time of the run as ``resolved_at``. Users and choices come from the narrow columns of all tables at once. Then tables of one schema are read by one
     scan, joined once and written together, ``WRITERS`` schemas at a time. The snapshot becomes visible as a whole:
     the manifest and the success marker come last, after the rows written are compared with the counts. A table
     without rows has its schema in the manifest. The counts come from the narrow columns and the descriptors.
     """
     groups = schema_groups(spark, located(descriptors, locate))
     narrow = tracked_rows(groups, UUID_COLUMNS)
-    hot = measure_hot_keys(narrow, watched)
     rows_path = snapshot_path(root, RESOLVED, PARQUET, at)
     with scratch(spark, "run") as folder:
-        users = materialize(user_map(narrow, masters, personas, watched, hot), "user_map", folder)
+        users, hot = mapped_users(narrow, masters, personas, watched)
+        users = materialize(users, "user_map", folder)
         after = materialize(users_after(narrow, users, hot["user_id"]), "users_after", folder)
         chosen = materialize(choices(after, "n_rows"), "choices", folder)
-        resolved = [resolve_group(group, users, hot["user_id"], chosen) for group in groups]
+        resolved = [resolve_group(group, users, hot["user_id"], chosen, at) for group in groups]
         with ThreadPoolExecutor(WRITERS) as writers:
             parts = [f"{rows_path}/part={k}" for k in range(len(groups))]
-            jobs = [writers.submit(_write_group, rows, at, len(g.tables)) for g, rows, at in zip(groups, resolved, parts)]
+            jobs = [writers.submit(_write_group, rows, part, len(g.tables)) for g, rows, part in zip(groups, resolved, parts)]
             written = [job.result() for job in jobs]
         counts = coverage.for_tables(coverage.uuid_counts(after, "n_rows"), descriptors)
         counts_path = save_snapshot(counts, root, COUNTS, PARQUET, at)

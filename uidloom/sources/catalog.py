@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -42,17 +43,30 @@ class CatalogTable:
     location: str | None
     schema: StructType
     is_split: bool  # partitioned or bucketed
+    is_padded: bool  # has texts of fixed length, which Spark fills up when it reads the table by its name
+
+
+def _as_read(kind):
+    """A type in JSON form as readers see it: texts with a length are strings to them."""
+    if isinstance(kind, str):
+        return "string" if re.fullmatch(r"(var)?char\(\d+\)", kind) else kind
+    parts = {key: _as_read(kind[key]) for key in ("type", "elementType", "keyType", "valueType") if key in kind}
+    fields = {"fields": [_as_read(field) for field in kind["fields"]]} if "fields" in kind else {}
+    return kind | parts | fields
 
 
 def _catalog_table(found) -> CatalogTable:
     storage, provider = found.storage().locationUri(), found.provider()
+    schema = json.loads(found.schema().json())
+    read = _as_read(schema)
     return CatalogTable(
         found.identifier().table(),
         found.tableType().name() == "VIEW",
         provider.get().lower() if provider.isDefined() else None,
         storage.get().toString() if storage.isDefined() else None,
-        StructType.fromJson(json.loads(found.schema().json())),
+        StructType.fromJson(read),
         found.partitionColumnNames().nonEmpty() or found.bucketSpec().isDefined(),
+        re.search(r'"char\(\d+\)"', json.dumps(schema)) is not None,
     )
 
 

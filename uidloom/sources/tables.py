@@ -139,7 +139,8 @@ def schema_groups(spark: SparkSession, descriptors: Iterable[tuple[str, str]]) -
     alone: list[tuple[str, str]] = []
     for key, name in pairs:
         entry = known.get(name)
-        plain = entry and not entry.is_view and not entry.is_split and entry.provider in FILE_FORMATS and entry.location
+        whole = entry and not entry.is_view and not entry.is_split and not entry.is_padded
+        plain = whole and entry.provider in FILE_FORMATS and entry.location
         # A default of an added column stands in the catalog only; brackets and stars in a path are patterns.
         if plain and not any(f.metadata for f in entry.schema.fields) and not re.search(r"[\[\]{}*?\\]", entry.location):
             together.setdefault((entry.provider, entry.schema.json()), []).append((key, name))

@@ -294,6 +294,7 @@ def oracle_sql() -> dict[str, str]:
         "valid_uuid_consensus": _with(
             [*RESOLVED, PAIR, BEST, CONS], "SELECT metadata_table, id, user_id, consensus AS valid_uuid FROM cons"
         ),
+        "fill_remainder": _with(VALIDATED, "SELECT metadata_table, id, user_id, valid_uuid FROM valid"),
         "valid_uuid": _with(
             VALIDATED,
             "SELECT metadata_table, id, user_id, user_id_uuid, username_uuid, persona_uuid, rid_uuid, valid_uuid"
@@ -465,6 +466,9 @@ def oracle_sql() -> dict[str, str]:
             """SELECT metadata_table, id, user_id, '/p/' || id AS page, user_id_uuid, username_uuid, persona_uuid,
               rid_uuid, valid_uuid FROM valid""",
         ),
+        "resolution_times_of_tables": _with(
+            [IDF], "SELECT metadata_table, id, '2024-02-01 00:00:00' AS resolved_at FROM idf"
+        ),
         "rerun_of_tables": _with(
             [*RESOLVED[:-1], PREVIOUS],
             """SELECT i.metadata_table, i.id, i.user_id, '/p/' || i.id AS page,

@@ -188,12 +188,23 @@ def fallback_column(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def valid_uuid_consensus(spark: SparkSession, sf: str) -> DataFrame:
     rows, masters, personas, watched = views.identity_inputs(spark, sf)
-    hot = resolve.measure_hot_keys(rows, watched)
-    users = session.materialize(resolve.user_map(rows, masters, personas, watched, hot), "user_map")
+    users, hot = resolve.mapped_users(rows, masters, personas, watched)
+    users = session.materialize(users, "user_map")
     agreed = valid_uuid.set_consensus(users, valid_uuid.choices(users, "n_rows"))
     return resolve.write_back(rows.select(*KEYS), agreed, hot["user_id"]).select(*KEYS, "valid_uuid")
 
 
+@query
+def fill_remainder(spark: SparkSession, sf: str) -> DataFrame:
+    """The valid id in two steps: the pairs that agree, then the rows that are still open."""
+    rows, masters, personas, watched = views.identity_inputs(spark, sf)
+    users, hot = resolve.mapped_users(rows, masters, personas, watched)
+    users = session.materialize(users, "user_map")
+    chosen = valid_uuid.choices(users, "n_rows")
+    filled = valid_uuid.fill_remainder(valid_uuid.set_consensus(users, chosen), chosen)
+    return resolve.write_back(rows.select(*KEYS), filled, hot["user_id"]).select(*KEYS, "valid_uuid")
+
+
 @query
 def valid_uuid_rows(spark: SparkSession, sf: str) -> DataFrame:
     found = resolution.resolve_valid(*views.identity_inputs(spark, sf))
@@ -576,6 +587,15 @@ def run_of_tables(spark: SparkSession, sf: str) -> DataFrame:
         return _saved(spark, _run(spark, sf, database)[0])
 
 
+@query
+def resolution_times_of_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Per saved row the time of the run that resolved it."""
+    with _app_tables(spark, sf) as (database, _):
+        saved = snapshots.load_tables(spark, _run(spark, sf, database)[0].rows_path)
+        at = F.date_format(resolution.RESOLVED_AT, "yyyy-MM-dd HH:mm:ss")
+        return saved.select("metadata_table", "id", at.alias("resolved_at"))
+
+
 @query
 def rerun_of_tables(spark: SparkSession, sf: str) -> DataFrame:
     with _app_tables(spark, sf, earlier=True) as (database, _):
