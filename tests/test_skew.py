@@ -118,7 +118,8 @@ def test_rows_are_read_once_for_the_hot_keys_and_the_user_map(spark, inputs):
     assert Counter(map(tuple, resolve.user_map(rows, *others, none).collect())) == found
 
 
-def test_heavy_keys_are_exact_and_bounded(spark):
-    counts = spark.createDataFrame([("a", 90), ("b", 40), ("c", 5), (None, 75), *[(f"x{k}", 1) for k in range(40)]], "k string, n bigint")
-    assert set(skew.heavy_keys(counts, "k", "n")) == {"a", "b"}
-    assert skew.heavy_keys(counts.limit(0), "k", "n") == {}
+def test_values_that_are_counted_already_are_taken_as_they_are(spark):
+    counts = spark.createDataFrame([("a", 90), ("b", 40), ("c", 5), (None, 75), *[(f"x{k}", 1) for k in range(40)]], "u string, n_rows bigint")
+    found = skew.hot_keys(hot_rows(spark), ["k"], ("u", counts, 250))
+    assert set(found["u"]) == {"a", "b"} and set(found["k"]) == {"hot"}
+    assert skew.hot_keys(hot_rows(spark).limit(0), ["k"], ("u", counts.limit(0), 0)) == {"k": {}, "u": {}}

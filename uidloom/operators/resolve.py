@@ -13,13 +13,14 @@ So the work is done on one row per user, and the wide rows move once, in ``write
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Collection, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from uidloom.functions.fixed import UUID_COLUMNS
 from uidloom.functions.frames import has_column, present
-from uidloom.operators.skew import HotKeys, heavy_keys, hot_keys, split_join, spread_join
+from uidloom.operators.skew import HotKeys, hot_keys, split_join, spread_join
 from uidloom.sources.session import materialize
 
 USER = ["metadata_table", "user_id"]
@@ -123,18 +124,22 @@ def user_entries(rows: DataFrame) -> DataFrame:
     return entries.where((F.col("candidate") == ROW) | F.col("user_id").isNotNull())
 
 
-def hot_keys_of(entries: DataFrame, watched: DataFrame) -> HotKeys:
-    """As ``measure_hot_keys``, from written entries in place of the rows.
+def measured_entries(rows: DataFrame, watched: DataFrame) -> tuple[DataFrame, HotKeys]:
+    """The entries of the rows, written, and from them the hot keys as ``measure_hot_keys`` gives them.
 
-    Users count by their exact rows in a table, and emails and rids by the entries that meet the lookup.
+    Users count by their exact rows in a table, and emails and rids by the entries that meet the lookup. The rows are
+    read once, and all of them are counted while the entries are written.
     """
+    is_row = F.col("candidate") == ROW
+    written = Observation(f"entries_{uuid.uuid4().hex}")
+    n_rows = F.coalesce(F.sum(F.when(is_row, F.col("n_rows"))), F.lit(0)).alias("n_rows")
+    entries = materialize(user_entries(rows).observe(written, n_rows), "entries")
     value, kind = F.expr("substring(candidate, 2)"), F.left("candidate", F.lit(1))
-    named = entries.where(F.col("candidate") != ROW)
-    keys = named.select(F.when(kind == "e", value).alias("email"), F.when(kind == "r", value).alias("rid")).unionByName(
-        watched.select(F.col("user_id").alias("watched")), allowMissingColumns=True
-    )
-    users = heavy_keys(entries.where(F.col("candidate") == ROW), "user_id", "n_rows")
-    return {"user_id": users} | hot_keys(keys, keys.columns)
+    keys = entries.where(~is_row).select(
+        F.when(kind == "e", value).alias("email"), F.when(kind == "r", value).alias("rid")
+    ).unionByName(watched.select(F.col("user_id").alias("watched")), allowMissingColumns=True)
+    users = ("user_id", entries.where(is_row), written.get["n_rows"])
+    return entries, hot_keys(keys, keys.columns, users)
 
 
 def mapped_users(
@@ -145,10 +150,7 @@ def mapped_users(
     hot: HotKeys | None = None,
 ) -> tuple[DataFrame, HotKeys]:
     """The user map, and the hot keys: those given, or else measured on the entries, which are written for that."""
-    entries = user_entries(rows)
-    if hot is None:
-        entries = materialize(entries, "entries")
-        hot = hot_keys_of(entries, watched)
+    entries, hot = (user_entries(rows), hot) if hot is not None else measured_entries(rows, watched)
     return _users_of(entries, masters, personas, watched, hot, _kinds(rows)), hot
 
 

@@ -34,13 +34,18 @@ def _shares_for(part: float, partitions: int) -> int:
     return shares
 
 
-def hot_keys(rows: DataFrame, columns: Sequence[str]) -> HotKeys:
+def hot_keys(
+    rows: DataFrame, columns: Sequence[str], counted: tuple[str, DataFrame, int] | None = None
+) -> HotKeys:
     """Per string column, the values that hold more rows than an average shuffle partition.
 
     One scan of the given columns feeds a frequent-items sketch of fixed size per column and task; sketches
     are merged in two steps, and the driver gets as many values per column as there are partitions,
     ``MAX_HOT_KEYS`` at most. A key too rare
     for the sketch is left to the skew handling of adaptive execution.
+
+    ``counted`` adds a column whose values are counted already, in the same job: its name, a frame with the value and
+    its ``n_rows``, and the number of all rows. No more values than partitions pass.
     """
     partitions = partition_count(rows)
     most = min(MAX_HOT_KEYS, partitions)
@@ -58,23 +63,17 @@ def hot_keys(rows: DataFrame, columns: Sequence[str]) -> HotKeys:
         F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n")
     )
     top = merged.select("name", "n", F.expr(f"inline(approx_top_k_estimate(sketch, {most}))"))
+    names = list(columns)
+    if counted is not None:
+        name, counts, total = counted
+        exact = counts.select(F.lit(name).alias("name"), F.lit(total).alias("n"), F.col(name).alias("item"), F.col("n_rows").alias("count"))
+        top, names = top.unionByName(exact.where("item IS NOT NULL")), [*names, name]
     hot = top.where(F.col("count") * partitions > F.col("n")).collect()
-    return {
-        c: {row["item"]: _shares_for(row["count"] / row["n"], partitions) for row in hot if row["name"] == c}
-        for c in columns
-    }
-
-
-def heavy_keys(counts: DataFrame, key: str, n: str) -> dict[str, int]:
-    """The values of a key that hold more rows than an average shuffle partition, from written exact counts.
-
-    No more of them exist than partitions; the driver gets ``MAX_HOT_KEYS`` at most.
-    """
-    partitions = partition_count(counts)
-    total = counts.agg(F.sum(n)).first()[0] or 0
-    large = counts.where((F.col(n) * partitions > total) & F.col(key).isNotNull()).groupBy(key).agg(F.max(n).alias(n))
-    top = large.orderBy(F.col(n).desc(), key).limit(min(MAX_HOT_KEYS, partitions)).collect()
-    return {row[key]: _shares_for(row[n] / total, partitions) for row in top}
+    found: HotKeys = {name: {} for name in names}
+    for row in sorted(hot, key=lambda row: -row["count"]):
+        if len(found[row["name"]]) < most:
+            found[row["name"]].setdefault(row["item"], _shares_for(row["count"] / row["n"], partitions))
+    return found
 
 
 def _shares_of(key: str, hot: Mapping[str, int]) -> Column:
