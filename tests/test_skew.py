@@ -32,7 +32,7 @@ def test_hot_keys_of_null_columns_and_empty_frames(spark):
 def test_repeats_of_lookup_rows_are_bounded():
     for partitions in (8, 1000, 100_000):
         for keys in (1, 3, 100, 499):
-            shares = [skew._shares_for(1 / keys, partitions) for _ in range(keys)]
+            shares = [skew.shares_for(1 / keys, partitions) for _ in range(keys)]
             assert sum(shares) <= 16 * partitions + 4 * keys
             assert min(shares) >= partitions * skew.SHARES_PER_PARTITION / keys
 

@@ -14,12 +14,13 @@ So the work is done on one row per user, and the wide rows move once, in ``write
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from uidloom.functions.fixed import UUID_COLUMNS
 from uidloom.functions.frames import has_column, present
+from uidloom.operators.screen import key_filter, may_hold
 from uidloom.operators.skew import HotKeys, hot_keys, split_join, spread_join
 from uidloom.sources.session import materialize
 
@@ -27,6 +28,8 @@ USER = ["metadata_table", "user_id"]
 KEYS = ["user_id", "email", "rid"]
 HITS = {"persona_uuid": "persona_hit", "rid_uuid": "rid_hit"}
 NEW, OLD = "_new", "_old"
+Screens = dict[str, Column]
+"""Per key column a filter of the lookup's keys."""
 ROW = "-"
 """Among the candidates of a user, the one that counts its rows; emails start with e, and rids with r."""
 
@@ -113,18 +116,30 @@ def _kinds(rows: DataFrame) -> dict[str, str]:
     return {"e": "email", "r": "rid"} if has_column(rows, "rid") else {"e": "email"}
 
 
-def user_entries(rows: DataFrame) -> DataFrame:
+def key_screens(masters: DataFrame, watched: DataFrame) -> Screens:
+    """Filters of the usernames of masters and of the watched rids, as scalar subqueries."""
+    named = masters.where("uuid IS NOT NULL")
+    return {"email": key_filter(named, "username").scalar(), "rid": key_filter(watched, "rid").scalar()}
+
+
+def user_entries(rows: DataFrame, screens: Screens | None = None) -> DataFrame:
     """(metadata_table, user_id, candidate, n_rows): of each user its rows, emails and rids, equal ones together.
 
-    This is all that the map of users needs of the rows, and it takes one scan of their key columns.
+    This is all that the map of users needs of the rows, and it takes one scan of their key columns. With ``screens``
+    emails and rids that no lookup holds are left out at the scan.
     """
-    keys = F.array(F.lit(ROW), *[F.concat(F.lit(kind), F.col(column)) for kind, column in _kinds(rows).items()])
+
+    def candidate(kind: str, column: str) -> Column:
+        key = F.concat(F.lit(kind), F.col(column))
+        return F.when(may_hold(screens[column], F.col(column)), key) if screens else key
+
+    keys = F.array(F.lit(ROW), *[candidate(kind, column) for kind, column in _kinds(rows).items()])
     listed = rows.select(*USER, F.explode(F.array_compact(keys)).alias("candidate"))
     entries = listed.groupBy(*USER, "candidate").agg(F.count(F.lit(1)).alias("n_rows"))
     return entries.where((F.col("candidate") == ROW) | F.col("user_id").isNotNull())
 
 
-def measured_entries(rows: DataFrame, watched: DataFrame) -> tuple[DataFrame, HotKeys]:
+def measured_entries(rows: DataFrame, watched: DataFrame, screens: Screens | None = None) -> tuple[DataFrame, HotKeys]:
     """The entries of the rows, written, and from them the hot keys as ``measure_hot_keys`` gives them.
 
     Users count by their exact rows in a table, and emails and rids by the entries that meet the lookup. The rows are
@@ -133,7 +148,7 @@ def measured_entries(rows: DataFrame, watched: DataFrame) -> tuple[DataFrame, Ho
     is_row = F.col("candidate") == ROW
     written = Observation(f"entries_{uuid.uuid4().hex}")
     n_rows = F.coalesce(F.sum(F.when(is_row, F.col("n_rows"))), F.lit(0)).alias("n_rows")
-    entries = materialize(user_entries(rows).observe(written, n_rows), "entries")
+    entries = materialize(user_entries(rows, screens).observe(written, n_rows), "entries")
     value, kind = F.expr("substring(candidate, 2)"), F.left("candidate", F.lit(1))
     keys = entries.where(~is_row).select(
         F.when(kind == "e", value).alias("email"), F.when(kind == "r", value).alias("rid")
@@ -148,9 +163,11 @@ def mapped_users(
     personas: DataFrame,
     watched: DataFrame,
     hot: HotKeys | None = None,
+    screened: bool = False,
 ) -> tuple[DataFrame, HotKeys]:
     """The user map, and the hot keys: those given, or else measured on the entries, which are written for that."""
-    entries, hot = (user_entries(rows), hot) if hot is not None else measured_entries(rows, watched)
+    screens = key_screens(masters, watched) if screened else None
+    entries, hot = (user_entries(rows, screens), hot) if hot is not None else measured_entries(rows, watched, screens)
     return _users_of(entries, masters, personas, watched, hot, _kinds(rows)), hot
 
 
@@ -160,6 +177,7 @@ def user_map(
     personas: DataFrame,
     watched: DataFrame,
     hot: HotKeys | None = None,
+    screened: bool = False,
 ) -> DataFrame:
     """All four paths at once: one row per (metadata_table, user_id) with its row count.
 
@@ -216,6 +234,19 @@ def write_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) ->
 
     Without hot users the rows are read once, and those without a user are spread by a hash of the row. With
     hot users the rows are read twice: those of hot users stay where they are. Either way gives the same rows.
+    See ``write_back_by`` for the values.
+    """
+
+    def join(wide: DataFrame, narrow: DataFrame) -> DataFrame:
+        if hot_users:
+            return split_join(wide, narrow, USER, "user_id", hot_users)
+        return spread_join(wide, narrow, "user_id", {}, on=USER)
+
+    return write_back_by(rows, users, join)
+
+
+def write_back_by(rows: DataFrame, users: DataFrame, join: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Give every row the values of its user by a left join of rows and users on table and user id.
 
     ``users`` holds one row per (metadata_table, user_id) with any of the UUID columns. UUID columns that
     the rows have from an earlier run are cleared or kept as ``_updated`` says.
@@ -227,12 +258,7 @@ def write_back(rows: DataFrame, users: DataFrame, hot_users: Collection[str]) ->
     kept = [c for c in rows.columns if c.lower() not in {*names, *extra}]
     previous = present(rows, names)
     old = [F.struct(*previous).alias(OLD)] if previous else []
-    wide, narrow = rows.select(*kept, *old), users.select(*USER, new)
-    if hot_users:
-        joined = split_join(wide, narrow, USER, "user_id", hot_users)
-    else:
-        joined = spread_join(wide, narrow, "user_id", {}, on=USER)
-    return joined.select(
+    return join(rows.select(*kept, *old), users.select(*USER, new)).select(
         *kept,
         *[_updated(rows, name).alias(name) for name in names],
         *[F.col(f"{NEW}.{name}").alias(name) for name in extra],

@@ -26,7 +26,7 @@ def partition_count(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _shares_for(part: float, partitions: int) -> int:
+def shares_for(part: float, partitions: int) -> int:
     """Shares for a key with this part of all rows: a power of 4, so that few sizes occur."""
     shares = 1
     while shares < part * partitions * SHARES_PER_PARTITION:
@@ -72,11 +72,11 @@ def hot_keys(
     found: HotKeys = {name: {} for name in names}
     for row in sorted(hot, key=lambda row: -row["count"]):
         if len(found[row["name"]]) < most:
-            found[row["name"]].setdefault(row["item"], _shares_for(row["count"] / row["n"], partitions))
+            found[row["name"]].setdefault(row["item"], shares_for(row["count"] / row["n"], partitions))
     return found
 
 
-def _shares_of(key: str, hot: Mapping[str, int]) -> Column:
+def shares_of(key: str, hot: Mapping[str, int]) -> Column:
     shares = F.lit(1)
     for size in sorted(set(hot.values())):
         shares = F.when(F.col(key).isin([k for k, n in hot.items() if n == size]), size).otherwise(shares)
@@ -103,10 +103,10 @@ def spread_join(
     follow its part of the rows, so all repeats together are bounded by a small multiple of the number of
     partitions. The rows are read once, hot keys or not. Copies of one row share a hash.
     """
-    null_shares = _shares_for(1.0, partition_count(rows))
-    shares = F.when(F.col(key).isNull(), null_shares).otherwise(_shares_of(key, hot))
+    null_shares = shares_for(1.0, partition_count(rows))
+    shares = F.when(F.col(key).isNull(), null_shares).otherwise(shares_of(key, hot))
     share = F.when(shares > 1, F.pmod(F.xxhash64(*_hashed(rows)), shares).cast("int")).otherwise(0)
-    repeats = F.sequence(F.lit(0), _shares_of(key, hot) - 1)
+    repeats = F.sequence(F.lit(0), shares_of(key, hot) - 1)
     return (
         rows.withColumn(SHARE, share)
         .join(lookup.withColumn(SHARE, F.explode(repeats)), [*(on or [key]), SHARE], how)

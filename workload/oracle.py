@@ -186,6 +186,19 @@ prev AS (
   SELECT *, 'old-' || id AS o_user_id, 'old-' || id AS o_username, 'old-' || id AS o_persona, 'old-' || id AS o_rid
   FROM idf
 )"""
+USER_MAP = """SELECT metadata_table, user_id, count(*) AS n_rows, max(user_id_uuid) AS user_id_uuid,
+  max(username_uuid) AS username_uuid, max(persona_uuid) AS persona_uuid, max(rid_uuid) AS rid_uuid
+FROM res GROUP BY metadata_table, user_id"""
+RERUN = """SELECT i.metadata_table, i.id, i.user_id,
+  CASE WHEN i.user_id IS NULL THEN i.o_user_id ELSE a.user_id_uuid END AS user_id_uuid,
+  CASE WHEN i.user_id IS NULL THEN i.o_username ELSE b.username_uuid END AS username_uuid,
+  CASE WHEN c.user_id IS NULL THEN i.o_persona ELSE c.persona_uuid END AS persona_uuid,
+  CASE WHEN d.user_id IS NULL THEN i.o_rid ELSE d.rid_uuid END AS rid_uuid
+FROM prev i
+LEFT JOIN m_user_id a ON a.metadata_table = i.metadata_table AND a.user_id = i.user_id
+LEFT JOIN m_username b ON b.metadata_table = i.metadata_table AND b.user_id = i.user_id
+LEFT JOIN m_persona c ON c.metadata_table = i.metadata_table AND c.user_id = i.user_id
+LEFT JOIN m_rid d ON d.metadata_table = i.metadata_table AND d.user_id = i.user_id"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -200,25 +213,10 @@ def oracle_sql() -> dict[str, str]:
             """SELECT metadata_table, id, anonymous_id, user_id, email, rid,
               user_id_uuid, username_uuid, persona_uuid, rid_uuid FROM res""",
         ),
-        "user_map": _with(
-            RESOLVED,
-            """SELECT metadata_table, user_id, count(*) AS n_rows, max(user_id_uuid) AS user_id_uuid,
-              max(username_uuid) AS username_uuid, max(persona_uuid) AS persona_uuid, max(rid_uuid) AS rid_uuid
-            FROM res GROUP BY metadata_table, user_id""",
-        ),
-        "resolve_rerun_keep_clear": _with(
-            [*RESOLVED[:-1], PREVIOUS],
-            """SELECT i.metadata_table, i.id, i.user_id,
-              CASE WHEN i.user_id IS NULL THEN i.o_user_id ELSE a.user_id_uuid END AS user_id_uuid,
-              CASE WHEN i.user_id IS NULL THEN i.o_username ELSE b.username_uuid END AS username_uuid,
-              CASE WHEN c.user_id IS NULL THEN i.o_persona ELSE c.persona_uuid END AS persona_uuid,
-              CASE WHEN d.user_id IS NULL THEN i.o_rid ELSE d.rid_uuid END AS rid_uuid
-            FROM prev i
-            LEFT JOIN m_user_id a ON a.metadata_table = i.metadata_table AND a.user_id = i.user_id
-            LEFT JOIN m_username b ON b.metadata_table = i.metadata_table AND b.user_id = i.user_id
-            LEFT JOIN m_persona c ON c.metadata_table = i.metadata_table AND c.user_id = i.user_id
-            LEFT JOIN m_rid d ON d.metadata_table = i.metadata_table AND d.user_id = i.user_id""",
-        ),
+        "user_map": _with(RESOLVED, USER_MAP),
+        "user_map_screened": _with(RESOLVED, USER_MAP),
+        "resolve_rerun_keep_clear": _with([*RESOLVED[:-1], PREVIOUS], RERUN),
+        "rerun_of_store": _with([*RESOLVED[:-1], PREVIOUS], RERUN),
         "resolve_three_phase": _with(
             [IDF, EI, PU, WT],
             """SELECT i.metadata_table, i.id, i.user_id, i.rid, i.email, coalesce(p1, p2, p3) AS uuid,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from uidloom.functions import fixed, frames, names, values
 from uidloom.operators import coverage, match, resolve, sets, skew, valid_uuid
-from uidloom.plans import resolution
+from uidloom.plans import bucketed, resolution
 from uidloom.sources import catalog, session, snapshots, tables
 from workload import views
 from workload.oracle import BASE_TABLES
@@ -92,6 +92,30 @@ def resolve_rerun_keep_clear(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.resolve(previous, masters, personas, watched).select(*KEYS, *fixed.UUID_COLUMNS)
 
 
+@query
+def user_map_screened(spark: SparkSession, sf: str) -> DataFrame:
+    """The map of users from the candidates that a filter of the lookup keys lets through."""
+    return resolve.user_map(*views.identity_inputs(spark, sf), screened=True).drop(*resolve.HITS.values())
+
+
+@query
+def rerun_of_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows with values of an earlier run, put into buckets of their users and resolved again where they lie."""
+    rows, *others = views.identity_inputs(spark, sf)
+    old = F.concat(F.lit("old-"), F.col("id"))
+    database = f"uidloom_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        store, again = f"{database}.store", f"{database}.again"
+        bucketed.save_store(rows.select("*", *[old.alias(c) for c in fixed.UUID_COLUMNS]), store)
+        path = _new_folder(spark, "store")
+        bucketed.rerun_store(spark, store, again, *others, path=path)
+        schema = spark.table(again).schema
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.read.schema(schema).parquet(path).select(*KEYS, *fixed.UUID_COLUMNS)
+
+
 @query
 def resolve_three_phase(spark: SparkSession, sf: str) -> DataFrame:
     return match.three_phase(*views.identity_inputs(spark, sf))
