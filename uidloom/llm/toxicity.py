@@ -3,11 +3,11 @@
 1. Voters look at the words of a text and fire or not. Some have fixed word lists, some have words that stand out
    in a bounded sample of labelled rows, some look for patterns. The votes of a text are one bit pattern.
 2. The label model explains how often each pattern occurs over all documents: a hidden class, and for each voter
-   how often it fires in each class, found by expectation maximisation; known labels fix the class of their rows.
+   how often it fires in each class, found by expectation maximisation; known labels fix the class of their rows there.
    Voters that agree more than the class explains share their weight: each is divided by one plus its positive
    correlations within the class.
 3. A logistic regression on the hashed words and word pairs of a bounded sample, and on the votes, learns the
-   posterior labels.
+   posterior labels that the label model gives to vote patterns, for rows with a known label as well.
 
 Defined results: a null or empty text has no words, so no voter fires and the score comes from the bias alone;
 repeated rows get equal scores; very long texts are read whole. Without labels the fixed lists alone start the
@@ -227,13 +227,13 @@ def train(
     counts = votes.groupBy("pattern", "known").agg(F.count("*").alias("n")).orderBy("pattern", "known").toArrow()
     patterns, labels_known, rows = (counts.column(c).to_numpy() for c in ("pattern", "known", "n"))
     voted = LabelModel(patterns, labels_known, rows.astype(float), len(Voters(lists).names))
-    target = np.where(labels_known >= 0, labels_known, voted.posterior(patterns)).tolist()
+    distinct = np.unique(patterns)
     posteriors = spark.createDataFrame(
-        list(zip(patterns.tolist(), labels_known.tolist(), map(float, target))), "pattern bigint, known int, target double"
+        list(zip(distinct.tolist(), voted.posterior(distinct).tolist())), "pattern bigint, target double"
     )
-    if len(patterns) <= BROADCAST_ROWS:
+    if len(distinct) <= BROADCAST_ROWS:
         posteriors = F.broadcast(posteriors)
-    rated = votes.join(posteriors, ["pattern", "known"]).withColumn("turn", F.xxhash64("doc_id"))
+    rated = votes.join(posteriors, "pattern").withColumn("turn", F.xxhash64("doc_id"))
     likely = F.col("target") >= 0.5
     picks = [rated.where(side).orderBy("turn", "doc_id").limit(per_class) for side in (likely, ~likely)]
     ids = picks[0].unionByName(picks[1]).dropDuplicates(["doc_id"]).select("doc_id", "target", "turn")
