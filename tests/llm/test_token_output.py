@@ -115,3 +115,47 @@ def test_patterns_that_cancel_out_modulo_powers_of_two(spark, tmp_path):
     for doc, text in rows:
         ids = np.array([*library.encode(text, add_special_tokens=False).ids, 0], "<u4")
         assert found[doc] == zlib.crc32(ids.tobytes())
+
+
+def test_each_distinct_piece_is_encoded_once(tokenizer):
+    one = alternating(10)
+    two = one.translate(str.maketrans("ab", "ba"))
+    texts = [" ".join([one, two, "word", "w" * 15, "w" * 16, "a" * 8, "a"] * 50)] * 3
+
+    class Counted:
+        def __init__(self):
+            self.asked = []
+
+        def encode_batch_fast(self, pieces, add_special_tokens):
+            self.asked += pieces
+            return tokenizer.encode_batch_fast(pieces, add_special_tokens=add_special_tokens)
+
+    encoder = token_output.Encoder(tokenizer.to_str())
+    encoder.tokenizer = Counted()
+    for chunk in textops.chunks(pa.array(texts), 1):
+        ids, _ = encoder.encode(chunk)
+        assert ids.tolist() == tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert len(encoder.tokenizer.asked) == len(set(encoder.tokenizer.asked)) < 20
+
+
+def test_pieces_forgotten_and_looked_up_in_portions(tokenizer, monkeypatch):
+    monkeypatch.setattr(token_output, "MOST_PIECES", 8)
+    monkeypatch.setattr(token_output, "CACHED_PIECES", 20)
+    monkeypatch.setattr(token_output, "CACHED_BYTES", 100)
+    monkeypatch.setattr(token_output, "SLOT_BITS", 5)  # 32 slots for 28 pieces, so most share one
+    rng = random.Random(7)
+    parts = ["a", "a\0", "a\0\0", "\0", "b" * 7, "b" * 8, "b" * 15, "b" * 16, "b" * 15 + "\0", "日" * 5, "日" * 9, "c", "dd", " ", "\n", ".", "1"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    encoder = token_output.Encoder(tokenizer.to_str())
+    for chunk in textops.chunks(pa.array(texts), 500):
+        ids, counts = encoder.encode(chunk)
+        for k, own in enumerate(np.split(ids, np.cumsum(counts)[:-1])):
+            assert own.tolist() == tokenizer.encode(texts[chunk.first + k], add_special_tokens=False).ids
+
+
+def test_pages_are_read_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "PAGE_IDS", 50)
+    path = str(tmp_path / "tokens")
+    token_output.write_tokens(frame(spark, [(k, "some words " * 20) for k in range(30)]), path, PATH)
+    plan = token_output.read_tokens(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange" not in plan and "Join" not in plan

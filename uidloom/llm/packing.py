@@ -39,21 +39,26 @@ def _padded(ids: np.ndarray) -> np.ndarray:
 def _selectors(ids: np.ndarray) -> np.ndarray:
     """Per id the selector of the fullest word that can start there, blocks apart.
 
-    A selector that fits implies that all later ones fit, as these hold fewer ids of more bits.
+    A selector that fits implies that all later ones fit, as these hold fewer ids of more bits. So blocks in which
+    one fits nowhere need no look at those before it.
     """
     widest, count = _padded(_widths(ids)), 1
-    fitting = (widest <= BITS[-1]).astype(np.uint8)
+    fitting = (widest <= int(BITS[-1])).astype(np.uint8)
+    blocks = np.arange(len(widest))
     for selector in range(len(COUNTS) - 2, 0, -1):
         step = int(COUNTS[selector]) - count
         while step:  # from the widest of `count` ids to the widest of more; beyond the block ids take no bits
             reach = min(step, count)
             widest[:, :-reach] = np.maximum(widest[:, :-reach], widest[:, reach:])
             count, step = count + reach, step - reach
-        fits = widest <= BITS[selector]
-        if not fits.any():
-            break
-        fitting += fits
-    return (len(COUNTS) - fitting) % len(COUNTS)
+        fits = widest <= int(BITS[selector])
+        some = fits[:, :BLOCK_IDS].any(axis=1)
+        if not some.all():
+            blocks, widest, fits = blocks[some], widest[some], fits[some]
+            if not len(blocks):
+                break
+        fitting[blocks] += fits
+    return np.where(fitting, len(COUNTS) - fitting, 0)
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,20 +67,19 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.int32)
-    chosen = _selectors(ids).reshape(-1)
-    count = COUNTS[chosen]
-    blocks = -(-n // BLOCK_IDS)
-    block = np.arange(blocks)
-    end = block * STRIDE + BLOCK_IDS
+    chosen = _selectors(ids)
+    blocks = len(chosen)
+    place = np.arange(blocks) * STRIDE
+    end = place + BLOCK_IDS
     end[-1] += n - blocks * BLOCK_IDS
-    place, starts = block * STRIDE, []
-    while len(place):  # one word of each block that has ids left
-        starts.append(place)
-        place = place + count[place]
-        more = place < end
-        if not more.all():
-            place, end = place[more], end[more]
-    start = np.sort(np.concatenate(starts))
+    after = np.minimum(np.arange(chosen.size).reshape(chosen.shape) + COUNTS[chosen], end[:, None]).reshape(-1)
+    chosen, starts = chosen.reshape(-1), []
+    while (place != end).any():
+        for _ in range(16):  # one word of each block; those at their end stay there
+            starts.append(place)
+            place = after[place]
+    starts = np.stack(starts, axis=1)
+    start = starts[starts < end[:, None]]
     selector = chosen[start]
     padded = _padded(ids).reshape(-1)
     long = selector == 0

@@ -4,7 +4,8 @@ A text is cut into pieces at places where every pre-token ends, whatever stands
 each distinct piece once, and equal pieces share its ids. The strings of added tokens, such as an end mark, are found
 as the library finds them, each as a piece of its own. The files are Parquet rows, written by Spark to any
 store it knows: a row is a page of whole documents with their ids in word-aligned packed blocks (``packing``),
-the word offset of each block, and the id and length of each document. Pages are ordered by (shard, page).
+the word offset of each block, the id and length of each document, and the count of ids in earlier pages of the
+shard. Pages are ordered by (shard, page).
 
 Defined results: a null text is empty, so its ids are the end id alone; null document ids come first; documents
 with the same id are ordered by text; repeated rows are all written. No rows give no pages. Only the id and
@@ -19,6 +20,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,17 @@ from uidloom.sources.session import shared_folder
 
 PAGE_IDS = 1 << 16
 CACHED_PIECES = 1 << 21
+CACHED_BYTES = 1 << 26  # of long pieces
+MOST_PIECES = 1 << 20  # looked up at once
+SLOT_BITS = 22  # more slots than CACHED_PIECES + MOST_PIECES
 CHUNK_BYTES = 1 << 22
+SHORT_BYTES = 15
+_LOW_BYTES = np.array([(1 << 8 * min(k, 8)) - 1 for k in range(SHORT_BYTES + 1)], np.uint64)
+_HIGH_BYTES = np.array([(1 << 8 * max(k - 8, 0)) - 1 for k in range(SHORT_BYTES + 1)], np.uint64)
+_LENGTH = np.arange(SHORT_BYTES + 1, dtype=np.uint64) << np.uint64(56)
+_MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93], np.uint64)
 PAGES = (
-    "shard int, page int, doc_ids array<bigint>, lengths array<int>, n_ids bigint, "
+    "shard int, page int, first bigint, doc_ids array<bigint>, lengths array<int>, n_ids bigint, "
     "offsets array<int>, words binary"
 )
 DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -79,6 +89,18 @@ def piece_starts(texts: textops.Texts) -> np.ndarray:
     return np.flatnonzero(start[:n])
 
 
+def _short_keys(raw: bytes, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two words for each short piece that tell it from all others: its first 8 bytes, and the next 7 with its length."""
+    padded = np.frombuffer(raw + bytes(16), np.uint8)
+    words = np.ndarray(len(raw) + 9, "<u8", padded, strides=(1,))  # one from every byte on
+    return words[start] & _LOW_BYTES[length], words[start + 8] & _HIGH_BYTES[length] | _LENGTH[length]
+
+
+def _with_room(a: np.ndarray, n: int) -> np.ndarray:
+    """The array, or a longer one that starts with it, for ``n`` entries at least."""
+    return a if n <= len(a) else np.concatenate((a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)))
+
+
 class Encoder:
     """Encodes texts with a tokenizer given as its JSON text; remembers the ids of pieces.
 
@@ -99,37 +121,79 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-        self.bytes = np.zeros(0, np.uint8)  # of all pieces, so that a piece is known by more than its hash
-        self.byte_first = np.zeros(0, np.int64)
-        self.byte_count = np.zeros(0, np.int64)
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        self.slots = np.zeros(1 << SLOT_BITS, np.int32)  # numbers of short pieces by hash, 0 where free
+        self.long: dict[bytes, int] = {}  # numbers of the others
+        self.long_bytes = 0
+        self.numbers = 1
+        self.low, self.high = np.zeros((2, 1 << 16), np.uint64)
+        self.first, self.count = np.zeros((2, 1 << 16), np.int64)
+        self.pool, self.pooled = np.zeros(1 << 16, np.uint32), 0
+
+    def _learn(self, number: int, pieces: list[str]) -> None:
+        """Encode pieces whose numbers ascend from ``number``."""
         found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         count = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(count.sum()))
-        first = len(self.pool) + np.cumsum(count) - count
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.first = np.insert(self.first, at, first)
-        self.count = np.insert(self.count, at, count)
-        self.pool = np.concatenate((self.pool, flat))
-        raw = [p.encode() for p in pieces]
-        size = np.fromiter(map(len, raw), np.int64, len(raw))
-        self.byte_first = np.insert(self.byte_first, at, len(self.bytes) + np.cumsum(size) - size)
-        self.byte_count = np.insert(self.byte_count, at, size)
-        self.bytes = np.concatenate((self.bytes, np.frombuffer(b"".join(raw), np.uint8)))
-
-    def _told_apart(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The pieces that are not the remembered piece of their hash at place ``at``."""
+        stop = self.pooled + np.cumsum(count)
+        self.first = _with_room(self.first, number + len(found))
+        self.count = _with_room(self.count, number + len(found))
+        self.first[number : number + len(found)] = stop - count
+        self.count[number : number + len(found)] = count
+        self.pool = _with_room(self.pool, int(stop[-1]))
+        self.pool[self.pooled : stop[-1]] = np.fromiter(chain.from_iterable(found), np.uint32, int(count.sum()))
+        self.pooled = int(stop[-1])
+
+    def _short(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each short piece, and places of the pieces that are new, in the order of their numbers."""
+        h = low * _MIX[0] + high * _MIX[1]
+        h ^= h >> np.uint64(32)
+        h *= _MIX[2]
+        slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        number, left, new = np.empty(len(low), np.int32), np.arange(len(low)), []
+        while len(left):
+            at = self.slots[slot]
+            free = np.flatnonzero(at == 0)
+            if len(free):  # of those that want a slot the last to write gets it
+                self.slots[slot[free]] = free
+                won = free[self.slots[slot[free]] == free]
+                stop = self.numbers + len(won)
+                self.slots[slot[won]] = np.arange(self.numbers, stop)
+                self.low, self.high = _with_room(self.low, stop), _with_room(self.high, stop)
+                self.low[self.numbers : stop], self.high[self.numbers : stop] = low[won], high[won]
+                self.numbers = stop
+                new.append(left[won])
+                at[free] = self.slots[slot[free]]
+            number[left] = at
+            other = np.flatnonzero((self.low[at] != low) | (self.high[at] != high))
+            left, low, high = left[other], low[other], high[other]
+            slot = slot[other] + 1 & (1 << SLOT_BITS) - 1
+        return number, np.concatenate(new) if new else left
+
+    def _ids(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in a row, and how many each piece has."""
+        if self.numbers > CACHED_PIECES or self.long_bytes > CACHED_BYTES:
+            self.forget()
+        known, raw = self.numbers, data[start[0] : end[-1]].tobytes()
+        start, end = start - start[0], end - start[0]
         length = end - start
-        differs = self.byte_count[at] != length
-        alike = np.flatnonzero(~differs)
-        differs[alike] = ~textops.same_bytes(data, start[alike], self.bytes, self.byte_first[at[alike]], length[alike])
-        return np.flatnonzero(differs)
+        short = np.flatnonzero(length <= SHORT_BYTES)
+        number = np.empty(len(start), np.int64)
+        number[short], new = self._short(*_short_keys(raw, start[short], length[short]))
+        new = short[new].tolist()
+        others = np.flatnonzero(length > SHORT_BYTES)
+        for k, a, b in zip(others.tolist(), start[others].tolist(), end[others].tolist()):
+            piece = raw[a:b]
+            if piece not in self.long:
+                self.long[piece] = self.numbers
+                self.long_bytes += b - a
+                self.numbers += 1
+                new.append(k)
+            number[k] = self.long[piece]
+        if new:
+            self._learn(known, [raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist())])
+        count = self.count[number]
+        take = np.repeat(self.first[number] - np.cumsum(count) + count, count)
+        take += np.arange(len(take))
+        return self.pool[take], count
 
     def _uncut(self, texts: textops.Texts) -> np.ndarray:
         """Start and end of each stretch that stays one piece: added tokens, the longest where several start."""
@@ -161,35 +225,12 @@ class Encoder:
         """The ids of all texts in a row, and how many each text has."""
         if not len(texts.data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        if len(self.keys) > CACHED_PIECES:
-            self.forget()
         start = self._starts(texts)
         end = np.append(start[1:], len(texts.data))
-        hashes = textops.stretch_hashes(textops.prefix_hashes(texts.data), start, end)
-        distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.keys, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = at < len(self.keys)
-        new[inside] = self.keys[at[inside]] != distinct[inside]
-        if new.any():
-            raw = texts.data.tobytes()
-            bounds = zip(start[sample[new]].tolist(), end[sample[new]].tolist())
-            self._learn(distinct[new], [raw[a:b].decode() for a, b in bounds])
-            at = np.searchsorted(self.keys, distinct)
-        first, count, pool = self.first[at][which], self.count[at][which], self.pool
-        other = self._told_apart(texts.data, start, end, at[which])
-        if len(other):
-            raw = texts.data.tobytes()
-            bounds = zip(start[other].tolist(), end[other].tolist())
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([raw[a:b].decode() for a, b in bounds], add_special_tokens=False)]
-            count[other] = [len(ids) for ids in found]
-            first[other] = len(pool) + np.cumsum(count[other]) - count[other]
-            pool = np.concatenate((pool, np.fromiter((i for ids in found for i in ids), np.uint32)))
-        stop = np.cumsum(count)
-        take = np.repeat(first - stop + count, count)
-        take += np.arange(len(take))
+        found = [self._ids(texts.data, start[k : k + MOST_PIECES], end[k : k + MOST_PIECES]) for k in range(0, len(start), MOST_PIECES)]
+        stop = np.cumsum(np.concatenate([count for _, count in found]))
         at_text = np.append(stop, 0)[np.searchsorted(start, texts.ends) - 1]
-        return pool[take], np.diff(at_text, prepend=0)[1:]
+        return np.concatenate([ids for ids, _ in found]), np.diff(at_text, prepend=0)[1:]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -204,19 +245,19 @@ def encoder_of(tokenizer_json: str) -> Encoder:
     return _encoders[key]
 
 
-def _page(shard: int, page: int, docs: list[tuple[int | None, np.ndarray]]) -> dict:
+def _page(shard: int, page: int, first: int, docs: list[tuple[int | None, np.ndarray]]) -> dict:
     ids = np.concatenate([x for _, x in docs])
     words, offsets = pack(ids)
     lengths = [len(x) for _, x in docs]
     return {
-        "shard": shard, "page": page, "doc_ids": [d for d, _ in docs], "lengths": lengths,
+        "shard": shard, "page": page, "first": first, "doc_ids": [d for d, _ in docs], "lengths": lengths,
         "n_ids": len(ids), "offsets": offsets, "words": words.astype("<u8").tobytes(),
     }
 
 
 _PAGE_TYPE = pa.schema([
-    ("shard", pa.int32()), ("page", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int32())),
-    ("n_ids", pa.int64()), ("offsets", pa.list_(pa.int32())), ("words", pa.binary()),
+    ("shard", pa.int32()), ("page", pa.int32()), ("first", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("lengths", pa.list_(pa.int32())), ("n_ids", pa.int64()), ("offsets", pa.list_(pa.int32())), ("words", pa.binary()),
 ])
 
 
@@ -234,7 +275,7 @@ def write_tokens(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard = encoder_of(vocabulary.value), TaskContext.get().partitionId()
-        page, held, n = 0, [], 0
+        page, first, held, n = 0, 0, [], 0
         end = np.array([end_id], np.uint32)
         for batch in batches:
             keys, rows = batch.column(0).to_pylist(), []
@@ -244,13 +285,13 @@ def write_tokens(
                     held.append((keys[texts.first + k], np.concatenate((own, end))))
                     n += len(own) + 1
                     if n >= PAGE_IDS:
-                        rows.append(_page(shard, page, held))
-                        page, held, n = page + 1, [], 0
+                        rows.append(_page(shard, page, first, held))
+                        page, first, held, n = page + 1, first + n, [], 0
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, _PAGE_TYPE)
                     rows = []
         if held:
-            yield pa.RecordBatch.from_pylist([_page(shard, page, held)], _PAGE_TYPE)
+            yield pa.RecordBatch.from_pylist([_page(shard, page, first, held)], _PAGE_TYPE)
 
     ordered = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text_column).alias("text"))
     ordered = ordered.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
@@ -264,16 +305,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """
     pages = spark.read.schema(PAGES).parquet(path)
     totals = {r["shard"]: r["n"] for r in pages.groupBy("shard").agg(F.sum("n_ids").alias("n")).collect()}
-    per_page = pages.select("shard", "page", "n_ids")
     before = dict(zip(sorted(totals), np.cumsum([0, *(totals[s] for s in sorted(totals))]).tolist()))
-    from pyspark.sql import Window
-
-    earlier = Window.partitionBy("shard").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per_page.withColumn("first", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(k, 1).to_pylist()[0] for k in range(batch.num_rows)):
                 words = np.frombuffer(row["words"], "<u8")
                 ids = unpack(words, np.array(row["offsets"]), row["n_ids"]).astype("<u4")
                 lengths = np.array(row["lengths"], np.int64)
@@ -287,8 +323,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    with_start = pages.select("shard", "page", "doc_ids", "lengths", "n_ids", "offsets", "words")
-    return with_start.join(starts.drop("n_ids"), ["shard", "page"]).mapInArrow(decode, DOCS)
+    return pages.mapInArrow(decode, DOCS)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
